@@ -144,4 +144,4 @@ def elements(html: Column, *tags: str, outermost: bool = False) -> Column:
         for batch in batches:
             yield batch.map(one)
 
-    return collect(html)
+    return collect.asNondeterministic()(html)

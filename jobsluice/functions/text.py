@@ -65,11 +65,16 @@ def first_filled(*cols: Column) -> Column:
 
 
 @F.pandas_udf(StringType())
-def _unescape_rest(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _decode_all(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for part in parts:
         yield part.map(_unescape_text, na_action="ignore")
 
 
+# Python stages are marked as not deterministic: Spark then keeps them as one step and
+# does not run them again for a filter above.
+_unescape_rest = _decode_all.asNondeterministic()
+
+
 def unescape(c: Column) -> Column:
     """Decode character references. Pass a plain column, it is used several times.
 

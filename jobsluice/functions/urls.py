@@ -9,50 +9,50 @@ from pyspark.sql import functions as F
 
 from jobsluice.functions.text import strip
 
-_ORIGIN = r"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?(?://[^/?#]*)?"
-
 
 @dataclass(frozen=True)
 class SiteRule:
-    """Where a site keeps its detail pages. Patterns are searched, not anchored."""
+    """Where a site keeps its detail pages.
+
+    ``path`` is a regular expression for what follows the host, path and query;
+    ``card_link`` one that is searched in the links of a listing card.
+    """
 
     name: str
     origin: str
     host_suffix: str
     path: str
-    query: str = ""
+    card_link: str = ""
+
+    @property
+    def pattern(self) -> str:
+        host = self.host_suffix.replace(".", r"\.")
+        return rf"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//(?i:[^/?#]*{host})(?=[/?#]|$){self.path}"
 
 
 # The detail-page rules of the HTML sources.
 SITE_RULES = {
     rule.name: rule
     for rule in (
-        SiteRule("jobup", "https://www.jobup.ch", "jobup.ch", "/emplois/detail/"),
-        SiteRule("talent", "https://www.talent.com", "talent.com", "/view$", "id="),
-        SiteRule("ge", "https://www.ge.ch", "ge.ch", r"/offres-emploi-etat-geneve/liste-offres/\d+$"),
+        SiteRule("jobup", "https://www.jobup.ch", "jobup.ch", "[^?#]*/emplois/detail/"),
+        SiteRule("talent", "https://www.talent.com", "talent.com", r"[^?#]*/view(?:;[^/?#]*)?\?[^#]*id="),
+        SiteRule(
+            "ge",
+            "https://www.ge.ch",
+            "ge.ch",
+            r"[^?#]*/offres-emploi-etat-geneve/liste-offres/\d+(?:;[^/?#]*)?(?:[?#]|$)",
+            card_link=r"/offres-emploi-etat-geneve/liste-offres/\d+$",
+        ),
     )
 }
 
 
-def url_host(c: Column) -> Column:
-    return F.lower(F.regexp_extract(c, r"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//([^/?#]*)", 1))
-
-
-def url_path(c: Column) -> Column:
-    """Path without the parameters of its last segment."""
-    return F.regexp_replace(F.regexp_extract(c, _ORIGIN + r"([^?#]*)", 1), ";[^/]*$", "")
-
-
-def url_query(c: Column) -> Column:
-    return F.regexp_extract(c, r"^[^?#]*\?([^#]*)", 1)
-
-
 def drop_fragment(c: Column) -> Column:
     return F.substring_index(c, "#", 1)
 
 
 def _without_dots(path: Column) -> Column:
-    """Resolve ``.`` and ``..`` segments of an absolute path."""
+    """``.`` and ``..`` segments resolved; ``path`` lacks its first slash, the result has it."""
     kept = F.aggregate(
         F.split(path, "/"),
         F.array().cast("array<string>"),
@@ -60,28 +60,33 @@ def _without_dots(path: Column) -> Column:
         .when(part == ".", done)
         .otherwise(F.concat(done, F.array(part))),
     )
-    tail = F.when(path.rlike(r"(?:^|/)\.\.?$"), F.lit("/")).otherwise(F.lit(""))
-    joined = F.concat(F.array_join(kept, "/"), tail)
-    return F.when(F.startswith(joined, F.lit("/")), joined).otherwise(F.concat(F.lit("/"), joined))
+    # A path ending in a dot segment names a folder.
+    folder = path.rlike(r"(?:^|/)\.\.?$") & (F.size(kept) > 0)
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(folder, F.lit("/")).otherwise(F.lit("")))
+
+
+def clean_href(c: Column) -> Column:
+    """A link as a browser reads it: trimmed, without line breaks and tabs."""
+    return F.regexp_replace(strip(c), r"[\t\r\n]", "")
+
 
+def absolute_url(link: Column, origin: str) -> Column:
+    """Resolve a cleaned link against the root of a site (``scheme://host``).
 
-def absolute_url(href: Column, origin: str) -> Column:
-    """Resolve a link against the root of a site (``scheme://host``)."""
+    Pass a plain column, it is used several times.
+    """
     scheme = origin.split("://", 1)[0]
-    link = F.regexp_replace(strip(href), r"[\t\r\n]", "")
-    path = F.regexp_extract(link, r"^([^?#]*)", 1)
+    path = F.regexp_extract(link, r"^/?([^?#]*)", 1)
     rest = F.regexp_extract(link, r"^[^?#]*(.*)$", 1)
-    rooted = F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.lit("/"), path))
-    clean = F.when(path.rlike(r"(?:^|/)\.\.?(?:/|$)"), _without_dots(rooted)).otherwise(rooted)
     return (
         F.when(link.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"), link)
         .when(F.startswith(link, F.lit("//")), F.concat(F.lit(scheme + ":"), link))
-        .when(path == "", F.concat(F.lit(origin), rest))
-        .otherwise(F.concat(F.lit(origin), clean, rest))
+        .when(link.rlike(r"^[^?#]*(?:^|/)\.\.?(?:[/?#]|$)"), F.concat(F.lit(origin), _without_dots(path), rest))
+        .when(link.rlike(r"^(?:[/?#]|$)"), F.concat(F.lit(origin), link))
+        .otherwise(F.concat(F.lit(origin + "/"), link))
     )
 
 
 def is_detail_url(url: Column, rule: SiteRule) -> Column:
     """True if the URL is a detail page under the rule."""
-    tests = F.endswith(url_host(url), F.lit(rule.host_suffix)) & url_path(url).rlike(rule.path)
-    return tests & url_query(url).rlike(rule.query) if rule.query else tests
+    return url.rlike(rule.pattern)

@@ -20,11 +20,7 @@ def kind(v: Column) -> Column:
 
 
 def is_object(v: Column) -> Column:
-    return F.coalesce(F.startswith(kind(v), F.lit("OBJECT")), F.lit(False))
-
-
-def is_list(v: Column) -> Column:
-    return F.coalesce(F.startswith(kind(v), F.lit("ARRAY")), F.lit(False))
+    return F.try_variant_get(v, "$", "struct<>").isNotNull()
 
 
 def is_number(v: Column) -> Column:
@@ -54,16 +50,15 @@ def boolean_at(v: Column, path: str) -> Column:
     return F.when(kind(node) == "BOOLEAN", F.try_variant_get(v, path, "boolean"))
 
 
+# JSON texts of what counts as empty.
+FALSY = ('""', "0", "0.0", "false", "null", "[]", "{}")
+
+
 def truthy_text(v: Column, path: str) -> Column:
     """Text of a value, NULL if it is absent, null, "", 0, false, [] or {}."""
-    node = child(v, path)
-    text = F.try_variant_get(v, path, "string")
-    empty = text.isin("", "[]", "{}") | (is_number(node) & (F.try_variant_get(v, path, "double") == 0))
-    return (
-        F.when(kind(node) == "STRING", F.nullif(text, F.lit("")))
-        .when(kind(node) == "BOOLEAN", F.when(text == "true", F.lit("True")))
-        .when(~empty, text)
-    )
+    literal = F.to_json(child(v, path))
+    text = F.when(literal == "true", F.lit("True")).otherwise(F.try_variant_get(v, path, "string"))
+    return F.when(~literal.isin(*FALSY), text)
 
 
 def list_items(v: Column, path: str) -> Column:

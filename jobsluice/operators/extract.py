@@ -22,7 +22,7 @@ from jobsluice.functions.text import (
     unescape,
     with_clean_text,
 )
-from jobsluice.functions.urls import SiteRule, absolute_url, drop_fragment, is_detail_url
+from jobsluice.functions.urls import SiteRule, absolute_url, clean_href, drop_fragment, is_detail_url
 
 # A link to a department, and the wording of a listing card.
 DEPARTMENT_LINK = r"/(organisation|justice\.ge\.ch)"
@@ -41,7 +41,7 @@ def page_links(pages: DataFrame, origin: str, carry: tuple[str, ...] = ("page_id
     found = pages.select(*carry, F.posexplode(H.start_tags(H.visible_markup(F.col("html")), "a")).alias("pos", "_tag"))
     found = found.withColumn("href", H.attribute(F.col("_tag"), "href")).drop("_tag")
     found = found.filter(F.col("href").isNotNull()).withColumn("href", unescape(F.col("href")))
-    found = found.withColumn("href", strip(F.col("href"))).filter(F.col("href") != "")
+    found = found.withColumn("href", clean_href(F.col("href"))).filter(F.col("href") != "")
     return found.withColumn("url", drop_fragment(absolute_url(F.col("href"), origin))).drop("href")
 
 
@@ -72,8 +72,9 @@ def listing_cards(pages: DataFrame, rule: SiteRule, carry: tuple[str, ...] = ("p
     card = card.withColumn("_links", F.filter(anchors, lambda a: H.attribute(_attrs(a), "href").isNotNull()))
     hrefs = F.transform("_links", lambda a: H.attribute(_attrs(a), "href"))
     card = card.withColumn("_hrefs", hrefs)
-    card = card.withColumn("href", F.get(F.filter("_hrefs", lambda h: h.rlike(rule.path)), F.lit(0)))
+    card = card.withColumn("href", F.get(F.filter("_hrefs", lambda h: h.rlike(rule.card_link)), F.lit(0)))
     card = card.filter(F.col("href").isNotNull()).withColumn("href", unescape(F.col("href")))
+    card = card.withColumn("href", clean_href(F.col("href")))
     card = card.withColumn("url", drop_fragment(absolute_url(F.col("href"), rule.origin)))
     card = card.filter(is_detail_url(F.col("url"), rule))
     department = F.filter("_links", lambda a: F.coalesce(H.attribute(_attrs(a), "href").rlike(DEPARTMENT_LINK), F.lit(False)))
@@ -131,7 +132,7 @@ def first_posting(scripts: Column, keys: tuple[str, ...] | None) -> Column:
             yield pd.Series([None if n is None else json.dumps(n, ensure_ascii=False) for n in found], dtype=object)
 
     hinted = F.filter(scripts, lambda s: F.contains(F.lower(s), F.lit("jobposting")) | F.contains(s, F.lit("\\u")))
-    return pick(F.when(F.size(hinted) > 0, scripts))
+    return pick.asNondeterministic()(F.when(F.size(hinted) > 0, scripts))
 
 
 def ldjson_jobposting(
