@@ -54,7 +54,7 @@ def _salted(
     )
     copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
     right = keys.join(hot, F.col("key") == F.col("_hot"), "left").select(
-        F.col("key").alias("_key"), F.explode(copies).alias("_copy")
+        F.col("key").alias("_known"), F.explode(copies).alias("_copy")
     )
     return left.drop("_hot"), right
 
@@ -68,7 +68,7 @@ def new_records(
 ) -> DataFrame:
     """Rows whose key is not known. ``known`` has one column ``key``."""
     left, right = _salted(rows, known, key, hot_rows, spread_by)
-    match = (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_copy"))
+    match = (F.col(key) == F.col("_known")) & (F.col("_salt") == F.col("_copy"))
     return left.join(right, match, "left_anti").drop("_salt")
 
 
@@ -81,9 +81,9 @@ def known_flag(
 ) -> DataFrame:
     """Rows with ``known``: whether the key is in the set. ``known`` holds distinct keys."""
     left, right = _salted(rows, known, key, hot_rows, spread_by)
-    match = (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_copy"))
+    match = (F.col(key) == F.col("_known")) & (F.col("_salt") == F.col("_copy"))
     joined = left.join(right, match, "left")
-    return joined.withColumn("known", F.col("_key").isNotNull()).drop("_salt", "_key", "_copy")
+    return joined.withColumn("known", F.col("_known").isNotNull()).drop("_salt", "_known", "_copy")
 
 
 def added_keys(before: DataFrame, after: DataFrame, key: str = "url") -> DataFrame:

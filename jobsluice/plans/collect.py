@@ -44,7 +44,7 @@ def _finish(
         )
     merged = materialize(merged, "merged")
     written = filters.within_days(merged, as_of, days) if policy.output_days else merged
-    key = "_key" if policy.record_key else "url"
+    key = "record_key" if policy.record_key else "url"
     seen = keys.next_seen(
         policy.seen, known=known, listing=walked, merged=merged, written=written, fresh=fresh, key=key
     )
@@ -100,11 +100,11 @@ def collect_feed_items(
 
     ``items`` has the record columns and ``pos``.
     """
-    keyed = items.withColumn("_key", keys.record_key())
-    old = current.withColumn("_key", keys.record_key())
-    known = materialize(keys.known_keys(old, seen, key="_key"), "known")
-    first = ordered.batch_dedup(keyed, "_key", "first", "pos")
-    fresh = materialize(keys.new_records(first, known, "_key", spread_by=["pos"]), "fresh")
+    keyed = items.withColumn("record_key", keys.record_key())
+    old = current.withColumn("record_key", keys.record_key())
+    known = materialize(keys.known_keys(old, seen, key="record_key"), "known")
+    first = ordered.batch_dedup(keyed, "record_key", "first", "pos")
+    fresh = materialize(keys.new_records(first, known, "record_key", spread_by=["pos"]), "fresh")
     return _finish(policy, current, known, first, fresh, as_of, policy.days)
 
 
