@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from jobsluice.functions.binding import bind
+
+LANGUAGES = ("fr", "en", "de", "it")
+
 # Hint words and token patterns of the French-or-English test. Its
 # tokens keep accents.
 ACCENTED_TOKEN = "[a-zàâçéèêëîïôûùüÿñæœ]{3,}"
@@ -32,19 +36,20 @@ PLAIN_HINTS = {
 }
 
 
-def tokens(title: Column, description: Column, pattern: str) -> Column:
-    """Distinct lower-case tokens of title and description."""
+def hint_words(title: Column, description: Column, pattern: str, hints: dict[str, list[str]]) -> Column:
+    """The hint words of any language among the lower-case tokens, each once."""
     joined = F.concat(F.coalesce(title, F.lit("")), F.lit(" "), F.coalesce(description, F.lit("")))
-    return F.array_distinct(F.regexp_extract_all(F.lower(joined), F.lit(pattern), F.lit(0)))
+    tokens = F.regexp_extract_all(F.lower(joined), F.lit(pattern), F.lit(0))
+    return F.array_intersect(tokens, _words(sorted({w for words in hints.values() for w in words})))
 
 
-def hint_count(words: Column, hints: list[str]) -> Column:
-    return F.size(F.array_intersect(words, F.array(*[F.lit(h) for h in hints])))
+def _words(words: list[str]) -> Column:
+    return F.array(*[F.lit(w) for w in words])
 
 
-def hint_counts(words: Column, hints: dict[str, list[str]]) -> Column:
-    """struct<fr,en,de,it>: distinct hint words found."""
-    return F.struct(*[hint_count(words, hints[code]).alias(code) for code in ("fr", "en", "de", "it")])
+def hint_counts(found: Column, hints: dict[str, list[str]]) -> Column:
+    """struct<fr,en,de,it>: hint words found per language."""
+    return F.struct(*[F.size(F.array_intersect(found, _words(hints[code]))).alias(code) for code in LANGUAGES])
 
 
 def mostly_french_or_english(hits: Column) -> Column:
@@ -54,3 +59,13 @@ def mostly_french_or_english(hits: Column) -> Column:
 
 def mostly_french(hits: Column) -> Column:
     return (hits["fr"] >= 2) & (hits["fr"] >= F.greatest(hits["en"], hits["de"], hits["it"]))
+
+
+def reads_as_french_or_english(title: Column, description: Column) -> Column:
+    found = hint_words(title, description, ACCENTED_TOKEN, ACCENTED_HINTS)
+    return bind(bind(found, lambda w: hint_counts(w, ACCENTED_HINTS)), mostly_french_or_english)
+
+
+def reads_as_french(title: Column, description: Column) -> Column:
+    found = hint_words(title, description, PLAIN_TOKEN, PLAIN_HINTS)
+    return bind(bind(found, lambda w: hint_counts(w, PLAIN_HINTS)), mostly_french)

@@ -6,7 +6,9 @@ read first looks at the stored type.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -64,3 +66,22 @@ def truthy_text(v: Column, path: str) -> Column:
 def list_items(v: Column, path: str) -> Column:
     """array<variant> if the value is a list, else NULL."""
     return F.try_variant_get(v, path, "array<variant>")
+
+
+def with_truthy_texts(df: DataFrame, node: str, fields: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Add one column per field: the first truthy text among its paths below the column ``node``.
+
+    Every path is read once, in a step of its own.
+    """
+    paths = sorted({path for options in fields.values() for path in options})
+    reads = {}
+    for n, path in enumerate(paths):
+        reads[f"_json{n}"] = F.to_json(child(F.col(node), path))
+        reads[f"_text{n}"] = F.try_variant_get(node, path, "string")
+    rows = df.withColumns(reads)
+    texts = {
+        path: F.when(F.col(f"_json{n}") == "true", "True").when(~F.col(f"_json{n}").isin(*FALSY), F.col(f"_text{n}"))
+        for n, path in enumerate(paths)
+    }
+    rows = rows.withColumns({name: F.coalesce(*[texts[p] for p in options]) for name, options in fields.items()})
+    return rows.drop(*reads)

@@ -38,9 +38,13 @@ def parse_labels(reply: Column) -> Column:
     labels = F.filter(
         F.transform(texts, lambda v: collapse(F.try_variant_get(v, "$", "string"))), lambda label: label != ""
     )
-    lowered = F.transform(labels, F.lower)
-    first = F.filter(labels, lambda label, i: F.array_position(lowered, F.get(lowered, i)) == i + 1)
-    return F.coalesce(F.array_join(F.slice(first, 1, MAX_LABELS), ", "), F.lit(""))
+
+    def add(kept: Column, label: Column) -> Column:
+        known = F.exists(kept, lambda k: F.lower(k) == F.lower(label))
+        return F.when(known | (F.size(kept) >= MAX_LABELS), kept).otherwise(F.concat(kept, F.array(label)))
+
+    distinct = F.aggregate(labels, F.array().cast("array<string>"), add)
+    return F.coalesce(F.array_join(distinct, ", "), F.lit(""))
 
 
 def keyword_classifier(labels: Mapping[str, str]) -> Classifier:

@@ -18,7 +18,6 @@ from jobsluice.functions.text import (
     filled,
     first_filled,
     strip,
-    stripped,
     unescape,
     with_clean_text,
 )
@@ -146,27 +145,31 @@ def ldjson_jobposting(
     found = pages.withColumn("_node", first_posting(H.ld_json_scripts(F.col("html")), keys))
     found = found.withColumn("_node", F.try_parse_json("_node"))
     node = F.col("_node")
-    has_org = V.is_object(V.child(node, "$.hiringOrganization"))
-    has_place = V.is_object(V.child(node, "$.jobLocation")) & V.is_object(V.child(node, "$.jobLocation.address"))
     address = "$.jobLocation.address"
-    raw = {
-        "title": (F.lit(True), ("$.title",)),
-        "company": (has_org, ("$.hiringOrganization.name",)),
-        "location": (has_place, (f"{address}.addressLocality", f"{address}.addressRegion")),
-        "description": (F.lit(True), ("$.description",)),
-        "posting_date": (F.lit(True), ("$.datePosted",)),
+    paths = {
+        "title": ("$.title",),
+        "company": ("$.hiringOrganization.name",),
+        "location": (f"{address}.addressLocality", f"{address}.addressRegion"),
+        "description": ("$.description",),
+        "posting_date": ("$.datePosted",),
     }
+    # A path through a value that is no object gives NULL.
+    found = V.with_truthy_texts(found, "_node", paths)
+    checked = {f"_kind{n}": V.kind(V.child(node, p)) for n, name in enumerate(limits) for p in paths[name][:1]}
+    region = V.kind(V.child(node, f"{address}.addressRegion"))
+    found = found.withColumns({**checked, "_region": region})
     ok = F.lit(True)
-    for name, (usable, paths) in raw.items():
-        picked = F.coalesce(*[V.truthy_text(node, p) for p in paths])
-        if name in limits:
-            odd = [F.when(V.truthy_text(node, p).isNotNull(), V.string_at(node, p).isNull()) for p in paths]
-            ok = ok & ~F.coalesce(usable & F.coalesce(*odd), F.lit(False))
-        found = found.withColumn(name, F.when(usable, picked))
-    found = found.withColumn("ok", ok).drop("_node")
+    for n, name in enumerate(limits):
+        kind = F.col(f"_kind{n}")
+        if name == "location":
+            first = V.truthy_text(node, paths[name][0]).isNotNull()
+            kind = F.when(first, kind).otherwise(F.col("_region"))
+        ok = ok & (F.col(name).isNull() | (kind == "STRING"))
+    found = found.withColumn("ok", F.coalesce(ok, F.lit(True))).drop("_node", "_region", *checked)
     found = with_clean_text(found, limits)
     if "posting_date" not in limits:
-        found = found.withColumn("posting_date", stripped(F.col("posting_date")))
+        found = found.withColumn("posting_date", strip(F.col("posting_date")))
+        found = found.withColumn("posting_date", filled(F.col("posting_date")))
     if cut_date:
         found = found.withColumn("posting_date", before_t(F.col("posting_date")))
     return found

@@ -30,21 +30,17 @@ def with_age(df: DataFrame, as_of: date, column: str = "posting_date") -> DataFr
 
 def with_language_flag(df: DataFrame, test: str | None, name: str = "lang_ok") -> DataFrame:
     """Add ``name``: the record passes the language test ``fr_en``, ``fr`` or none."""
+    title, description = F.col("title"), F.col("description")
     if test is None:
-        return df.withColumn(name, F.lit(True))
-    accented = test == "fr_en"
-    pattern = lang.ACCENTED_TOKEN if accented else lang.PLAIN_TOKEN
-    hints = lang.ACCENTED_HINTS if accented else lang.PLAIN_HINTS
-    rows = df.withColumn("_words", lang.tokens(F.col("title"), F.col("description"), pattern))
-    rows = rows.withColumn("_hits", lang.hint_counts(F.col("_words"), hints))
-    if accented:
-        passed = lang.mostly_french_or_english(F.col("_hits"))
+        passed = F.lit(True)
+    elif test == "fr_en":
+        passed = lang.reads_as_french_or_english(title, description)
     else:
-        passed = lang.mostly_french(F.col("_hits"))
+        passed = lang.reads_as_french(title, description)
         if "language_codes" in df.columns:
             tagged = F.exists("language_codes", lambda code: F.lower(code) == "fr")
             passed = F.coalesce(tagged, F.lit(False)) | passed
-    return rows.withColumn(name, passed).drop("_words", "_hits")
+    return df.withColumn(name, passed)
 
 
 def french_or_english(df: DataFrame) -> DataFrame:

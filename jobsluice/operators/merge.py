@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from jobsluice.functions.text import strip
 from jobsluice.operators.filters import french_or_english
 from jobsluice.operators.keys import record_key
-from jobsluice.operators.ordered import dense_numbers
+from jobsluice.operators.ordered import dense_numbers, number_rows
 from jobsluice.session import materialize
 
 
@@ -65,10 +65,11 @@ def _merge(
     )
     narrow = materialize(narrow, "merge-keys")
     todo = narrow.filter(F.col("_id").isNull())
-    after_fresh = start + todo.filter("_late = 0").count()
     if not backfill:
         todo = todo.filter("_late = 0")
-    numbers = dense_numbers(todo.select("_key", "_late", "_ord"), ["_late"], "_ord").select(
+    counts = {row["_late"]: row["n"] for row in todo.groupBy("_late").agg(F.count("*").alias("n")).collect()}
+    after_fresh = start + counts.get(0, 0)
+    numbers = number_rows(todo.select("_key", "_late", "_ord"), ["_late"], "_ord", sum(counts.values())).select(
         "_key", (F.col("rn") + F.when(F.col("_late") == 1, after_fresh).otherwise(start)).alias("_new_id")
     )
     ids = narrow.select("_key", "_id").join(numbers, "_key", "left")

@@ -105,37 +105,57 @@ def normalize_jobroom(df: DataFrame, as_of: date, language: str = "fr") -> DataF
     empty = F.array().cast("array<struct<lang:string,title:string,description:string>>")
     rows = rows.withColumn("_versions", F.coalesce(versions, empty))
     rows = rows.withColumn("_pick", pick_description(F.col("_versions"), language))
-    city = F.coalesce(V.truthy_text(content, "$.location.city"), V.truthy_text(content, "$.location.communalName"))
-    posted = F.coalesce(V.truthy_text(ad, "$.publication.startDate"), V.truthy_text(ad, "$.createdTime"))
+    rows = V.with_truthy_texts(
+        rows,
+        "_ad",
+        {
+            "_posted": ("$.publication.startDate", "$.createdTime"),
+            "_expiry": ("$.publication.endDate",),
+            "external_id": ("$.id", "$.stellennummerEgov"),
+            "_reporting": ("$.reportingObligation",),
+        },
+    )
+    rows = V.with_truthy_texts(
+        rows,
+        "_content",
+        {
+            "company": ("$.employer.name",),
+            "location": ("$.location.city", "$.location.communalName"),
+            "postal_code": ("$.location.zipCode",),
+            "canton": ("$.location.cantonCode",),
+            "url": ("$.externalUrl",),
+        },
+    )
+    trimmed = ("external_id", "company", "location", "postal_code", "canton", "url")
+    rows = rows.withColumns({name: strip(F.col(name)) for name in trimmed})
     rows = rows.withColumns(
         {
-            "posting_date": date_prefix(posted),
-            "external_id": F.coalesce(
-                strip(F.coalesce(V.truthy_text(ad, "$.id"), V.truthy_text(ad, "$.stellennummerEgov"))), F.lit("")
-            ),
+            "posting_date": date_prefix(F.col("_posted")),
+            "_text": strip(F.substring(F.col("_pick.description"), 1, DESCRIPTION_LIMIT)),
+            "_low": V.number_at(content, "$.employment.workloadPercentageMin"),
+            "_high": V.number_at(content, "$.employment.workloadPercentageMax"),
+            "_permanent": V.boolean_at(content, "$.employment.permanent"),
         }
     )
+    blank = F.lit("")
     return rows.select(
         *rest,
         _or_na(F.col("_pick.title")).alias("title"),
-        _or_na(_text(content, "$.employer.name")).alias("company"),
-        _or_na(stripped(city)).alias("location"),
-        F.coalesce(_text(content, "$.location.zipCode"), F.lit("")).alias("postal_code"),
-        F.coalesce(_text(content, "$.location.cantonCode"), F.lit("")).alias("canton"),
+        _or_na(filled(F.col("company"))).alias("company"),
+        _or_na(filled(F.col("location"))).alias("location"),
+        F.coalesce("postal_code", blank).alias("postal_code"),
+        F.coalesce("canton", blank).alias("canton"),
         "posting_date",
-        date_prefix(V.truthy_text(ad, "$.publication.endDate")).alias("expiry_date"),
+        date_prefix(F.col("_expiry")).alias("expiry_date"),
         age_days(as_of, iso_day(F.col("posting_date"))).alias("days_ago"),
-        workload_label(
-            V.number_at(content, "$.employment.workloadPercentageMin"),
-            V.number_at(content, "$.employment.workloadPercentageMax"),
-        ).alias("workload"),
-        contract_label(V.boolean_at(content, "$.employment.permanent")).alias("contract_type"),
-        V.truthy_text(ad, "$.reportingObligation").isNotNull().alias("rav_exclusive"),
-        url_fallback(_text(content, "$.externalUrl"), F.col("external_id")).alias("url"),
-        "external_id",
+        workload_label(F.col("_low"), F.col("_high")).alias("workload"),
+        contract_label(F.col("_permanent")).alias("contract_type"),
+        F.col("_reporting").isNotNull().alias("rav_exclusive"),
+        url_fallback(F.col("url"), F.col("external_id")).alias("url"),
+        F.coalesce("external_id", blank).alias("external_id"),
         language_codes(F.col("_versions")).alias("language_codes"),
         F.lit("jobroom").alias("source"),
-        stripped(F.substring(F.col("_pick.description"), 1, DESCRIPTION_LIMIT)).alias("description"),
+        filled(F.col("_text")).alias("description"),
     )
 
 
@@ -143,19 +163,29 @@ def normalize_adzuna(df: DataFrame) -> DataFrame:
     """Flat records of the Adzuna payload; salary and contract pass through."""
     item = F.col("item")
     rest = [c for c in df.columns if c != "item"]
-    return df.select(
+    texts = {
+        "title": ("$.title",),
+        "company": ("$.company.display_name",),
+        "location": ("$.location.display_name",),
+        "posting_date": ("$.created",),
+        "_url": ("$.redirect_url",),
+        "_ref": ("$.adref",),
+        "description": ("$.description",),
+        "external_id": ("$.id",),
+    }
+    rows = V.with_truthy_texts(df, "item", texts)
+    rows = rows.withColumns({name: strip(F.col(name)) for name in texts})
+    return rows.select(
         *rest,
-        _or_na(_text(item, "$.title")).alias("title"),
-        _or_na(_text(item, "$.company.display_name")).alias("company"),
-        _or_na(_text(item, "$.location.display_name")).alias("location"),
-        date_prefix(V.truthy_text(item, "$.created")).alias("posting_date"),
-        F.coalesce(_text(item, "$.redirect_url"), _text(item, "$.adref"), F.lit("")).alias("url"),
-        filled(F.substring(_text(item, "$.description"), 1, DESCRIPTION_LIMIT)).alias("description"),
+        *[_or_na(filled(F.col(name))).alias(name) for name in ("title", "company", "location")],
+        date_prefix(F.col("posting_date")).alias("posting_date"),
+        F.coalesce(filled(F.col("_url")), filled(F.col("_ref")), F.lit("")).alias("url"),
+        F.substring(filled(F.col("description")), 1, DESCRIPTION_LIMIT).alias("description"),
         V.number_at(item, "$.salary_min").alias("salary_min"),
         V.number_at(item, "$.salary_max").alias("salary_max"),
         V.string_at(item, "$.contract_time").alias("contract_time"),
         V.string_at(item, "$.contract_type").alias("contract_type"),
-        F.coalesce(_text(item, "$.id"), F.lit("")).alias("external_id"),
+        F.coalesce("external_id", F.lit("")).alias("external_id"),
         F.lit("adzuna").alias("source"),
     )
 
@@ -176,12 +206,12 @@ FIELD_ALIASES = {
 def normalize_alias(df: DataFrame, default_source: str = "indeed_rapidapi") -> DataFrame:
     """Flat records of the aggregated feed: the first truthy alias of every field, untrimmed."""
     rest = [c for c in df.columns if c != "item"]
-    fields = []
-    for name, (aliases, default) in FIELD_ALIASES.items():
-        default = default_source if name == "source" else default
-        values = [V.truthy_text(F.col("item"), f"$.{alias}") for alias in aliases]
-        fields.append(F.coalesce(*values, F.lit(default).cast("string")).alias(name))
-    return df.select(*rest, *fields)
+    paths = {name: tuple(f"$.{alias}" for alias in aliases) for name, (aliases, _) in FIELD_ALIASES.items()}
+    defaults = {name: default for name, (_, default) in FIELD_ALIASES.items()} | {"source": default_source}
+    rows = V.with_truthy_texts(df, "item", paths)
+    return rows.select(
+        *rest, *[F.coalesce(F.col(n), F.lit(d).cast("string")).alias(n) for n, d in defaults.items()]
+    )
 
 
 def with_default_source(df: DataFrame, source: str) -> DataFrame:

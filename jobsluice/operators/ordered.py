@@ -79,6 +79,17 @@ def dense_numbers(df: DataFrame, groups: Sequence[str], ord_col: str = "ord") ->
     return running_count(df, groups=groups, ord_col=ord_col).drop("last_mark")
 
 
+# Up to this many rows one task may number on its own.
+ONE_TASK_ROWS = 1_000_000
+
+
+def number_rows(df: DataFrame, groups: Sequence[str], ord_col: str, n_rows: int) -> DataFrame:
+    """``dense_numbers`` for a table of known size: a plain window if one task can take it."""
+    if n_rows > ONE_TASK_ROWS:
+        return dense_numbers(df, groups, ord_col)
+    return df.withColumn("rn", F.row_number().over(Window.partitionBy(*groups).orderBy(ord_col)).cast("bigint"))
+
+
 def streak_cut(listing: DataFrame, n: int, variant: str = "a", groups: Sequence[str] = GROUP) -> DataFrame:
     """Where ``n`` known rows in a row end a listing: group columns and ``cut`` (an ``ord``).
 

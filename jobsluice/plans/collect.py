@@ -42,11 +42,20 @@ def _finish(
         merged = merge.merge_by_url(
             current, batch, language=policy.language == "fr_en", backfill=policy.backfill_ids
         )
-    merged = materialize(merged, "merged")
+    if policy.seen in ("merged", "persisted"):
+        # The state is read from the merged rows, which then serve two outputs.
+        merged = materialize(merged, "merged")
     written = filters.within_days(merged, as_of, days) if policy.output_days else merged
     key = "record_key" if policy.record_key else "url"
+    # Current keys are known and fresh ones listed, so "all" needs no look at the merged rows.
     seen = keys.next_seen(
-        policy.seen, known=known, listing=walked, merged=merged, written=written, fresh=fresh, key=key
+        policy.seen,
+        known=known,
+        listing=walked,
+        merged=None if policy.seen == "all" else merged,
+        written=written,
+        fresh=fresh,
+        key=key,
     )
     return RunResult(walked, fresh, merged, written, seen)
 
@@ -74,7 +83,7 @@ def collect_listing(
     """
     days = policy.days if days is None else days
     stop = policy.stop_after_known if stop_after_known is None else stop_after_known
-    known = materialize(keys.known_keys(current, seen), "known")
+    known = keys.known_keys(current, seen)
     rows = listing.withColumn("ord", listing_order(F.col("page_no"), F.col("pos_on_page")))
     rows = keys.known_flag(filters.drop_blank_key(rows), known, spread_by=["source", "run_id", "ord"])
     recent = filters.is_recent(F.col("posting_date"), as_of, days) if policy.fresh_days else F.lit(True)
@@ -102,7 +111,7 @@ def collect_feed_items(
     """
     keyed = items.withColumn("record_key", keys.record_key())
     old = current.withColumn("record_key", keys.record_key())
-    known = materialize(keys.known_keys(old, seen, key="record_key"), "known")
+    known = keys.known_keys(old, seen, key="record_key")
     first = ordered.batch_dedup(keyed, "record_key", "first", "pos")
     fresh = materialize(keys.new_records(first, known, "record_key", spread_by=["pos"]), "fresh")
     return _finish(policy, current, known, first, fresh, as_of, policy.days)
@@ -166,7 +175,7 @@ def collect_pages(
     """
     days = policy.days if days is None else days
     stop = policy.stop_after_known if stop_after_known is None else stop_after_known
-    known = materialize(keys.known_keys(current, seen), "known")
+    known = keys.known_keys(current, seen)
     walked = walk_listing_pages(
         list_pages,
         rule,

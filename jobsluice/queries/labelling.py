@@ -9,7 +9,7 @@ from jobsluice.operators.enrich import keyword_classifier
 from jobsluice.operators.filters import pending_rows
 from jobsluice.operators.report import enrich_report
 from jobsluice.plans.label import label_jobs
-from jobsluice.queries.registry import query, table
+from jobsluice.queries.registry import query, spread, table
 from jobsluice.session import scratch_path
 
 # A good label is a labelled record, a bad one a blank; a toxic one had an error. Words
@@ -46,7 +46,7 @@ _DOCS_SQL = f"""
 
 
 def documents(spark, sf):
-    docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    docs = spread(table(spark, sf, "documents"), "doc_id").join(table(spark, sf, "labels"), "doc_id", "left")
     professions = F.when(F.col("quality") == 1, F.concat(F.lit("Label "), "lang")).when(F.col("quality") == 0, "  ")
     return docs.select(
         "doc_id",
@@ -85,7 +85,7 @@ def report(spark, sf):
     """,
 )
 def parse_labels(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = spread(table(spark, sf, "documents"), "doc_id")
     source = F.col("source")
     listed = F.concat(
         F.lit('{"professions": ["  '),
@@ -138,7 +138,7 @@ def enrich_resume(spark, sf):
     """,
 )
 def attach(spark, sf):
-    docs = table(spark, sf, "documents").select(
+    docs = spread(table(spark, sf, "documents"), "doc_id").select(
         "doc_id", F.lit("Old").alias("professions"), F.lit("Old: error").alias("professions_error")
     )
     results = table(spark, sf, "labels").select(

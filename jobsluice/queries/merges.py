@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from jobsluice.operators import filters, merge, ordered
 from jobsluice.operators.keys import record_key
 from jobsluice.operators.normalize import with_default_source
-from jobsluice.queries.registry import query, table
+from jobsluice.queries.registry import query, spread, table
 from jobsluice.queries.texts import _hits_sql
 
 # Events of the first three days are the current table, later ones the fresh batch.
@@ -154,7 +154,7 @@ _DOCS_SQL = f"""
     """,
 )
 def merge_lang(spark, sf):
-    docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    docs = spread(table(spark, sf, "documents"), "doc_id").join(table(spark, sf, "labels"), "doc_id", "left")
     size = F.floor(F.col("n_chars") / 200).cast("string")
     lang = F.col("lang")
     rows = docs.select(

@@ -8,7 +8,7 @@ from jobsluice.functions import html as H
 from jobsluice.functions.urls import SITE_RULES, SiteRule, is_detail_url
 from jobsluice.operators import expand, extract
 from jobsluice.operators.assemble import assemble_ge, feed_left_join
-from jobsluice.queries.registry import fmt, query, table
+from jobsluice.queries.registry import fmt, query, spread, table
 from jobsluice.sources.feed import rss_items
 
 # Detail pages of the test site: paths starting with a lower-case ASCII letter.
@@ -43,7 +43,7 @@ _LINKS_SQL = f"""
     """,
 )
 def extract_links(spark, sf):
-    return extract.extract_links(table(spark, sf, "pages").select("page_id", "html"), SITE)
+    return extract.extract_links(spread(table(spark, sf, "pages"), "page_id").select("page_id", "html"), SITE)
 
 
 # Links in the shape of each site's detail pages, and near misses.
@@ -75,7 +75,7 @@ _SHAPES = {
     """,
 )
 def detail_url_filter(spark, sf):
-    links = extract.page_links(table(spark, sf, "pages").select("page_id", "html"), SITE.origin)
+    links = extract.page_links(spread(table(spark, sf, "pages"), "page_id").select("page_id", "html"), SITE.origin)
     form = F.ascii(F.substring("url", 26, 1)) % 7
     page = F.col("page_id").cast("string")
     shaped = F.col("url")
@@ -94,7 +94,7 @@ def detail_url_filter(spark, sf):
     """,
 )
 def html_to_text(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", "html")
+    pages = spread(table(spark, sf, "pages"), "page_id").select("page_id", "html")
     return H.with_text(pages, F.col("html"), "body").select("page_id", "body")
 
 
@@ -126,7 +126,7 @@ def html_to_text(spark, sf):
 )
 def page_detail(spark, sf):
     day = fmt(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 300).cast("int")), "dd.MM.yyyy")
-    pages = table(spark, sf, "pages").select("page_id", "html")
+    pages = spread(table(spark, sf, "pages"), "page_id").select("page_id", "html")
     # The note stands in front of the article, so that it leaves the paragraphs alone.
     html = F.replace("html", F.lit("<article>"), F.concat(F.lit("<article><i>Publi&eacute; le "), day, F.lit("</i>")))
     return extract.page_detail(pages.withColumn("html", html))
@@ -148,7 +148,7 @@ def total_pages(spark, sf):
     )
     last = (F.col("page_id") % 5).cast("string")
     links = F.concat(F.lit('<a href="/s?k=x&p=1">1</a><a href="/s?p='), last, F.lit('">2</a>'))
-    pages = table(spark, sf, "pages").select("page_id", F.concat("html", marker, links).alias("html"))
+    pages = spread(table(spark, sf, "pages"), "page_id").select("page_id", F.concat("html", marker, links).alias("html"))
     return pages.select(
         "page_id",
         extract.total_pages_reported(F.col("html")).alias("reported"),
@@ -173,7 +173,7 @@ def total_pages(spark, sf):
     """,
 )
 def listing_urls(spark, sf):
-    searches = table(spark, sf, "pages").select("page_id", "url", (F.length("url") % 4 + 1).alias("total_pages"))
+    searches = spread(table(spark, sf, "pages"), "page_id").select("page_id", "url", (F.length("url") % 4 + 1).alias("total_pages"))
     return expand.listing_urls(searches).select("page_id", "page_no", "page_url")
 
 
@@ -197,7 +197,7 @@ def search_urls(spark, sf):
 
 # Detail pages built around parts: structured data in four arrangements, meta data.
 def _part_pages(spark, sf):
-    part = table(spark, sf, "part")
+    part = spread(table(spark, sf, "part"), "p_partkey")
     node = F.to_json(
         F.struct(
             F.lit("JobPosting").alias("@type"),

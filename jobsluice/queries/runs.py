@@ -13,7 +13,7 @@ from jobsluice.plans.collect import collect_feed_items, collect_listing, collect
 from jobsluice.queries.merges import merge_sql
 from jobsluice.functions.urls import SiteRule
 from jobsluice.queries.pages import _LINKS_SQL
-from jobsluice.queries.registry import json_pages, query, table
+from jobsluice.queries.registry import json_pages, query, spread, table
 from jobsluice.schema import POLICIES, Policy
 from jobsluice.sources.payloads import ENVELOPES, unpack_envelope
 
@@ -172,7 +172,7 @@ _PAGES_SQL = f"""
 
 
 def _site_run(spark, sf):
-    pages = table(spark, sf, "pages")
+    pages = spread(table(spark, sf, "pages"), "page_id")
     list_pages = pages.select(
         F.lit("demo").alias("source"),
         F.lit("r1").alias("run_id"),

@@ -71,4 +71,5 @@ def write_seen(spark, sf):
     for _ in range(2):  # the second commit of a run changes nothing
         store.commit(jobs, known, "r2", "2024-01-04T00:00:00", {"canton": "GE"})
     runs = store.runs().select("version", "run_id", "last_run_at", F.col("params")["canton"].alias("canton"))
-    return store.seen().withColumn("version", F.lit(store.version())).join(runs, "version")
+    version, _ = store.state()
+    return store.seen(version).withColumn("version", F.lit(version)).join(runs, "version")

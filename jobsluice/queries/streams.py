@@ -59,8 +59,9 @@ def _feed_parts(rows, label, run):
     return base
 
 
-def _last_day(rows) -> date:
-    return date.fromisoformat(rows.agg(F.max("posting_date").alias("d")).first()["d"])
+def _last_day(rows) -> date | None:
+    last = rows.agg(F.max("posting_date").alias("d")).first()["d"]
+    return date.fromisoformat(last) if last else None
 
 
 def _ingest_sql(days, keep_seen):

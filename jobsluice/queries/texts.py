@@ -11,7 +11,7 @@ from jobsluice.functions.text import collapse, with_clean_text
 from jobsluice.operators import filters
 from jobsluice.operators.enrich import with_prompt
 from jobsluice.operators.normalize import date_prefix
-from jobsluice.queries.registry import fmt, query, table
+from jobsluice.queries.registry import fmt, query, spread, table
 
 AS_OF = date(1999, 6, 30)
 
@@ -28,7 +28,7 @@ AS_OF = date(1999, 6, 30)
     """,
 )
 def clean_text(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = spread(table(spark, sf, "documents"), "doc_id")
     raw = docs.select(
         "doc_id",
         F.concat(F.lit(" &laquo;\n "), "text", F.lit("\t&amp; "), "source", F.lit(" &#233;\x85")).alias("body"),
@@ -45,7 +45,7 @@ _FORMS_SQL = """
 
 def _order_days(spark, sf):
     day = F.col("o_orderdate").cast("date")
-    return table(spark, sf, "orders").select("o_orderkey", day.alias("day"), F.col("o_orderpriority").alias("form"))
+    return spread(table(spark, sf, "orders"), "o_orderkey").select("o_orderkey", day.alias("day"), F.col("o_orderpriority").alias("form"))
 
 
 def _iso_forms(spark, sf):
@@ -203,7 +203,7 @@ def _titled(spark, sf):
         .when(lang == "en", "Team position")
         .when(lang == "de", "Stelle für Arbeit")
     )
-    docs = table(spark, sf, "documents")
+    docs = spread(table(spark, sf, "documents"), "doc_id")
     return docs.select("doc_id", "lang", title.alias("title"), F.col("text").alias("description"))
 
 
@@ -248,7 +248,7 @@ def lang_fr(spark, sf):
     """,
 )
 def prompt_text(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = spread(table(spark, sf, "documents"), "doc_id")
     title = F.when(F.col("lang") != "en", F.concat(F.lit(" "), "source", F.lit("\n")))
     body = F.concat(F.lit("<div><p>"), F.regexp_replace("text", "\n", "<br>"), F.lit("</p></div>"))
     rows = docs.select("doc_id", title.alias("title"), body.alias("description"))

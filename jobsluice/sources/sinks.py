@@ -65,25 +65,28 @@ class SnapshotStore:
     def runs(self) -> DataFrame:
         return read_table(self.spark, f"{self.path}/runs", RUNS_SCHEMA)
 
-    def version(self) -> int:
-        return self.runs().agg(F.coalesce(F.max("version"), F.lit(0)).alias("v")).first()["v"]
+    def state(self, run_id: str = "") -> tuple[int, bool]:
+        """(latest version, whether the run is already recorded)."""
+        done = F.coalesce(F.bool_or(F.col("run_id") == run_id), F.lit(False))
+        row = self.runs().agg(F.coalesce(F.max("version"), F.lit(0)).alias("v"), done.alias("done")).first()
+        return row["v"], row["done"]
 
-    def has_run(self, run_id: str) -> bool:
-        return not self.runs().filter(F.col("run_id") == run_id).isEmpty()
+    def jobs(self, version: int | None = None) -> DataFrame:
+        version = self.state()[0] if version is None else version
+        return read_table(self.spark, f"{self.path}/jobs/v={version}", self.schema)
 
-    def jobs(self) -> DataFrame:
-        return read_table(self.spark, f"{self.path}/jobs/v={self.version()}", self.schema)
-
-    def seen(self) -> DataFrame:
-        return read_table(self.spark, f"{self.path}/seen/v={self.version()}", "key string")
+    def seen(self, version: int | None = None) -> DataFrame:
+        version = self.state()[0] if version is None else version
+        return read_table(self.spark, f"{self.path}/seen/v={version}", "key string")
 
     def commit(
         self, jobs: DataFrame, seen: DataFrame, run_id: str, last_run_at: str, params: Mapping[str, str] | None = None
     ) -> None:
         """Write the next version of both tables and record the run."""
-        if self.has_run(run_id):
+        version, done = self.state(run_id)
+        if done:
             return
-        version = self.version() + 1
+        version += 1
         jobs.write.mode("overwrite").parquet(f"{self.path}/jobs/v={version}")
         write_seen(seen, f"{self.path}/seen/v={version}")
         row = [(self.source, run_id, version, last_run_at, dict(params or {}))]

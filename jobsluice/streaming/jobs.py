@@ -32,7 +32,7 @@ def run_available(rows: DataFrame, on_batch: Callable[[DataFrame, int], None], c
     query.awaitTermination()
 
 
-def ingest(store: SnapshotStore, policy: Policy, as_of: Callable[[DataFrame], date], **options):
+def ingest(store: SnapshotStore, policy: Policy, as_of: Callable[[DataFrame], date | None], **options):
     """Batch function: run the listing of a micro-batch against the stored tables.
 
     The run id comes from the batch id, so a batch that is replayed after a
@@ -41,13 +41,13 @@ def ingest(store: SnapshotStore, policy: Policy, as_of: Callable[[DataFrame], da
 
     def on_batch(listing: DataFrame, batch_id: int) -> None:
         run_id = f"batch-{batch_id}"
-        if listing.isEmpty() or store.has_run(run_id):
+        version, done = store.state(run_id)
+        day = as_of(listing)
+        if done or day is None:
             return
-        listing = materialize(listing, "micro-batch")
-        current = store.jobs()
+        current = store.jobs(version)
         rows = current.withColumn("pos", F.lit(2**62) - F.coalesce(F.col("id"), F.lit(0)))
-        day = as_of(listing)
-        run = collect_listing(listing, rows, store.seen(), policy, day, **options)
+        run = collect_listing(listing, rows, store.seen(version), policy, day, **options)
         store.commit(run.written.select(current.columns), run.seen, run_id, day.isoformat())
 
     return on_batch
@@ -67,7 +67,7 @@ def first_seen_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQ
     )
 
 
-def retain(store: SnapshotStore, as_of: Callable[[DataFrame], date], days: int):
+def retain(store: SnapshotStore, as_of: Callable[[DataFrame], date | None], days: int):
     """Batch function with bounded state: a key leaves the table when its day leaves the window.
 
     Rows have ``url, posting_date, pos``. A key that is in the table is not looked
@@ -76,14 +76,14 @@ def retain(store: SnapshotStore, as_of: Callable[[DataFrame], date], days: int):
 
     def on_batch(rows: DataFrame, batch_id: int) -> None:
         run_id = f"batch-{batch_id}"
-        if rows.isEmpty() or store.has_run(run_id):
-            return
-        rows = materialize(rows, "micro-batch")
+        version, done = store.state(run_id)
         day = as_of(rows)
-        current = store.jobs()
+        if done or day is None:
+            return
+        current = store.jobs(version)
         first = ordered.batch_dedup(rows, "url", "first", "pos")
         fresh = keys.new_records(first, keys.known_keys(current), spread_by=["pos"])
-        fresh = filters.within_days(fresh, day, days)
+        fresh = materialize(filters.within_days(fresh, day, days), "fresh")
         kept = current.withColumn("pos", F.lit(2**62) - F.coalesce(F.col("id"), F.lit(0)))
         merged = merge.merge_by_url(kept, fresh.select("url", "posting_date", "pos"))
         written = materialize(filters.within_days(merged, day, days), "written")
@@ -92,13 +92,14 @@ def retain(store: SnapshotStore, as_of: Callable[[DataFrame], date], days: int):
     return on_batch
 
 
-def drop_late(path: str, as_of: Callable[[DataFrame], date], days: int):
+def drop_late(path: str, as_of: Callable[[DataFrame], date | None], days: int):
     """Batch function: append the rows inside the window as of the batch to a table."""
 
     def on_batch(rows: DataFrame, batch_id: int) -> None:
-        if rows.isEmpty():
+        day = as_of(rows)
+        if day is None:
             return
-        kept = filters.within_days(rows, as_of(rows), days)
+        kept = filters.within_days(rows, day, days)
         kept.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return on_batch
@@ -108,8 +109,6 @@ def cut_streaks(path: str, known: DataFrame, n: int, variant: str):
     """Batch function: the listing of every micro-batch up to its known streak."""
 
     def on_batch(listing: DataFrame, batch_id: int) -> None:
-        if listing.isEmpty():
-            return
         rows = materialize(keys.known_flag(listing, known, spread_by=["source", "run_id", "ord"]), "micro-batch")
         kept = ordered.cut_after_streak(rows, n, variant)
         kept.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
