@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from jobsluice.functions.text import strip
 from jobsluice.operators.filters import french_or_english
 from jobsluice.operators.keys import record_key
-from jobsluice.operators.ordered import dense_numbers, number_rows
+from jobsluice.operators.ordered import dense_numbers, largest_group
 from jobsluice.session import materialize
 
 
@@ -31,7 +31,8 @@ def max_id(df: DataFrame) -> DataFrame:
 
 def assign_ids(rows: DataFrame, start: int, ord_col: str = "ord") -> DataFrame:
     """Give every row the next free id after ``start``, in the order of ``ord_col``."""
-    numbered = dense_numbers(rows.withColumn("_all", F.lit(0)), ["_all"], ord_col).drop("_all")
+    rows = materialize(rows.withColumn("_all", F.lit(0)), "number")
+    numbered = dense_numbers(rows, ["_all"], ord_col, largest_group(rows, ["_all"])).drop("_all")
     return numbered.withColumn("id", F.col("rn") + F.lit(start)).drop("rn")
 
 
@@ -69,7 +70,7 @@ def _merge(
         todo = todo.filter("_late = 0")
     counts = {row["_late"]: row["n"] for row in todo.groupBy("_late").agg(F.count("*").alias("n")).collect()}
     after_fresh = start + counts.get(0, 0)
-    numbers = number_rows(todo.select("_key", "_late", "_ord"), ["_late"], "_ord", sum(counts.values())).select(
+    numbers = dense_numbers(todo.select("_key", "_late", "_ord"), ["_late"], "_ord", max(counts.values(), default=0)).select(
         "_key", (F.col("rn") + F.when(F.col("_late") == 1, after_fresh).otherwise(start)).alias("_new_id")
     )
     ids = narrow.select("_key", "_id").join(numbers, "_key", "left")

@@ -1,57 +1,67 @@
 """Ordered logic over listings: streak cut, page prefix, limits, numbering.
 
 A listing is a table with group columns (``source``, ``run_id``) and a sortable
-``ord``. One group may hold a large share of all rows, so no window ever spans a
-whole group. ``running_count`` splits the order into blocks of bounded width,
-counts inside a block, and adds the totals of the blocks before it, which again
-are summed in blocks. Only one row per ``2 ** (shifts)`` positions reaches the
-last level.
+``ord``. One group may hold a large share of all rows. ``running_count`` therefore
+measures the groups: if the largest fits one task, a plain window per group does.
+Otherwise it splits the order into blocks of bounded width, counts inside a block,
+and adds the totals of the blocks before it, which are summed in blocks again, so
+that no window ever spans a large group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from jobsluice.schema import listing_order
+from jobsluice.session import materialize
+
 GROUP = ("source", "run_id")
 SHIFTS = (20, 14)
 
 
+# Up to this many rows of a group one task may window on its own.
+ONE_TASK_ROWS = 1_000_000
+
+
 def running_count(
     df: DataFrame,
-    counted: Column | None = None,
     marked: Column | None = None,
     groups: Sequence[str] = GROUP,
     ord_col: str = "ord",
     shifts: tuple[int, int] = SHIFTS,
+    largest_group: int | None = None,
 ) -> DataFrame:
     """Add ``rn`` and ``last_mark`` in the order of ``ord_col`` within a group.
 
-    ``rn`` is the number of counted rows up to and including the row.
-    ``last_mark`` is ``rn`` of the latest marked row up to and including it, 0 if
-    there is none. ``ord_col`` must be unique within a group and not negative.
+    ``rn`` numbers the rows of a group 1, 2, 3 … ``last_mark`` is ``rn`` of the
+    latest marked row up to and including the row, 0 if there is none. ``ord_col``
+    must be unique within a group and not negative. ``largest_group`` is the
+    measured size of the largest group, if known: groups that fit one task get a
+    plain window. The rows are read twice, so pass a stored table.
     """
+    groups, keep = list(groups), df.columns
+    mark = F.lit(False) if marked is None else marked
+    if largest_group is not None and largest_group <= ONE_TASK_ROWS:
+        return _count_in(df, groups, ord_col, mark).select(
+            *keep, F.col("_n").alias("rn"), F.coalesce("_m", F.lit(0)).alias("last_mark")
+        )
+
     low, high = shifts
-    groups = list(groups)
-    keep = df.columns
-    one = F.lit(1) if counted is None else F.when(counted, 1).otherwise(0)
-    inside = Window.partitionBy(*groups, "_b0").orderBy(ord_col).rowsBetween(Window.unboundedPreceding, 0)
     rows = df.withColumn("_b0", F.shiftright(F.col(ord_col), low))
-    rows = rows.withColumn("_n", F.sum(one.cast("bigint")).over(inside))
-    if marked is not None:
-        rows = rows.withColumn("_m", F.max(F.when(marked, F.col("_n"))).over(inside))
-    else:
-        rows = rows.withColumn("_m", F.lit(None).cast("bigint"))
-
+    rows = _count_in(rows, [*groups, "_b0"], ord_col, mark)
     blocks = rows.groupBy(*groups, "_b0").agg(F.max("_n").alias("_total"), F.max("_m").alias("_mark"))
-    blocks = blocks.withColumn("_b1", F.shiftright("_b0", high))
+    blocks = materialize(blocks.withColumn("_b1", F.shiftright("_b0", high)), "blocks")
+
+    # Offsets of the blocks within their block of blocks.
     before = Window.partitionBy(*groups, "_b1").orderBy("_b0").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_off", F.coalesce(F.sum("_total").over(before), F.lit(0)))
     blocks = blocks.withColumn("_mark", F.col("_off") + F.col("_mark"))
     blocks = blocks.withColumn("_carry", F.max("_mark").over(before))
-
+    # Offsets of the blocks of blocks.
     tops = blocks.groupBy(*groups, "_b1").agg(
         F.max(F.col("_off") + F.col("_total")).alias("_top_total"), F.max("_mark").alias("_top_mark")
     )
@@ -74,20 +84,28 @@ def running_count(
     )
 
 
-def dense_numbers(df: DataFrame, groups: Sequence[str], ord_col: str = "ord") -> DataFrame:
-    """Add ``rn`` = 1, 2, 3 … in the order of ``ord_col`` within a group."""
-    return running_count(df, groups=groups, ord_col=ord_col).drop("last_mark")
+def _count_in(rows: DataFrame, parts: list[str], ord_col: str, marked: Column) -> DataFrame:
+    """Add ``_n``, the row number within a part, and ``_m``, that of the latest marked row."""
+    order = Window.partitionBy(*parts).orderBy(ord_col)
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_n", F.row_number().over(order).cast("bigint"))
+    return rows.withColumn("_m", F.max(F.when(marked, F.col("_n"))).over(upto))
 
 
-# Up to this many rows one task may number on its own.
-ONE_TASK_ROWS = 1_000_000
+def largest_group(df: DataFrame, groups: Sequence[str] = GROUP) -> int:
+    """Rows of the largest group."""
+    sizes = df.groupBy(*groups).agg(F.count("*").alias("_n"))
+    return sizes.agg(F.coalesce(F.max("_n"), F.lit(0)).alias("n")).first()["n"]
 
 
-def number_rows(df: DataFrame, groups: Sequence[str], ord_col: str, n_rows: int) -> DataFrame:
-    """``dense_numbers`` for a table of known size: a plain window if one task can take it."""
-    if n_rows > ONE_TASK_ROWS:
-        return dense_numbers(df, groups, ord_col)
-    return df.withColumn("rn", F.row_number().over(Window.partitionBy(*groups).orderBy(ord_col)).cast("bigint"))
+def dense_numbers(
+    df: DataFrame, groups: Sequence[str], ord_col: str = "ord", n_rows: int | None = None
+) -> DataFrame:
+    """Add ``rn`` = 1, 2, 3 … in the order of ``ord_col`` within a group.
+
+    ``n_rows`` is the size of the largest group, if known.
+    """
+    return running_count(df, groups=groups, ord_col=ord_col, largest_group=n_rows).drop("last_mark")
 
 
 def streak_cut(listing: DataFrame, n: int, variant: str = "a", groups: Sequence[str] = GROUP) -> DataFrame:
@@ -108,7 +126,8 @@ def streak_cut(listing: DataFrame, n: int, variant: str = "a", groups: Sequence[
         )
     else:
         counted = listing.select(*groups, "ord", "known")
-    scan = running_count(counted, marked=~F.col("known"), groups=groups)
+    counted = materialize(counted, "streak")
+    scan = running_count(counted, ~F.col("known"), groups, largest_group=largest_group(counted, groups))
     return scan.filter(F.col("rn") - F.col("last_mark") >= n).groupBy(*groups).agg(F.min("ord").alias("cut"))
 
 
@@ -122,7 +141,7 @@ def cut_after_streak(listing: DataFrame, n: int, variant: str = "a", groups: Seq
     """The listing up to the row that completes ``n`` known ones; ``n <= 0`` keeps all."""
     if n <= 0:
         return listing
-    return apply_cut(listing, streak_cut(listing, n, variant, groups), groups)
+    return apply_cut(listing, materialize(streak_cut(listing, n, variant, groups), "cut"), groups)
 
 
 def first_seen(listing: DataFrame, keys: Sequence[str] = ("url",)) -> DataFrame:
@@ -155,11 +174,25 @@ def limit_new(rows: DataFrame, n: int, groups: Sequence[str] = GROUP) -> DataFra
 
 def limit_prefix(listing: DataFrame, accepted: Column, n: int, groups: Sequence[str] = GROUP) -> DataFrame:
     """Cut every group at its ``n``-th accepted row; later rows are not seen at all."""
-    if n <= 0:
-        return listing
+    return apply_cut(listing, limit_cut(listing, accepted, n, groups), groups) if n > 0 else listing
+
+
+def limit_cut(listing: DataFrame, accepted: Column, n: int, groups: Sequence[str] = GROUP) -> DataFrame:
+    """Where the ``n``-th accepted row ends a listing; no rows if ``n <= 0``."""
     first = limit_new(listing.filter(accepted).select(*groups, "ord"), n, groups)
     cut = first.groupBy(*groups).agg(F.max("ord").alias("cut"), F.count("*").alias("_n"))
-    return apply_cut(listing, cut.filter(F.col("_n") == n).drop("_n"), groups)
+    return cut.filter(F.col("_n") == n).drop("_n")
+
+
+def page_cut(ends: DataFrame, groups: Sequence[str] = GROUP) -> DataFrame:
+    """Last pages as cuts: the place just before the page after them."""
+    return ends.select(*groups, (listing_order(F.col("last_page") + 1, F.lit(0)) - 1).alias("cut"))
+
+
+def earliest_cut(cuts: Sequence[DataFrame], groups: Sequence[str] = GROUP) -> DataFrame:
+    """Of several cuts the first one per listing; listings without any have no row."""
+    every = reduce(DataFrame.unionByName, cuts)
+    return every.groupBy(*groups).agg(F.min("cut").alias("cut"))
 
 
 def page_summary(listing: DataFrame, groups: Sequence[str] = GROUP) -> DataFrame:

@@ -84,22 +84,27 @@ def collect_listing(
     days = policy.days if days is None else days
     stop = policy.stop_after_known if stop_after_known is None else stop_after_known
     known = keys.known_keys(current, seen)
-    rows = listing.withColumn("ord", listing_order(F.col("page_no"), F.col("pos_on_page")))
-    rows = keys.known_flag(filters.drop_blank_key(rows), known, spread_by=["source", "run_id", "ord"])
     recent = filters.is_recent(F.col("posting_date"), as_of, days) if policy.fresh_days else F.lit(True)
-    test = policy.language if policy.language == "fr" else None
-    rows = filters.with_language_flag(rows, test).withColumn("accepted", ~F.col("known") & F.col("lang_ok") & recent)
-    rows = materialize(rows.drop("lang_ok"), "listing")
-
-    walked = rows
-    if policy.streak:
-        walked = ordered.apply_cut(walked, ordered.streak_cut(rows, stop, policy.streak)) if stop > 0 else walked
+    rows = listing.withColumn("ord", listing_order(F.col("page_no"), F.col("pos_on_page")))
+    rows = filters.with_language_flag(filters.drop_blank_key(rows), "fr" if policy.language == "fr" else None)
+    rows = materialize(rows.withColumn("passes", F.col("lang_ok") & recent).drop("lang_ok"), "listing")
+
+    # The ordered logic sees narrow rows only and gives one cut per listing.
+    narrow = rows.select("source", "run_id", "page_no", "ord", "url", "passes")
+    cuts = []
+    if (policy.streak and stop > 0) or max_jobs > 0:
+        flagged = keys.known_flag(narrow, known, spread_by=["source", "run_id", "ord"])
+        if policy.streak and stop > 0:
+            cuts.append(ordered.streak_cut(flagged, stop, policy.streak))
+        cuts.append(ordered.limit_cut(flagged, F.col("passes") & ~F.col("known"), max_jobs))
     if pages is not None and page_rule:
-        size = policy.page_size or 25
-        walked = ordered.page_prefix(walked, ordered.last_page(pages, page_rule, max_pages, size))
-    walked = ordered.limit_prefix(walked, F.col("accepted"), max_jobs)
-    fresh = walked.filter("accepted").withColumn("pos", F.col("ord"))
-    return _finish(policy, current, known, walked, fresh, as_of, days)
+        ends = ordered.last_page(pages, page_rule, max_pages, policy.page_size or 25)
+        cuts.append(ordered.page_cut(ends))
+    walked = rows
+    if cuts:
+        walked = ordered.apply_cut(rows, materialize(ordered.earliest_cut(cuts), "cut"))
+    fresh = keys.new_records(walked.filter("passes"), known, spread_by=["source", "run_id", "ord"])
+    return _finish(policy, current, known, walked, fresh.withColumn("pos", F.col("ord")), as_of, days)
 
 
 def collect_feed_items(
@@ -134,17 +139,18 @@ def walk_listing_pages(
     """
     carry = ("source", "run_id", "page_no")
     links = extract.listing_cards(pages, rule, carry) if cards else extract.detail_links(pages, rule, carry)
-    links = links.withColumn("ord", listing_order(F.col("page_no"), F.col("pos"))).drop("pos")
-    links = keys.known_flag(links, known, spread_by=["source", "run_id", "ord"])
-    links = materialize(links, "links")
-    counts = ordered.page_summary(links)
+    links = materialize(links.withColumn("ord", listing_order(F.col("page_no"), F.col("pos"))).drop("pos"), "links")
+    first = ordered.first_seen(links, ("source", "run_id", "url"))
+    first = materialize(keys.known_flag(first, known, spread_by=["source", "run_id"]), "first-links")
+    counts = links.groupBy(*carry).agg(F.count("*").alias("n_rows"))
+    new = first.groupBy(*carry).agg(F.count("*").alias("n_new"))
     total = F.col("total") if "total" in pages.columns else F.lit(None).cast("bigint")
-    frame = pages.select("source", "run_id", "page_no", "status", total.alias("total"))
-    frame = frame.join(counts, ["source", "run_id", "page_no"], "left").fillna(0, ["n_rows", "n_new"])
-    walked = ordered.page_prefix(links, ordered.last_page(frame, page_rule, max_pages))
+    frame = pages.select(*carry, "status", total.alias("total"))
+    frame = frame.join(counts, list(carry), "left").join(new, list(carry), "left").fillna(0, ["n_rows", "n_new"])
+    cuts = [ordered.page_cut(ordered.last_page(frame, page_rule, max_pages))]
     if streak > 0:
-        walked = ordered.apply_cut(walked, ordered.streak_cut(links, streak, "a"))
-    return ordered.first_seen(walked, ("source", "run_id", "url"))
+        cuts.append(ordered.streak_cut(first, streak, "a"))
+    return ordered.apply_cut(first, ordered.earliest_cut(cuts))
 
 
 # What ends a listing of the HTML sources.

@@ -203,7 +203,8 @@ def _streak_sql(counted, n):
     ),
 )
 def streak_cut_a(spark, sf):
-    return ordered.cut_after_streak(flagged(spark, sf), 5, "a").select("source", "event_id", "page_no", "url")
+    cut = ordered.streak_cut(flagged(spark, sf), 5, "a", ["source", "run_id"])
+    return ordered.apply_cut(listing(spark, sf), cut).select("source", "event_id", "page_no", "url")
 
 
 @query("streak_cut_b", _streak_sql("SELECT source, event_id, url IN (SELECT url FROM known) AS known FROM e", 10))
