@@ -66,7 +66,7 @@ def start_tags(markup: Column, tag: str) -> Column:
 def attribute(attrs: Column, name: str) -> Column:
     """Value of one attribute inside a start tag, NULL if it is missing or empty."""
     value = r"""(?:"[^"]*"|'[^']*'|[^\s>"']+)"""
-    before = rf"""(?:[\s/]*(?!{name}[\s=])[^\s=>/"']+(?:\s*=\s*{value})?)*?"""
+    before = rf"""(?:[\s/]*(?!{name}[\s=])[^\s=>/"']++(?:\s*=\s*{value})?)*?"""
     raw = F.regexp_extract(attrs, rf"(?is)^{before}[\s/]*{name}\s*=\s*({value})", 1)
     return F.nullif(F.regexp_replace(raw, r"""^["']|["']$""", ""), F.lit(""))
 
