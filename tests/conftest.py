@@ -1,5 +1,6 @@
 """One local session for all tests."""
 
+import os
 import sys
 import tempfile
 from pathlib import Path
@@ -8,6 +9,8 @@ import pytest
 
 ROOT = Path(__file__).resolve().parents[1]
 sys.path[:0] = [str(ROOT), str(ROOT / "tools")]
+# Python workers import classifiers from the test modules.
+os.environ["PYTHONPATH"] = os.pathsep.join([str(ROOT / "tests"), os.environ.get("PYTHONPATH", "")])
 
 from jobsluice.session import build_session  # noqa: E402
 
