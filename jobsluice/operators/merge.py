@@ -6,8 +6,9 @@ fresh row replaces the whole current row but keeps the id of the last current
 row. Other keys of ``fresh`` get the next ids in the order they first appear;
 then, with ``backfill``, current rows without an id do.
 
-Every key collapses to one row before the shuffle, so a hot key costs no more
-than a cold one; only keys that need an id are numbered, in bounded blocks.
+The winner of every key is found on narrow rows, which collapse before the
+shuffle, so a hot key costs no more than a cold one. Only keys that need an id are
+numbered, and the payload is moved once.
 """
 
 from __future__ import annotations
@@ -51,18 +52,25 @@ def _merge(
         .withColumn("_key", key)
         .filter(F.col("_key") != "")
     )
-    old = F.col("_batch") == 0
-    # First pass over key, id and pos alone.
+    # First pass over key, id and pos alone: plain numbers, so Spark hashes them.
+    old_pos = F.when(F.col("_batch") == 0, F.col("pos"))
+    new_pos = F.when(F.col("_batch") == 1, F.col("pos"))
     narrow = both.groupBy("_key").agg(
-        F.max_by(F.struct("id"), F.when(old, F.col("pos"))).alias("_old"),
-        F.min(F.when(~old, F.col("pos"))).alias("_fresh_pos"),
-        F.min(F.when(old, F.col("pos"))).alias("_old_pos"),
+        F.max_by("id", old_pos).alias("_id"),
+        F.min(new_pos).alias("_first_new"),
+        F.min(old_pos).alias("_first_old"),
+        F.max(new_pos).alias("_last_new"),
+        F.max(old_pos).alias("_last_old"),
+        *[F.max_by(c, old_pos).alias(f"_old_{c}") for c in preserve],
     )
     narrow = narrow.select(
         "_key",
-        F.col("_old.id").alias("_id"),
-        F.col("_fresh_pos").isNull().cast("int").alias("_late"),
-        F.coalesce("_fresh_pos", "_old_pos").alias("_ord"),
+        "_id",
+        F.col("_first_new").isNull().cast("int").alias("_late"),
+        F.coalesce("_first_new", "_first_old").alias("_ord"),
+        F.col("_last_new").isNotNull().cast("int").alias("_batch"),
+        F.coalesce("_last_new", "_last_old").alias("pos"),
+        *[f"_old_{c}" for c in preserve],
     )
     narrow = materialize(narrow, "merge-keys")
     todo = narrow.filter(F.col("_id").isNull())
@@ -70,19 +78,17 @@ def _merge(
         todo = todo.filter("_late = 0")
     counts = {row["_late"]: row["n"] for row in todo.groupBy("_late").agg(F.count("*").alias("n")).collect()}
     after_fresh = start + counts.get(0, 0)
-    numbers = dense_numbers(todo.select("_key", "_late", "_ord"), ["_late"], "_ord", max(counts.values(), default=0)).select(
+    todo = todo.select("_key", "_late", "_ord")
+    numbers = dense_numbers(todo, ["_late"], "_ord", max(counts.values(), default=0)).select(
         "_key", (F.col("rn") + F.when(F.col("_late") == 1, after_fresh).otherwise(start)).alias("_new_id")
     )
-    ids = narrow.select("_key", "_id").join(numbers, "_key", "left")
-    ids = ids.select("_key", F.coalesce("_id", "_new_id").alias("id"))
-
-    # Second pass: the payload is shuffled once, by key, and meets the ids there.
-    kept = [F.max_by(F.struct(*preserve), F.when(old, F.col("pos"))).alias("_kept")] if preserve else []
-    rows = both.groupBy("_key").agg(F.max_by(F.struct(*payload), F.struct("_batch", "pos")).alias("_row"), *kept)
-    columns = [
-        F.coalesce(f"_kept.{c}", f"_row.{c}").alias(c) if c in preserve else F.col(f"_row.{c}") for c in payload
-    ]
-    return rows.join(ids, "_key").select("id", *columns)
+    winners = narrow.drop("_late", "_ord").join(numbers, "_key", "left")
+
+    # Second pass: the payload meets its id by its place in the batch, which no two rows
+    # share. A hot key is one row here, and a small result is broadcast by Spark.
+    rows = both.drop("id").join(winners, ["_key", "_batch", "pos"])
+    columns = [F.coalesce(f"_old_{c}", c).alias(c) if c in preserve else F.col(c) for c in payload]
+    return rows.select(F.coalesce("_id", "_new_id").alias("id"), *columns)
 
 
 def merge_by_url(

@@ -34,11 +34,13 @@ def running_count(
     ord_col: str = "ord",
     shifts: tuple[int, int] = SHIFTS,
     largest_group: int | None = None,
+    weight: Column | None = None,
 ) -> DataFrame:
     """Add ``rn`` and ``last_mark`` in the order of ``ord_col`` within a group.
 
-    ``rn`` numbers the rows of a group 1, 2, 3 … ``last_mark`` is ``rn`` of the
-    latest marked row up to and including the row, 0 if there is none. ``ord_col``
+    ``rn`` numbers the rows of a group 1, 2, 3 …, or with ``weight`` sums it up to
+    and including the row. ``last_mark`` is ``rn`` of the latest marked row up to
+    and including the row, 0 if there is none. ``ord_col``
     must be unique within a group and not negative. ``largest_group`` is the
     measured size of the largest group, if known: groups that fit one task get a
     plain window. The rows are read twice, so pass a stored table.
@@ -46,13 +48,13 @@ def running_count(
     groups, keep = list(groups), df.columns
     mark = F.lit(False) if marked is None else marked
     if largest_group is not None and largest_group <= ONE_TASK_ROWS:
-        return _count_in(df, groups, ord_col, mark).select(
+        return _count_in(df, groups, ord_col, mark, weight).select(
             *keep, F.col("_n").alias("rn"), F.coalesce("_m", F.lit(0)).alias("last_mark")
         )
 
     low, high = shifts
     rows = df.withColumn("_b0", F.shiftright(F.col(ord_col), low))
-    rows = _count_in(rows, [*groups, "_b0"], ord_col, mark)
+    rows = _count_in(rows, [*groups, "_b0"], ord_col, mark, weight)
     blocks = rows.groupBy(*groups, "_b0").agg(F.max("_n").alias("_total"), F.max("_m").alias("_mark"))
     blocks = materialize(blocks.withColumn("_b1", F.shiftright("_b0", high)), "blocks")
 
@@ -84,11 +86,12 @@ def running_count(
     )
 
 
-def _count_in(rows: DataFrame, parts: list[str], ord_col: str, marked: Column) -> DataFrame:
-    """Add ``_n``, the row number within a part, and ``_m``, that of the latest marked row."""
-    order = Window.partitionBy(*parts).orderBy(ord_col)
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_n", F.row_number().over(order).cast("bigint"))
+def _count_in(
+    rows: DataFrame, parts: list[str], ord_col: str, marked: Column, weight: Column | None
+) -> DataFrame:
+    """Add ``_n``, the running number within a part, and ``_m``, that of the latest marked row."""
+    upto = Window.partitionBy(*parts).orderBy(ord_col).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_n", F.sum(F.lit(1) if weight is None else weight).over(upto).cast("bigint"))
     return rows.withColumn("_m", F.max(F.when(marked, F.col("_n"))).over(upto))
 
 
@@ -119,8 +122,12 @@ def streak_cut(listing: DataFrame, n: int, variant: str = "a", groups: Sequence[
     if variant == "a":
         counted = (
             listing.groupBy(*groups, "url")
-            .agg(F.min_by(F.struct("ord", "page_no", "known"), "ord").alias("_first"))
-            .select(*groups, "_first.*")
+            .agg(
+                F.min("ord").alias("_first"),
+                F.min_by("page_no", "ord").alias("page_no"),
+                F.min_by("known", "ord").alias("known"),
+            )
+            .withColumnRenamed("_first", "ord")
             .filter("page_no > 1")
             .select(*groups, "ord", "known")
         )
@@ -264,9 +271,11 @@ def last_page(
 
 def _running_new(pages: DataFrame, groups: list[str]) -> DataFrame:
     """Add ``_distinct``: URLs seen up to and including the page."""
-    # Pages of a walk are capped, so one window per group is bounded.
-    order = Window.partitionBy(*groups).orderBy("page_no").rowsBetween(Window.unboundedPreceding, 0)
-    return pages.withColumn("_distinct", F.sum("n_new").over(order))
+    pages = materialize(pages, "pages")
+    scan = running_count(
+        pages, groups=groups, ord_col="page_no", largest_group=largest_group(pages, groups), weight=F.col("n_new")
+    )
+    return scan.withColumnRenamed("rn", "_distinct").drop("last_mark")
 
 
 def page_prefix(listing: DataFrame, ends: DataFrame, groups: Sequence[str] = GROUP) -> DataFrame:

@@ -64,6 +64,11 @@ def test_blocks_equal_plain_windows(spark):
     for shifts in ((3, 2), (6, 3), (20, 14)):
         blocks = ordered.running_count(df, F.col("m"), ["g"], shifts=shifts)
         assert sorted(map(tuple, blocks.collect())) == sorted(map(tuple, plain.collect()))
+        weighted = ordered.running_count(df, groups=["g"], shifts=shifts, weight=F.col("ord") % 3)
+        total = {}
+        for row in weighted.orderBy("g", "ord").collect():
+            total[row.g] = total.get(row.g, 0) + row.ord % 3
+            assert row.rn == total[row.g]
 
 
 def test_first_seen_and_dedup(spark):
