@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from jobsluice.functions import html as H
 from jobsluice.functions import variant as V
+from jobsluice.functions.binding import bind
 from jobsluice.functions.dates import DEADLINE_LABELS, POSTING_LABELS, before_t, labelled_day
 from jobsluice.functions.text import (
     WS,
@@ -37,11 +38,16 @@ GRAPH_KEYS = ("@graph", "graph", "itemListElement")
 
 def page_links(pages: DataFrame, origin: str, carry: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """Every link of a page: the carried columns, ``pos`` (0-based) and absolute ``url`` without fragment."""
-    found = pages.select(*carry, F.posexplode(H.start_tags(H.visible_markup(F.col("html")), "a")).alias("pos", "_tag"))
-    found = found.withColumn("href", H.attribute(F.col("_tag"), "href")).drop("_tag")
-    found = found.filter(F.col("href").isNotNull()).withColumn("href", unescape(F.col("href")))
-    found = found.withColumn("href", clean_href(F.col("href"))).filter(F.col("href") != "")
-    return found.withColumn("url", drop_fragment(absolute_url(F.col("href"), origin))).drop("href")
+    tags = H.start_tags(H.visible_markup(F.col("html")), "a")
+    hrefs = F.filter(F.transform(tags, lambda tag: H.attribute(tag, "href")), lambda href: href.isNotNull())
+    found = pages.select(*carry, F.posexplode(hrefs).alias("pos", "href"))
+    found = found.withColumn("href", unescape(F.col("href")))
+
+    def resolve(href: Column) -> Column:
+        return F.when(href != "", drop_fragment(absolute_url(href, origin)))
+
+    url = bind(clean_href(F.col("href")), resolve)
+    return found.withColumn("url", url).drop("href").filter(F.col("url").isNotNull())
 
 
 def detail_links(pages: DataFrame, rule: SiteRule, carry: tuple[str, ...] = ("page_id",)) -> DataFrame:

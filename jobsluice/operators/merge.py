@@ -123,7 +123,7 @@ def merge_two_level(output: DataFrame, master: DataFrame, fresh: DataFrame) -> t
 
     Returns the new master and the new output.
     """
-    new_master = merge_by_url(master, fresh)
+    new_master = materialize(merge_by_url(master, fresh), "master")
     # The master is listed newest first, that order decides new ids in the output.
     top = F.lit(2**62)
     as_batch = new_master.withColumn("pos", top - F.col("id"))

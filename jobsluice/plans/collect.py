@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobsluice.functions.urls import SiteRule
 from jobsluice.operators import extract, filters, keys, merge, ordered
+from jobsluice.operators.assemble import assemble_ge
 from jobsluice.schema import Policy, listing_order
 from jobsluice.session import materialize
 
@@ -23,6 +24,8 @@ class RunResult:
     merged: DataFrame
     written: DataFrame
     seen: DataFrame
+    details: DataFrame | None = None  # parsed detail pages with ``ok``
+    master: DataFrame | None = None  # the new master table of the two-level mode
 
 
 def _finish(
@@ -33,9 +36,9 @@ def _finish(
     fresh: DataFrame,
     as_of: date,
     days: int,
+    details: DataFrame | None = None,
 ) -> RunResult:
-    columns = [c for c in current.columns if c not in ("id", "pos")]
-    batch = fresh.select("pos", *[c for c in columns if c in fresh.columns])
+    batch = fresh.select(_shared(current, fresh))
     if policy.record_key:
         merged = merge.merge_by_key(current, batch)
     else:
@@ -57,7 +60,12 @@ def _finish(
         fresh=fresh,
         key=key,
     )
-    return RunResult(walked, fresh, merged, written, seen)
+    return RunResult(walked, fresh, merged, written, seen, details)
+
+
+def _shared(table: DataFrame, batch: DataFrame) -> list[str]:
+    """Columns a batch brings to a table; ids come from the merge."""
+    return [c for c in batch.columns if c in table.columns and c != "id"]
 
 
 def collect_listing(
@@ -173,11 +181,15 @@ def collect_pages(
     page_rule: str | None = None,
     feed: DataFrame | None = None,
     detail: str = "graph",
+    master: DataFrame | None = None,
 ) -> RunResult:
     """Run of a source with listing pages and detail pages.
 
-    ``detail_pages`` has ``url, html``. Only pages of new links are parsed.
-    ``detail`` names the record form: ``graph``, ``nested`` or ``page``.
+    ``detail_pages`` has ``url, html``. Only pages of new links are parsed; a new
+    link without a page, or with one that cannot be read, is a failed fetch.
+    ``detail`` names the record form: ``graph``, ``nested`` or ``page``. ``master``
+    turns on the two-level mode: its keys count for the streak but not as known,
+    fresh records go into it, and it goes into the output.
     """
     days = policy.days if days is None else days
     stop = policy.stop_after_known if stop_after_known is None else stop_after_known
@@ -185,33 +197,36 @@ def collect_pages(
     walked = walk_listing_pages(
         list_pages,
         rule,
-        known,
+        known if master is None else keys.known_keys(current, seen, master),
         streak=stop,
         page_rule=page_rule or PAGE_RULES[rule.name],
         max_pages=max_pages,
         cards=detail == "page",
     )
     walked = materialize(walked, "walked")
-    new = ordered.limit_new(walked.filter(~F.col("known")), max_jobs)
+    if master is None:
+        new = walked.filter(~F.col("known"))
+    else:
+        new = keys.new_records(walked, known, spread_by=["source", "run_id"])
+    new = ordered.limit_new(new.drop("known"), max_jobs)
     wanted = detail_pages.join(new.select("url").distinct(), "url", "left_semi")
-    parse = {
-        "graph": extract.detail_record_graph,
-        "nested": extract.detail_record_nested,
-        "page": extract.page_detail,
-    }[detail]
-    records = parse(wanted)
-    if "ok" in records.columns:
-        records = records.filter("ok").drop("ok")
     if detail == "page":
-        from jobsluice.operators.assemble import assemble_ge
-
         empty = list_pages.sparkSession.createDataFrame(
             [], "url string, title string, posting_date string, summary string"
         )
-        fresh = assemble_ge(new, records, feed if feed is not None else empty).withColumn("pos", F.col("ord"))
+        details = assemble_ge(new, extract.page_detail(wanted), feed if feed is not None else empty)
+        details = details.withColumn("ok", F.lit(True))
     else:
-        names = [c for c in records.columns if c != "url"]
-        fresh = new.select("url", "ord").join(records, "url").select("url", *names, F.col("ord").alias("pos"))
+        parse = {"graph": extract.detail_record_graph, "nested": extract.detail_record_nested}[detail]
+        details = new.select("url", "ord").join(parse(wanted), "url", "left")
+        details = details.withColumn("ok", F.coalesce("ok", F.lit(False)))
+    details = materialize(details.withColumn("pos", F.col("ord")), "details")
+    fresh = details.filter("ok")
     if policy.fresh_days:
         fresh = filters.within_days(fresh, as_of, days)
-    return _finish(policy, current, known, walked, materialize(fresh, "fresh"), as_of, days)
+    if master is None:
+        return _finish(policy, current, known, walked, fresh, as_of, days, details)
+    new_master, merged = merge.merge_two_level(current, master, fresh.select(_shared(master, fresh)))
+    written = filters.within_days(merged, as_of, days) if policy.output_days else merged
+    seen = keys.known_keys(known, walked.select("url"), new_master.select("url"))
+    return RunResult(walked, fresh, merged, written, seen, details, new_master)

@@ -52,17 +52,21 @@ def job_schema(spark: SparkSession) -> T.StructType:
     return spark.createDataFrame([], JOB_SCHEMA).schema
 
 
+def read_items(docs: DataFrame, objects_only: bool = True) -> DataFrame:
+    """Elements of files that hold one JSON array, as VARIANT ``item`` with ``path`` and ``pos``."""
+    items = docs.select("path", F.posexplode(_json_list(F.col("text"))).alias("pos", "item"))
+    items = items.withColumn("pos", F.col("pos").cast("bigint"))
+    return items.filter(V.is_object(F.col("item"))) if objects_only else items
+
+
 def read_job_array(docs: DataFrame, objects_only: bool = True) -> DataFrame:
     """Records of files that hold one JSON array, with ``path`` and ``pos``.
 
     Broken text or another top level gives no rows; elements that are no objects
     are dropped, or with ``objects_only=False`` kept as empty records.
     """
-    items = docs.select("path", F.posexplode(_json_list(F.col("text"))).alias("pos", "item"))
-    if objects_only:
-        items = items.filter(V.is_object(F.col("item")))
-    fields = job_fields(F.col("item"), job_schema(docs.sparkSession))
-    return items.select("path", F.col("pos").cast("bigint").alias("pos"), *fields)
+    items = read_items(docs, objects_only)
+    return items.select("path", "pos", *job_fields(F.col("item"), job_schema(docs.sparkSession)))
 
 
 def read_seen_state(docs: DataFrame, field: str = "seen_urls", trim: bool = True) -> DataFrame:

@@ -81,3 +81,32 @@ def test_feed_run(spark):
     got = {(r.id, r.url, r.title) for r in run.written.collect()}
     assert got == {(4, "u2", "old"), (None, "u9", "old"), (5, "", "A"), (6, "u1", "B")}
     assert {r.key for r in run.seen.collect()} == {"u1", "u2", "u8", "u9", "a|c|l"}
+
+
+def test_two_level_run(spark):
+    site = _site(11)
+    _, urls, known, broken = site
+    pages, details, current, seen = _frames(spark, site)
+    in_master = [u for u in urls if u not in known][:5]
+    master = spark.createDataFrame([(100 + n, u, "m", None, "2026-01-21", n) for n, u in enumerate(in_master)], JOBS)
+    policy = Policy("t", fresh_days=False)
+    run = collect_pages(
+        pages, details, current, seen, RULE, policy, date(2026, 1, 28), days=0, stop_after_known=4, page_rule="empty",
+        master=master,
+    )
+    combined = (site[0], urls, known | set(in_master), broken)
+    links = _walk(combined, 4)
+    fresh = [u for u in links if u not in known and u not in broken]
+    master_ids = {u: 100 + n for n, u in enumerate(in_master)}
+    top = max(master_ids.values())
+    for u in fresh:
+        if u not in master_ids:
+            top += 1
+            master_ids[u] = top
+    assert {r.url: r.id for r in run.master.collect()} == master_ids
+    ids = {u: n + 1 for n, u in enumerate(sorted(known))}
+    for u in sorted(master_ids, key=master_ids.get, reverse=True):
+        ids.setdefault(u, len(ids) + 1)
+    assert {r.url: r.id for r in run.written.collect()} == ids
+    assert {r.key for r in run.seen.collect()} == known | set(links) | set(master_ids)
+    assert {r.url for r in run.details.filter("NOT ok").collect()} == {u for u in links if u in broken and u not in known}
