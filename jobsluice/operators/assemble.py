@@ -28,7 +28,7 @@ def assemble_ge(cards: DataFrame, details: DataFrame, feed: DataFrame) -> DataFr
         "url", F.col("title").alias("_title"), F.col("description").alias("_description"), "posting_date", "date_limite"
     )
     rows = feed_left_join(cards.join(detail, "url"), feed)
-    rest = [c for c in cards.columns if c not in ("url", "title", "departement", "taux", "remuneration")]
+    rest = [c for c in cards.columns if c not in ("url", "title", "departement", "taux", "remuneration", "source")]
     return rows.select(
         *rest,
         first_filled(F.col("_title"), F.col("title"), F.col("feed_title")).alias("title"),

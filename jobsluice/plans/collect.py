@@ -86,12 +86,15 @@ def collect_listing(
 
     ``listing`` has ``source, run_id, page_no, pos_on_page`` and record columns;
     ``current`` the record columns with ``id`` and ``pos``; ``seen`` the column
-    ``key``. ``pages`` with ``page_rule`` ends the walk at a page edge. The walk
-    ends at the earliest of streak, page rule and job limit.
+    ``key``. ``page_rule`` ends the walk at a page edge; ``pages`` describes the
+    pages for it and is taken from the listing (and its ``total``, if there is one)
+    if not given. The walk ends at the earliest of streak, page rule and job limit.
     """
     days = policy.days if days is None else days
     stop = policy.stop_after_known if stop_after_known is None else stop_after_known
     known = keys.known_keys(current, seen)
+    if page_rule and pages is None:
+        listing = materialize(listing, "captured")
     recent = filters.is_recent(F.col("posting_date"), as_of, days) if policy.fresh_days else F.lit(True)
     rows = listing.withColumn("ord", listing_order(F.col("page_no"), F.col("pos_on_page")))
     rows = filters.with_language_flag(filters.drop_blank_key(rows), "fr" if policy.language == "fr" else None)
@@ -105,7 +108,8 @@ def collect_listing(
         if policy.streak and stop > 0:
             cuts.append(ordered.streak_cut(flagged, stop, policy.streak))
         cuts.append(ordered.limit_cut(flagged, F.col("passes") & ~F.col("known"), max_jobs))
-    if pages is not None and page_rule:
+    if page_rule:
+        pages = _pages_of(listing) if pages is None else pages
         ends = ordered.last_page(pages, page_rule, max_pages, policy.page_size or 25)
         cuts.append(ordered.page_cut(ends))
     walked = rows
@@ -115,6 +119,20 @@ def collect_listing(
     return _finish(policy, current, known, walked, fresh.withColumn("pos", F.col("ord")), as_of, days)
 
 
+# What ends a listing of the API sources.
+API_PAGE_RULES = {"jobroom": "short", "adzuna": "distinct"}
+
+
+def _pages_of(listing: DataFrame) -> DataFrame:
+    """Page table of a listing, rows without a URL counted as rows."""
+    page = ["source", "run_id", "page_no"]
+    total = F.max("total") if "total" in listing.columns else F.lit(None).cast("bigint")
+    counts = listing.groupBy(*page).agg(F.count("*").alias("n_rows"), total.alias("total"))
+    first = filters.drop_blank_key(listing).groupBy("source", "run_id", "url").agg(F.min("page_no").alias("page_no"))
+    new = first.groupBy(*page).agg(F.count("*").alias("n_new"))
+    return counts.join(new, page, "left").fillna(0, ["n_new"]).withColumn("status", F.lit(200))
+
+
 def collect_feed_items(
     items: DataFrame, current: DataFrame, seen: DataFrame, policy: Policy, as_of: date
 ) -> RunResult:

@@ -170,7 +170,7 @@ def headers(spark, sf):
     SELECT api, page_no, pos, event_id, user_id,
            CASE WHEN api = 'jobroom' AND form IN (0, 1) THEN page_no * 10
                 WHEN api = 'adzuna' AND form = 3 THEN page_no END AS total
-    FROM r WHERE (api = 'jobroom') OR (api = 'adzuna' AND form = 3) OR api = 'rapidapi'
+    FROM r WHERE api <> 'adzuna' OR form IN (1, 3)
     """,
 )
 def envelopes(spark, sf):
@@ -188,7 +188,7 @@ def envelopes(spark, sf):
     payloads = pages.select("page_no", payload.alias("payload"))
     out = None
     for api, envelope in ENVELOPES.items():
-        rows = unpack_envelope(payloads.filter(form == 3) if api == "adzuna" else payloads, envelope)
+        rows = unpack_envelope(payloads, envelope)
         rows = rows.select(
             F.lit(api).alias("api"),
             "page_no",

@@ -6,15 +6,17 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from jobsluice.functions import language as lang
+from jobsluice.functions.urls import SiteRule
 from jobsluice.operators.extract import page_links
 from jobsluice.operators.normalize import normalize_adzuna, normalize_alias
 from jobsluice.operators.report import run_report
-from jobsluice.plans.collect import collect_feed_items, collect_listing, collect_pages
+from jobsluice.plans.collect import API_PAGE_RULES, collect_feed_items, collect_listing, collect_pages
 from jobsluice.queries.merges import merge_sql
-from jobsluice.functions.urls import SiteRule
 from jobsluice.queries.pages import _LINKS_SQL
 from jobsluice.queries.registry import json_pages, query, spread, table
 from jobsluice.schema import POLICIES, Policy
+from jobsluice.queries.texts import _TITLE_SQL, _hits_sql
 from jobsluice.sources.payloads import ENVELOPES, unpack_envelope
 
 AS_OF = date(2024, 1, 30)
@@ -92,6 +94,75 @@ def run_api_source_seen(spark, sf):
     return _api_run(spark, sf).seen
 
 
+# The listing is all documents, 25 a page. The address is source, language and size
+# class; French ones carry their language code, the others are read. Documents with a
+# good label in the first half of the list are current.
+_LANG_SQL = f"""
+    {_TITLE_SQL}, {_hits_sql(lang.PLAIN_TOKEN, lang.PLAIN_HINTS)},
+    e AS (SELECT doc_id AS pos, doc_id // 25 + 1 AS page_no, title, text,
+                 'https://d.example.com/' || source || '/' || h.lang || '/' || (n_chars // 50) AS url,
+                 strftime(DATE '2024-01-01' + CAST(n_chars % 40 AS INTEGER), '%Y-%m-%d') AS posting_date,
+                 h.lang = 'fr' OR (n_fr >= 2 AND n_fr >= greatest(n_en, n_de, n_it)) AS french
+          FROM h JOIN documents USING (doc_id, text)),
+    cur AS (SELECT e.* FROM e JOIN labels ON doc_id = pos WHERE quality = 1 AND pos < (SELECT max(pos) / 2 FROM e)),
+    scan AS (SELECT *, url IN (SELECT url FROM cur) AS known FROM e),
+    fresh AS (SELECT * FROM scan WHERE NOT known AND french
+                AND date_diff('day', CAST(posting_date AS DATE), DATE '{AS_OF}') BETWEEN 0 AND 20),
+    r AS (SELECT url, pos + 1 AS id, 0 AS batch, pos, title, posting_date FROM cur
+          UNION ALL SELECT url, NULL, 1, pos, title, posting_date FROM fresh),
+    {merge_sql(columns="url, title, posting_date")}
+"""
+
+
+@query(
+    "run_language_source",
+    f"""
+    WITH {_LANG_SQL}
+    SELECT id, url, title, posting_date FROM merged
+    WHERE date_diff('day', CAST(posting_date AS DATE), DATE '{AS_OF}') BETWEEN 0 AND 20
+    """,
+)
+def run_language_source(spark, sf):
+    docs = spread(table(spark, sf, "documents"), "doc_id")
+    code = F.col("lang")
+    title = (
+        F.when(code == "fr", "Responsable équipe").when(code == "en", "Team position").when(code == "de", "Stelle für Arbeit")
+    )
+    size = F.floor(F.col("n_chars") / 50).cast("string")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("n_chars") % 40).cast("int"))
+    rows = docs.select(
+        "doc_id",
+        title.alias("title"),
+        F.col("text").alias("description"),
+        F.concat_ws("/", F.lit("https://d.example.com"), "source", "lang", size).alias("url"),
+        F.date_format(day, "yyyy-MM-dd").alias("posting_date"),
+        F.when(code == "fr", F.array(F.lit("FR"))).otherwise(F.array(F.lit(""))).alias("language_codes"),
+    )
+    listing = rows.withColumns(
+        {
+            "source": F.lit("jobroom"),
+            "run_id": F.lit("r1"),
+            "page_no": (F.floor(F.col("doc_id") / 25) + 1).cast("bigint"),
+            "pos_on_page": F.col("doc_id") % 25,
+        }
+    )
+    middle = rows.agg((F.max("doc_id") / 2).alias("m")).first()["m"]
+    good = table(spark, sf, "labels").filter("quality = 1").select("doc_id")
+    current = rows.filter(F.col("doc_id") < middle).join(good, "doc_id", "left_semi")
+    current = current.withColumn("id", F.col("doc_id") + 1).withColumnRenamed("doc_id", "pos")
+    seen = spark.createDataFrame([], "key string")
+    run = collect_listing(
+        listing.drop("doc_id"),
+        current.drop("language_codes"),
+        seen,
+        POLICIES["jobroom"],
+        AS_OF,
+        days=20,
+        page_rule=API_PAGE_RULES["jobroom"],
+    )
+    return run.written.select("id", "url", "title", "posting_date")
+
+
 # The aggregated feed lists all parts; every third size has no URL, so the key falls
 # back to title, company and place. The current table holds parts above a price.
 _FEED_SQL = f"""

@@ -110,3 +110,39 @@ def test_two_level_run(spark):
     assert {r.url: r.id for r in run.written.collect()} == ids
     assert {r.key for r in run.seen.collect()} == known | set(links) | set(master_ids)
     assert {r.url for r in run.details.filter("NOT ok").collect()} == {u for u in links if u in broken and u not in known}
+
+
+def test_card_and_feed_run(spark):
+    at = "/offres-emploi-etat-geneve/liste-offres/"
+    card = '<li><a href="%s%d">Poste %d</a><a href="/organisation/d">Dép %d</a> Classe %d</li>'
+    html = {p: "".join(card % (at, n, n, n, n) for n in numbers) for p, numbers in {1: (1, 2), 2: (2, 3, 4), 3: (1, 4), 4: (5,)}.items()}
+    pages = spark.createDataFrame(
+        [("ge", "r", p, 200, h) for p, h in html.items()],
+        "source string, run_id string, page_no bigint, status int, html string",
+    )
+    url = "https://www.ge.ch" + at
+    body = "<h1>%s</h1><article>Publié le %s <p>x</p> date limite 1.3.2026</article>"
+    details = spark.createDataFrame(
+        [(f"{url}1", body % ("", "20.01.2026")), (f"{url}3", body % ("Titre", "01.01.2025")), (f"{url}4", "<p>none</p>"),
+         (f"{url}5", body % ("never listed", "20.01.2026"))],
+        "url string, html string",
+    )
+    feed = spark.createDataFrame(
+        [(f"{url}4", "feed", "2026-01-15", "résumé")], "url string, title string, posting_date string, summary string"
+    )
+    schema = ("id bigint, url string, title string, departement string, taux string, remuneration string, description string, "
+              "summary string, posting_date string, date_limite string, source string, pos bigint")
+    current = spark.createDataFrame([(3, f"{url}2", "old", None, None, None, None, None, "2026-01-10", None, "ge", 0)], schema)
+    seen = spark.createDataFrame([], "key string")
+    from jobsluice.functions.urls import SITE_RULES
+
+    run = collect_pages(
+        pages, details, current, seen, SITE_RULES["ge"], POLICIES["ge"], date(2026, 1, 28), feed=feed, detail="page"
+    )
+    got = {r.url[len(url):]: r for r in run.written.collect()}
+    # Page 3 adds nothing, so page 4 is not walked; number 3 is too old.
+    assert {n: r.id for n, r in got.items()} == {"2": 3, "1": 4, "4": 5}
+    assert (got["1"].title, got["1"].departement, got["1"].remuneration) == ("Poste 1", "Dép 1", "classe 1")
+    assert (got["1"].posting_date, got["1"].date_limite, got["1"].source) == ("2026-01-20", "2026-03-01", "ge")
+    assert (got["4"].title, got["4"].posting_date, got["4"].summary) == ("Poste 4", "2026-01-15", "résumé")
+    assert {r.key for r in run.seen.collect()} == {f"{url}{n}" for n in "124"}
