@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,7 +17,9 @@ VOID_TAGS = frozenset("area base br col embed hr img input link meta param sourc
 HIDDEN_TAGS = "script|style|template"
 
 _HIDDEN = rf"(?is)<!--.*?(?:-->|\z)|<({HIDDEN_TAGS})\b.*?(?:</\1\s*>|\z)"
-_TAG = r"""(?s)</?[a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|</?[a-zA-Z][^>]*+>|<[!?][^>]*+>"""
+# Inside a tag a quote counts only after "=".
+_IN_TAG = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
+_TAG = rf"(?s)<[a-zA-Z]{_IN_TAG}>|</[a-zA-Z][^>]*+>|<[!?][^>]*+>"
 _NODE, _PART = "\x02", "\x01"
 _LD_TYPE = r"""(?:"application/ld\+json"|'application/ld\+json'|application/ld\+json(?=[\s>]))"""
 _LD_JSON = (
@@ -59,8 +62,7 @@ def with_texts(df: DataFrame, source: Column, name: str) -> DataFrame:
 
 def start_tags(markup: Column, tag: str) -> Column:
     """Attribute text of every start tag of one name, in document order."""
-    pattern = rf"""(?is)<{tag}(?=[\s/])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-    return F.regexp_extract_all(markup, F.lit(pattern), F.lit(1))
+    return F.regexp_extract_all(markup, F.lit(rf"(?is)<{tag}(?=[\s/])({_IN_TAG})>"), F.lit(1))
 
 
 def attribute(attrs: Column, name: str) -> Column:
@@ -87,7 +89,7 @@ def meta_content(html: Column, prop: str) -> Column:
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style)\b.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*)(?:[^>\"']|\"[^\"]*\"|'[^']*')*>",
+    rf"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*){_IN_TAG}>",
     re.IGNORECASE | re.DOTALL,
 )
 
@@ -96,9 +98,11 @@ def _element_spans(html: str, wanted: frozenset[str]) -> list[tuple[int, int, st
     """(start, end, tag) of the wanted elements; unclosed ones end with their parent."""
     spans: list[tuple[int, int, str]] = []
     open_tags: list[tuple[str, int]] = []
+    n_open: Counter[str] = Counter()
 
     def close_last(end: int) -> str:
         name, start = open_tags.pop()
+        n_open[name] -= 1
         if name in wanted:
             spans.append((start, end, name))
         return name
@@ -109,9 +113,10 @@ def _element_spans(html: str, wanted: frozenset[str]) -> list[tuple[int, int, st
             continue
         if not token["close"]:
             open_tags.append((name, token.start()))
+            n_open[name] += 1
             if token[0].endswith("/>"):
                 close_last(token.end())
-        elif any(name == opened for opened, _ in open_tags):
+        elif n_open[name]:
             while close_last(token.start()) != name:
                 pass
     while open_tags:

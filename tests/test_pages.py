@@ -13,6 +13,7 @@ PAGES = [
     "<p>plain</p>", "a<b>b</b>c", "x < y & z &amp;lt;", "<!-- c --><p>a<!-- b -->b</p>", "<script>var a='</p>';</script>t",
     "<style>p{}</style><p title='a>b'>q</p>", "<p>one<p>two</p>three</div>four", "<ul><li>a<ul><li>b</li></ul><li>c</ul>d",
     "<main><p>m</main>after", "<P CLASS=x>upper</P><br/>end", "", "<p>unclosed <b>bold", "</p>stray<p>a</p></p>", "a&nbsp;b\n c\t",
+    "<p title=it's>hello it's</p>x", '<p data-x="a>b" y>q</p>', "<li 'odd>t</li>", "<p a = 'x>y' b=c>r</p>", "a<!doctype x>b",
     "<p/>x<p>y", "<SCRIPT>x</SCRIPT >y", "<a href=x>l</a><img src='a'>i",
 ]
 
