@@ -44,14 +44,17 @@ def _merge(
     start: int,
     backfill: bool,
     preserve: Sequence[str],
+    captured: DataFrame | None,
 ) -> DataFrame:
     payload = [c for c in current.columns if c not in ("id", "pos")]
-    both = (
-        current.withColumn("_batch", F.lit(0))
-        .unionByName(fresh.withColumn("_batch", F.lit(1)), allowMissingColumns=True)
-        .withColumn("_key", key)
-        .filter(F.col("_key") != "")
-    )
+
+    def keyed(batch: DataFrame) -> DataFrame:
+        both = current.withColumn("_batch", F.lit(0)).unionByName(
+            batch.withColumn("_batch", F.lit(1)), allowMissingColumns=True
+        )
+        return both.withColumn("_key", key).filter(F.col("_key") != "")
+
+    both = keyed(fresh)
     # First pass over key, id and pos alone: plain numbers, so Spark hashes them.
     old_pos = F.when(F.col("_batch") == 0, F.col("pos"))
     new_pos = F.when(F.col("_batch") == 1, F.col("pos"))
@@ -86,7 +89,7 @@ def _merge(
 
     # Second pass: the payload meets its id by its place in the batch, which no two rows
     # share. A hot key is one row here, and a small result is broadcast by Spark.
-    rows = both.drop("id").join(winners, ["_key", "_batch", "pos"])
+    rows = keyed(fresh if captured is None else captured).drop("id").join(winners, ["_key", "_batch", "pos"])
     columns = [F.coalesce(f"_old_{c}", c).alias(c) if c in preserve else F.col(c) for c in payload]
     return rows.select(F.coalesce("_id", "_new_id").alias("id"), *columns)
 
@@ -98,24 +101,29 @@ def merge_by_url(
     language: bool = False,
     backfill: bool = True,
     preserve: Sequence[str] = (),
+    captured: DataFrame | None = None,
 ) -> DataFrame:
     """Upsert on the trimmed URL; rows without one are dropped.
 
     ``language`` drops rows that are neither French nor English on both sides
     first; the largest id still covers them. ``preserve`` names columns whose
-    current value survives the replacement (labels, for instance).
+    current value survives the replacement (labels, for instance). If ``fresh`` is
+    the outcome of joins over a stored table, ``captured`` names that table: the
+    payload is then read from there by position and takes no part in those joins.
     """
     start = max_id(current).first()["max_id"]
     if language:
         current, fresh = french_or_english(current), french_or_english(fresh)
     key = strip(F.coalesce(F.col("url"), F.lit("")))
-    return _merge(current, fresh, key, start, backfill, preserve)
+    return _merge(current, fresh, key, start, backfill, preserve, captured)
 
 
-def merge_by_key(current: DataFrame, fresh: DataFrame, preserve: Sequence[str] = ()) -> DataFrame:
+def merge_by_key(
+    current: DataFrame, fresh: DataFrame, preserve: Sequence[str] = (), captured: DataFrame | None = None
+) -> DataFrame:
     """Upsert on the record key; current rows without an id stay without one."""
     start = max_id(current).first()["max_id"]
-    return _merge(current, fresh, record_key(), start, False, preserve)
+    return _merge(current, fresh, record_key(), start, False, preserve, captured)
 
 
 def merge_two_level(output: DataFrame, master: DataFrame, fresh: DataFrame) -> tuple[DataFrame, DataFrame]:

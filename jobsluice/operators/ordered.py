@@ -167,14 +167,21 @@ def batch_dedup(rows: DataFrame, key: str = "url", keep: str = "first", ord_col:
     return best.select(key, "_row.*").select(rows.columns)
 
 
+# Up to this limit every task may send its first rows of a group to one task.
+SMALL_LIMIT = 1_000
+
+
 def limit_new(rows: DataFrame, n: int, groups: Sequence[str] = GROUP) -> DataFrame:
     """The first ``n`` rows of every group in listing order.
 
     Spark applies a rank limit before the shuffle, so a task sends on at most
-    ``n`` rows of a group.
+    ``n`` rows of a group. Beyond a small limit the place of the ``n``-th row is
+    counted instead.
     """
     if n <= 0:
         return rows
+    if n > SMALL_LIMIT:
+        return apply_cut(rows, limit_cut(rows, F.lit(True), n, groups), groups)
     order = Window.partitionBy(*groups).orderBy("ord")
     return rows.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= n).drop("_rn")
 
@@ -186,7 +193,12 @@ def limit_prefix(listing: DataFrame, accepted: Column, n: int, groups: Sequence[
 
 def limit_cut(listing: DataFrame, accepted: Column, n: int, groups: Sequence[str] = GROUP) -> DataFrame:
     """Where the ``n``-th accepted row ends a listing; no rows if ``n <= 0``."""
-    first = limit_new(listing.filter(accepted).select(*groups, "ord"), n, groups)
+    narrow = listing.filter(accepted).select(*groups, "ord")
+    if n > SMALL_LIMIT:
+        narrow = materialize(narrow, "accepted")
+        scan = running_count(narrow, groups=groups, largest_group=largest_group(narrow, groups))
+        return scan.filter(F.col("rn") == n).select(*groups, F.col("ord").alias("cut"))
+    first = limit_new(narrow, n, groups)
     cut = first.groupBy(*groups).agg(F.max("ord").alias("cut"), F.count("*").alias("_n"))
     return cut.filter(F.col("_n") == n).drop("_n")
 

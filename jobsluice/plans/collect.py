@@ -37,13 +37,16 @@ def _finish(
     as_of: date,
     days: int,
     details: DataFrame | None = None,
+    captured: DataFrame | None = None,
 ) -> RunResult:
-    batch = fresh.select(_shared(current, fresh))
+    columns = _shared(current, fresh)
+    batch = fresh.select(columns)
+    stored = None if captured is None else captured.select(columns)
     if policy.record_key:
-        merged = merge.merge_by_key(current, batch)
+        merged = merge.merge_by_key(current, batch, captured=stored)
     else:
         merged = merge.merge_by_url(
-            current, batch, language=policy.language == "fr_en", backfill=policy.backfill_ids
+            current, batch, language=policy.language == "fr_en", backfill=policy.backfill_ids, captured=stored
         )
     if policy.seen in ("merged", "persisted"):
         # The state is read from the merged rows, which then serve two outputs.
@@ -84,7 +87,7 @@ def collect_listing(
 ) -> RunResult:
     """Run of a source whose listing already holds full records (API payloads).
 
-    ``listing`` has ``source, run_id, page_no, pos_on_page`` and record columns;
+    ``listing`` is the listing of one run and has ``source, run_id, page_no, pos_on_page`` and record columns;
     ``current`` the record columns with ``id`` and ``pos``; ``seen`` the column
     ``key``. ``page_rule`` ends the walk at a page edge; ``pages`` describes the
     pages for it and is taken from the listing (and its ``total``, if there is one)
@@ -97,6 +100,7 @@ def collect_listing(
         listing = materialize(listing, "captured")
     recent = filters.is_recent(F.col("posting_date"), as_of, days) if policy.fresh_days else F.lit(True)
     rows = listing.withColumn("ord", listing_order(F.col("page_no"), F.col("pos_on_page")))
+    rows = rows.withColumn("pos", F.col("ord"))
     rows = filters.with_language_flag(filters.drop_blank_key(rows), "fr" if policy.language == "fr" else None)
     rows = materialize(rows.withColumn("passes", F.col("lang_ok") & recent).drop("lang_ok"), "listing")
 
@@ -116,7 +120,7 @@ def collect_listing(
     if cuts:
         walked = ordered.apply_cut(rows, materialize(ordered.earliest_cut(cuts), "cut"))
     fresh = keys.new_records(walked.filter("passes"), known, spread_by=["source", "run_id", "ord"])
-    return _finish(policy, current, known, walked, fresh.withColumn("pos", F.col("ord")), as_of, days)
+    return _finish(policy, current, known, walked, fresh, as_of, days, captured=rows)
 
 
 # What ends a listing of the API sources.
@@ -143,9 +147,11 @@ def collect_feed_items(
     keyed = items.withColumn("record_key", keys.record_key())
     old = current.withColumn("record_key", keys.record_key())
     known = keys.known_keys(old, seen, key="record_key")
-    first = ordered.batch_dedup(keyed, "record_key", "first", "pos")
-    fresh = materialize(keys.new_records(first, known, "record_key", spread_by=["pos"]), "fresh")
-    return _finish(policy, current, known, first, fresh, as_of, policy.days)
+    keyed = materialize(keyed, "captured")
+    first = keyed.groupBy("record_key").agg(F.min("pos").alias("pos"))
+    new = materialize(keys.new_records(first, known, "record_key", spread_by=["pos"]), "new-keys")
+    fresh = keyed.join(new, ["record_key", "pos"], "left_semi")
+    return _finish(policy, current, known, keyed, fresh, as_of, policy.days)
 
 
 def walk_listing_pages(

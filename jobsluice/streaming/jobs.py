@@ -53,12 +53,22 @@ def ingest(store: SnapshotStore, policy: Policy, as_of: Callable[[DataFrame], da
     return on_batch
 
 
-def first_seen_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Distinct keys of a stream, each written once."""
+def first_seen_stream(
+    rows: DataFrame, path: str, checkpoint: str, event_time: str | None = None, keep: str = "30 days"
+) -> StreamingQuery:
+    """Distinct keys of a stream, each written once.
+
+    With ``event_time`` a key is held for at least ``keep`` and forgotten once the
+    watermark, which trails the stream by ``keep``, is as far past it. That bounds the
+    state; a forgotten key is written again when it comes back.
+    """
+    if event_time is None:
+        unique = rows.select("key").dropDuplicates(["key"])
+    else:
+        timed = rows.select("key", F.col(event_time).cast("timestamp").alias("seen_at"))
+        unique = timed.withWatermark("seen_at", keep).dropDuplicatesWithinWatermark(["key"]).select("key")
     return (
-        rows.select("key")
-        .dropDuplicates(["key"])
-        .writeStream.format("parquet")
+        unique.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")

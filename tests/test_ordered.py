@@ -83,7 +83,9 @@ def test_first_seen_and_dedup(spark):
     assert last == {r[4]: (r[2] << 20) + r[3] for r in rows if r[1] == "r0"}
 
 
-def test_limits(spark):
+@pytest.mark.parametrize("small", [1_000, 0])
+def test_limits(spark, monkeypatch, small):
+    monkeypatch.setattr(ordered, "SMALL_LIMIT", small)
     rows, known = _listing(9)
     df = _frame(spark, rows, known)
     for n in (0, 1, 4, 1000):

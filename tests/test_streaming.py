@@ -107,3 +107,24 @@ def test_limit_ends_the_listing(spark):
             break
     assert {r.url for r in run.written.collect()} == {r[4] for r in taken}
     assert {r.key for r in run.seen.collect()} == listed | {"u1", "u2"}
+
+
+def test_first_seen_forgets(spark, tmp_path):
+    landing = str(tmp_path / "in")
+    schema = "key string, at timestamp"
+    for n, rows in enumerate(
+        [[("a", "2026-01-01"), ("a", "2026-01-02"), ("b", "2026-01-01")], [("a", "2026-01-03"), ("c", "2026-03-10")],
+         [("d", "2026-03-11"), ("b", "2026-03-12")]]
+    ):
+        df = spark.createDataFrame(rows, "key string, day string").selectExpr("key", "cast(day as timestamp) as at")
+        df.write.parquet(f"{landing}/part-{n}")
+        for name, event_time in (("ever", None), ("month", "at")):
+            stream = J.file_stream(spark, landing, spark.createDataFrame([], schema).schema)
+            out, checkpoint = str(tmp_path / name), str(tmp_path / f"{name}-cp")
+            J.first_seen_stream(stream, out, checkpoint, event_time).awaitTermination()
+
+    def keys(name):
+        return sorted(r.key for r in spark.read.schema("key string").parquet(str(tmp_path / name)).collect())
+
+    assert keys("ever") == ["a", "b", "c", "d"]
+    assert keys("month") == ["a", "b", "b", "c", "d"]
