@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsluice.functions.html import with_text
-from jobsluice.functions.text import collapse, filled, strip
+from jobsluice.functions.text import collapse, strip
 from jobsluice.operators.filters import is_pending
 
 # A classifier takes prompts and returns one JSON reply for each.

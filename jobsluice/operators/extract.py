@@ -15,7 +15,6 @@ from jobsluice.functions.binding import bind
 from jobsluice.functions.dates import DEADLINE_LABELS, POSTING_LABELS, before_t, labelled_day
 from jobsluice.functions.text import (
     WS,
-    collapse,
     filled,
     first_filled,
     strip,
@@ -27,7 +26,7 @@ from jobsluice.functions.urls import SiteRule, absolute_url, clean_href, drop_fr
 # A link to a department, and the wording of a listing card.
 DEPARTMENT_LINK = r"/(organisation|justice\.ge\.ch)"
 WORKLOAD_TEXT = (
-    rf"(?iu)Taux d.?activit[eé]{WS}*((?:[0-9%a-zA-Z.,\-]|{WS})+?)(?:R[ée]mun[ée]ration|Classe|$)"
+    rf"(?iu)Taux d.?activit[eé]{WS}*({WS[:-1]}0-9%a-zA-Z.,\-]+?)(?:R[ée]mun[ée]ration|Classe|$)"
 )
 CLASS_TEXT = rf"(?iu)classe{WS}*([0-9]+)"
 PAY_TEXT = rf"(?iu)R[ée]mun[ée]ration{WS}*([^|]+)"

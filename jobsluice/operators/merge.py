@@ -8,7 +8,8 @@ then, with ``backfill``, current rows without an id do.
 
 The winner of every key is found on narrow rows, which collapse before the
 shuffle, so a hot key costs no more than a cold one. Only keys that need an id are
-numbered, and the payload is moved once.
+numbered. The payload of the fresh batch moves once, that of the current table
+only if more rows change than a broadcast may hold.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from jobsluice.functions.text import strip
 from jobsluice.operators.filters import french_or_english
 from jobsluice.operators.keys import record_key
 from jobsluice.operators.ordered import dense_numbers, largest_group
-from jobsluice.session import materialize
+from jobsluice.session import broadcast_if_small, materialize
 
 
 def max_id(df: DataFrame) -> DataFrame:
@@ -49,13 +50,13 @@ def _merge(
     payload = [c for c in current.columns if c not in ("id", "pos")]
 
     def keyed(batch: DataFrame) -> DataFrame:
-        both = current.withColumn("_batch", F.lit(0)).unionByName(
-            batch.withColumn("_batch", F.lit(1)), allowMissingColumns=True
-        )
-        return both.withColumn("_key", key).filter(F.col("_key") != "")
+        return batch.withColumn("_key", key).filter(F.col("_key") != "")
 
-    both = keyed(fresh)
     # First pass over key, id and pos alone: plain numbers, so Spark hashes them.
+    old = keyed(current)
+    both = old.withColumn("_batch", F.lit(0)).unionByName(
+        keyed(fresh).withColumn("_batch", F.lit(1)), allowMissingColumns=True
+    )
     old_pos = F.when(F.col("_batch") == 0, F.col("pos"))
     new_pos = F.when(F.col("_batch") == 1, F.col("pos"))
     narrow = both.groupBy("_key").agg(
@@ -69,29 +70,44 @@ def _merge(
     narrow = narrow.select(
         "_key",
         "_id",
-        F.col("_first_new").isNull().cast("int").alias("_late"),
+        F.col("_first_new").isNull().alias("_late"),
         F.coalesce("_first_new", "_first_old").alias("_ord"),
-        F.col("_last_new").isNotNull().cast("int").alias("_batch"),
         F.coalesce("_last_new", "_last_old").alias("pos"),
         *[f"_old_{c}" for c in preserve],
     )
     narrow = materialize(narrow, "merge-keys")
-    todo = narrow.filter(F.col("_id").isNull())
+    winners = narrow.drop("_ord").join(_new_ids(narrow, start, backfill), "_key", "left")
+
+    # Fresh rows that won get their id; their payload is found by place in the batch.
+    fresh_rows = keyed(fresh if captured is None else captured)
+    if "id" in fresh_rows.columns:
+        fresh_rows = fresh_rows.drop("id")
+    won = fresh_rows.join(winners.filter(~F.col("_late")).drop("_late"), ["_key", "pos"])
+    absent = [c for c in payload if c not in fresh_rows.columns]
+    won = won.withColumns({c: F.lit(None).cast(current.schema[c].dataType) for c in absent})
+    columns = [F.coalesce(f"_old_{c}", c).alias(c) if c in preserve else F.col(c) for c in payload]
+    won = won.select(F.coalesce("_id", "_new_id").alias("id"), *columns)
+
+    # Current rows pass as they are, but for those that lost and those that get an id.
+    # These are few in a usual run, so the payload of the table does not move.
+    stays = winners.filter("_late").select("_key", "pos", "_new_id", F.lit(True).alias("_stays"))
+    changes = old.select("_key", "pos").join(stays, ["_key", "pos"], "left")
+    changes = changes.filter(F.col("_stays").isNull() | F.col("_new_id").isNotNull())
+    changes = changes.select("_key", "pos", "_new_id", F.coalesce("_stays", F.lit(False)).alias("_stays"))
+    changes = broadcast_if_small(materialize(changes, "merge-changes"))
+    kept = old.join(changes, ["_key", "pos"], "left").filter(F.coalesce("_stays", F.lit(True)))
+    return kept.select(F.coalesce("id", "_new_id").alias("id"), *payload).unionByName(won)
+
+
+def _new_ids(narrow: DataFrame, start: int, backfill: bool) -> DataFrame:
+    """``_key`` and ``_new_id`` of the keys without an id: fresh ones first, then current ones."""
+    todo = narrow.filter(F.col("_id").isNull()).select("_key", "_late", "_ord")
     if not backfill:
-        todo = todo.filter("_late = 0")
+        todo = todo.filter(~F.col("_late"))
     counts = {row["_late"]: row["n"] for row in todo.groupBy("_late").agg(F.count("*").alias("n")).collect()}
-    after_fresh = start + counts.get(0, 0)
-    todo = todo.select("_key", "_late", "_ord")
-    numbers = dense_numbers(todo, ["_late"], "_ord", max(counts.values(), default=0)).select(
-        "_key", (F.col("rn") + F.when(F.col("_late") == 1, after_fresh).otherwise(start)).alias("_new_id")
-    )
-    winners = narrow.drop("_late", "_ord").join(numbers, "_key", "left")
-
-    # Second pass: the payload meets its id by its place in the batch, which no two rows
-    # share. A hot key is one row here, and a small result is broadcast by Spark.
-    rows = keyed(fresh if captured is None else captured).drop("id").join(winners, ["_key", "_batch", "pos"])
-    columns = [F.coalesce(f"_old_{c}", c).alias(c) if c in preserve else F.col(c) for c in payload]
-    return rows.select(F.coalesce("_id", "_new_id").alias("id"), *columns)
+    numbers = dense_numbers(todo, ["_late"], "_ord", max(counts.values(), default=0))
+    offset = F.when(F.col("_late"), start + counts.get(False, 0)).otherwise(start)
+    return materialize(numbers.select("_key", (F.col("rn") + offset).alias("_new_id")), "new-ids")
 
 
 def merge_by_url(

@@ -12,7 +12,7 @@ from jobsluice.functions.urls import SiteRule
 from jobsluice.operators import extract, filters, keys, merge, ordered
 from jobsluice.operators.assemble import assemble_ge
 from jobsluice.schema import Policy, listing_order
-from jobsluice.session import materialize
+from jobsluice.session import BROADCAST_ROWS, materialize
 
 
 @dataclass(frozen=True)
@@ -151,7 +151,7 @@ def collect_feed_items(
     first = keyed.groupBy("record_key").agg(F.min("pos").alias("pos"))
     new = materialize(keys.new_records(first, known, "record_key", spread_by=["pos"]), "new-keys")
     fresh = keyed.join(new, ["record_key", "pos"], "left_semi")
-    return _finish(policy, current, known, keyed, fresh, as_of, policy.days)
+    return _finish(policy, current, known, keyed, fresh, as_of, policy.days, captured=keyed)
 
 
 def walk_listing_pages(
@@ -209,7 +209,7 @@ def collect_pages(
 ) -> RunResult:
     """Run of a source with listing pages and detail pages.
 
-    ``detail_pages`` has ``url, html``. Only pages of new links are parsed; a new
+    ``detail_pages`` has ``url, html``. Only pages of new links give records; a new
     link without a page, or with one that cannot be read, is a failed fetch.
     ``detail`` names the record form: ``graph``, ``nested`` or ``page``. ``master``
     turns on the two-level mode: its keys count for the streak but not as known,
@@ -233,7 +233,12 @@ def collect_pages(
     else:
         new = keys.new_records(walked, known, spread_by=["source", "run_id"])
     new = ordered.limit_new(new.drop("known"), max_jobs)
-    wanted = detail_pages.join(new.select("url").distinct(), "url", "left_semi")
+    new = materialize(new, "new")
+    # Markup is not shuffled: few new links select the pages to parse, many join the parsed records.
+    n_new = new.count()
+    wanted = detail_pages
+    if n_new <= BROADCAST_ROWS:
+        wanted = detail_pages.join(F.broadcast(new.select("url").distinct()), "url", "left_semi")
     if detail == "page":
         empty = list_pages.sparkSession.createDataFrame(
             [], "url string, title string, posting_date string, summary string"

@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Up to this many narrow rows (a key and a few numbers) a table may be broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def build_session(master: str | None = None, **conf: str) -> SparkSession:
@@ -62,3 +66,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(stored: DataFrame) -> DataFrame:
+    """Mark a stored table of narrow rows for broadcast if its row count allows."""
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored

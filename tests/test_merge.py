@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from jobsluice import session
 from jobsluice.operators import merge, ordered
 from jobsluice.operators.keys import record_key
 
@@ -55,7 +56,9 @@ def _got(df, by_key=False):
 
 @pytest.mark.parametrize("one_task", [1_000_000, 0])
 def test_merge_by_url(spark, monkeypatch, one_task):
+    # At 0 every size check fails, so the ways for large tables run.
     monkeypatch.setattr(ordered, "ONE_TASK_ROWS", one_task)
+    monkeypatch.setattr(session, "BROADCAST_ROWS", one_task)
     for seed in range(4):
         rnd = random.Random(seed)
         current, fresh = _batch(rnd, 20, True, tag="c"), _batch(rnd, 25, False, 14, tag="f")

@@ -1,7 +1,10 @@
 import random
 from datetime import date
 
+import pytest
+
 from jobsluice.functions.urls import SiteRule
+from jobsluice.plans import collect
 from jobsluice.plans.collect import collect_feed_items, collect_pages
 from jobsluice.schema import POLICIES, Policy
 
@@ -46,7 +49,9 @@ def _walk(site, streak):
     return links
 
 
-def test_html_runs(spark):
+@pytest.mark.parametrize("small", [500_000, 0])
+def test_html_runs(spark, monkeypatch, small):
+    monkeypatch.setattr(collect, "BROADCAST_ROWS", small)
     as_of = date(2026, 1, 28)
     for seed, seen_policy, language in ((1, "all", None), (2, "persisted", None), (3, "merged", "fr_en")):
         site = _site(seed)
