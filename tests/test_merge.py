@@ -118,3 +118,13 @@ def test_record_key(spark):
     rows = [(" u ", "t", "c", "l"), ("", " T ", None, "L"), (None, None, None, None)]
     df = spark.createDataFrame(rows, "url string, title string, company string, location string")
     assert [r[0] for r in df.select(record_key()).collect()] == ["u", "t||l", "||"]
+
+
+def test_language_on_both_sides(spark):
+    schema = "url string, title string, description string, id bigint, pos bigint"
+    good, bad = "mission pour vous", "aufgaben mit sie"
+    current = [("a", "x", good, 1, 0), ("b", "x", bad, 8, 1), ("c", "x", bad, 3, 2), ("d", "x", good, None, 3)]
+    fresh = [("b", "y", good, None, 0), ("a", "y", bad, None, 1), ("e", "y", good, None, 2), ("f", "y", bad, None, 3)]
+    out = merge.merge_by_url(spark.createDataFrame(current, schema), spark.createDataFrame(fresh, schema), language=True)
+    # The dropped row of b holds the largest id, and b starts anew after it.
+    assert sorted((r.url, r.id, r.title) for r in out.collect()) == [("a", 1, "x"), ("b", 9, "y"), ("d", 11, "x"), ("e", 10, "y")]
