@@ -42,7 +42,7 @@ from jobsluice.llm.shared import stored
 from jobsluice.llm.words import mix64, slices, word_hashes, words_of
 
 #: Words of the texts that make up a block, unless one text alone has more.
-BLOCK_WORDS = 4_000_000
+BLOCK_WORDS = 2_000_000
 #: Entries that a bucket gets on average.
 BUCKET_ENTRIES = 500_000
 #: A word with more occurrences than this, and than a millionth of the corpus, has several buckets.
@@ -407,27 +407,26 @@ def _score(spread: Spread, unigrams: Unigrams, d: np.ndarray, often, id_kind):
             block = _Known(rows, spread, True)
             n = len(block.first)
             counts, bare = np.zeros(n, np.int64), np.zeros(n, bool)
-            low, covered = np.zeros((LARGEST, n)), np.zeros(n)
+            left, covered = np.zeros(n), np.zeros(n)
+            taken = (1 - d) * np.arange(1, LARGEST + 1)
             back = {r["bucket"]: r for r in rows if r["kind"] == 2}
             for k, a, b in zip(block.buckets.tolist(), block.bounds[:-1], block.bounds[1:], strict=True):
                 own, row = block.order[a:b], back[k]
                 counts[own] = unpack(row["p"])
                 bare[own] = unpack(row["q"]) > 0
                 new = own[counts[own] == 0]
-                low[:, new] = unpack(row["r"]).reshape(LARGEST, len(new))
+                left[new] = taken @ unpack(row["r"]).reshape(LARGEST, len(new))
                 covered[new] = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["s"]) if len(new) else b"")
             for h, values in shared.items():
                 begin, end = np.searchsorted(block.first, [h, h + 1])
-                low[:, begin:end] = np.array(values[:LARGEST])[:, None]
+                left[begin:end] = taken @ np.array(values[:LARGEST])
                 covered[begin:end] = values[LARGEST]
                 bare[begin:end] = not any(values[:LARGEST])
             history = block.first_count.astype(np.float64)
             single = unigrams.probability(block.counts)[block.word]
             some = np.maximum(history, 1)
             seen = _discounted(counts, d) / np.where(bare, some + 1, some)
-            r = np.arange(1, LARGEST + 1)[:, None]
-            left = ((1 - d)[:, None] * r * low).sum(axis=0) / some
-            left = np.where(left > 0, left, 1 / (some + 1))
+            left = np.where(left > 0, left / some, 1 / (some + 1))
             backed = np.where(history > 0, left / (1 - covered), 1.0) * single
             logs = np.log10(np.where(counts > 0, seen, backed))[block.place]
             begin = np.cumsum(block.lengths) - block.lengths
