@@ -37,11 +37,9 @@ LENGTH = 200
 GRAM = 40
 SEGMENT = 1 << 20
 #: Open stretches of one hash that are sorted together; more go the way of single strings.
-GROUP_STRETCHES = 4_000
+GROUP_STRETCHES = 2_000
 #: Bytes of open stretches in one suffix array, unless one hash has more.
 BLOCK_BYTES = 1 << 20
-#: Spans up to this number (24 bytes each) are broadcast to the texts; more are joined by shuffle.
-BROADCAST_SPANS = 2_000_000
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -137,7 +135,7 @@ def suffix_groups(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np
     words = np.zeros(n, np.uint64)
     for k in range(8):
         words = words << np.uint64(8) | padded[k : k + n].astype(np.uint64)
-    order = np.argsort(words, kind="stable")
+    order = np.argsort(words)
     new = np.ones(n, bool)
     new[1:] = words[order][1:] != words[order][:-1]
     heads = np.maximum.accumulate(np.where(new, np.arange(n), 0))
@@ -150,7 +148,7 @@ def suffix_groups(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np
         # Suffixes that end before the next depth are single; no wanted start reads past its stretch.
         nxt = active + step
         inner = np.where(nxt < n, rank[np.minimum(nxt, n - 1)], -1)
-        by = np.lexsort((inner, rank[active]))
+        by = np.argsort(rank[active] * (n + 1) + inner + 1)
         active, outer, inner = active[by], rank[active][by], inner[by]
         group = np.ones(len(active), bool)
         group[1:] = outer[1:] != outer[:-1]
@@ -160,7 +158,7 @@ def suffix_groups(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np
         rank[active] = outer + np.maximum.accumulate(np.where(split, at, 0)) - np.maximum.accumulate(np.where(group, at, 0))
         active = active[~(split & np.append(split[1:], True))]
         depth += step
-    order = starts[np.argsort(rank[starts], kind="stable")]
+    order = starts[np.argsort(rank[starts])]
     return order, rank[order]
 
 
@@ -281,9 +279,7 @@ def _open_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 def _beside(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     """Texts joined with a stored table that has one list per doc_id and text."""
     name = next(c for c in lists.columns if c not in ("doc_id", "mark"))
-    total = lists.agg(F.sum(F.size(name)).alias("n")).first()["n"] or 0
-    lists = lists.toDF("_doc", "_mark", name)
-    lists = F.broadcast(lists) if total <= BROADCAST_SPANS else lists
+    lists = lists.toDF("_doc", "_mark", name).hint("merge")
     joined = docs.join(lists, docs["doc_id"].eqNullSafe(lists["_doc"]) & (docs["mark"] == lists["_mark"]), how)
     return joined.drop("_doc", "_mark")
 
@@ -304,24 +300,26 @@ def repeated_spans(
     texts = marked(docs, text, doc_id)
     gram = max(1, length // 5)
     found = stored(_find_stretches(texts, length, gram), "stretches")
-    place = F.struct("doc_id", "mark", "first", "last")
-    wholes = found.groupBy("key", "whole").agg(F.count("*").alias("n"), F.min(place).alias("earliest"))
-    wholes = stored(wholes, "wholes")
-    keys = wholes.groupBy("key").agg(
-        F.count("*").alias("kinds"), F.sum("n").alias("total"), F.count(F.when(F.col("n") == 1, 1)).alias("single")
-    )
-    keys = stored(keys.where("total > 1"), "keys")
-    repeated = stored(wholes.join(keys, "key"), "repeated")
+    keys = found.groupBy("key").agg(F.count("*").alias("n"))
+    keys = stored(keys.where("n > 1").select("key"), "keys")
+    again = stored(found.join(keys, "key"), "repeated")
+    wholes = stored(again.groupBy("key", "whole").agg(F.count("*").alias("n")), "wholes")
+    kinds = wholes.groupBy("key").agg(F.count("*").alias("kinds"), F.count(F.when(F.col("n") == 1, 1)).alias("single"))
+    kinds = stored(kinds.where("kinds > 1"), "kinds")
 
-    copies = repeated.where("n > 1").select("key", "whole", "earliest")
-    full = found.join(copies, ["key", "whole"])
+    place = F.struct("doc_id", "mark", "first", "last")
+    full = again.join(wholes.where("n > 1").drop("n"), ["key", "whole"])
     if keep == "first":
-        full = full.where(~place.eqNullSafe(F.col("earliest")))
+        earliest = stored(full.groupBy("key", "whole").agg(F.min(place).alias("earliest")), "earliest")
+        full = full.join(earliest, ["key", "whole"]).where(~place.eqNullSafe(F.col("earliest")))
     full = full.select("doc_id", "mark", F.col("first").alias("start"), (F.col("last") + length).alias("stop"))
 
-    compared = repeated.where("kinds > 1 and single > 0" if keep == "none" else "kinds > 1")
-    crowded = (F.col("kinds") > GROUP_STRETCHES).alias("crowded")
-    one = compared.select("earliest.*", "key", crowded)
+    # One place of every kind of stretch whose hash has other kinds. With all places to go, kinds
+    # that occur twice need no comparison unless a single one stands beside them.
+    compared = kinds.where("single > 0") if keep == "none" else kinds
+    compared = compared.select("key", (F.col("kinds") > GROUP_STRETCHES).alias("crowded"))
+    one = again.join(compared, "key").groupBy("key", "whole", "crowded").agg(F.min(place).alias("p"))
+    one = one.select("p.*", "key", "crowded")
     listed = one.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("key", "first", "last", "crowded")).alias("open"))
     opened = _open_bytes(texts, stored(listed, "open"), length)
     opened = stored(opened, "open-bytes")
@@ -336,12 +334,12 @@ def repeated_spans(
     where = F.struct("doc_id", "mark", "start")
     same = strings.groupBy("key", "string").agg(F.count("*").alias("n"), F.min(where).alias("earliest"))
     same = stored(same.where("n > 1").drop("n"), "strings")
-    again = strings.join(same, ["key", "string"])
+    hits = strings.join(same, ["key", "string"])
     if keep == "first":
-        again = again.where(~where.eqNullSafe(F.col("earliest")))
-    again = again.select("doc_id", "mark", "start", (F.col("start") + length).alias("stop"))
+        hits = hits.where(~where.eqNullSafe(F.col("earliest")))
+    hits = hits.select("doc_id", "mark", "start", (F.col("start") + length).alias("stop"))
 
-    spans = full.unionByName(sorted_).unionByName(again)
+    spans = full.unionByName(sorted_).unionByName(hits)
     spans = spans.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     return stored(spans, "spans")
 
