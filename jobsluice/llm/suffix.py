@@ -221,6 +221,8 @@ def _resolve(length: int, keep: str):
         for batch in batches:
             kind = batch.schema.field("doc_id").type
             for row in batch.to_pylist():
+                if held and all(row[c] == held[-1][c] for c in ("key", "doc_id", "mark", "first")):
+                    continue  # a repeated row is the same place
                 if size > BLOCK_BYTES and row["key"] != held[-1]["key"]:
                     yield flush()
                     held, size = [], 0
