@@ -34,7 +34,7 @@ def word_count(text: Column) -> Column:
 def quality_weight(text: Column, size: Column) -> Column:
     """Between 0 and 1: the share of words among words and symbols."""
     symbols = F.length(text) - F.length(F.translate(text, SYMBOLS, ""))
-    return F.coalesce(size / (size + symbols), F.lit(1.0))
+    return F.coalesce(F.try_divide(size.cast("double"), size + symbols), F.lit(1.0))
 
 
 def uniform(doc_id: Column, text: Column) -> Column:
