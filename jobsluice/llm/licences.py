@@ -142,11 +142,10 @@ for _k in range(128):
 
 def paragraphs(texts: Texts) -> tuple[Texts, np.ndarray]:
     """Every line of every text as a text of plain words, and the text that it belongs to."""
-    breaks = np.flatnonzero(texts.data == 10) + 1
-    starts = np.sort(np.concatenate([texts.offsets[:-1], breaks]))
+    breaks = np.flatnonzero(texts.data == 10)
+    inner = breaks[breaks + 1 < texts.offsets[np.searchsorted(texts.offsets, breaks, "right")]] + 1
+    starts = np.sort(np.concatenate([texts.offsets[:-1][texts.sizes > 0], inner]))
     owner = np.searchsorted(texts.offsets, starts, "right") - 1
-    inside = starts < len(texts.data)
-    starts, owner = starts[inside & (owner < len(texts))], owner[inside & (owner < len(texts))]
     return Texts(_PLAIN[texts.data], np.append(starts, len(texts.data)).astype(np.int64)), owner
 
 
