@@ -242,7 +242,8 @@ def last_page(
     * ``short``: an empty page, a short page (kept), the row total reached (kept)
     * ``distinct``: an empty page, the distinct total reached (kept)
 
-    A bad status ends every walk before its page. Page 1 is always kept.
+    A bad status ends every walk before its page. Page 1 is always kept. Pages
+    after ``max_pages`` are left out if that is positive; by default all count.
     """
     groups = list(groups)
     reported = F.when(F.col("total").isNotNull(), F.col("page_no"))
@@ -252,12 +253,8 @@ def last_page(
         F.min_by(F.col("total"), reported).alias("_total"), F.min(reported).alias("_total_page")
     )
     walked = pages.join(totals, groups)
-    caps = {"total": 200, "empty": 200, "no_new": 200, "short": None, "distinct": 50}
-    cap = max_pages if max_pages > 0 else caps[rule]
-    if rule == "total":
-        walked = walked.filter((F.col("page_no") <= cap) | (F.lit(max_pages <= 0) & F.col("_total").isNotNull()))
-    elif cap:
-        walked = walked.filter(F.col("page_no") <= cap)
+    if max_pages > 0:
+        walked = walked.filter(F.col("page_no") <= max_pages)
     if rule == "distinct":
         walked = _running_new(walked, groups)
 

@@ -264,16 +264,16 @@ _PAGE_SQL = f"""
       SELECT 'total' AS rule, least(half, max(page_no), coalesce(min(page_no) FILTER (status >= 400) - 1, half))
                AS last_page FROM n GROUP BY half
       UNION ALL
-      SELECT 'empty', least(200, max(page_no), coalesce(min(page_no) FILTER (status >= 400) - 1, 200)) FROM n
+      SELECT 'empty', least(max(page_no), min(page_no) FILTER (status >= 400) - 1) FROM n
       UNION ALL
-      SELECT 'no_new', least(200, max(page_no), coalesce(min(page_no) FILTER (status >= 400) - 1, 200),
-               coalesce(min(page_no) FILTER (page_no > 1 AND n_new = 0), 200)) FROM n
+      SELECT 'no_new', least(max(page_no), min(page_no) FILTER (status >= 400) - 1,
+               min(page_no) FILTER (page_no > 1 AND n_new = 0)) FROM n
       UNION ALL
-      SELECT 'short', least(max(page_no), coalesce(min(page_no) FILTER (status >= 400) - 1, max(page_no)),
+      SELECT 'short', least(max(page_no), min(page_no) FILTER (status >= 400) - 1,
                min(page_no) FILTER (n_rows < 25 OR page_no * 25 >= half * 25)) FROM n
       UNION ALL
-      SELECT 'distinct', least(50, max(page_no), coalesce(min(page_no) FILTER (status >= 400) - 1, 50),
-               coalesce(min(page_no) FILTER (n_cum >= n_known), 50)) FROM n)
+      SELECT 'distinct', least(max(page_no), min(page_no) FILTER (status >= 400) - 1,
+               min(page_no) FILTER (n_cum >= n_known)) FROM n)
     SELECT rule, CAST(last_page AS BIGINT) AS last_page, count(*) AS n_rows
     FROM stops JOIN e ON e.page_no <= last_page GROUP BY ALL
     """,

@@ -39,15 +39,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores if the scan has fewer splits than that; large scans stay as they are.
-
-    For tables whose rows cost much more to process than to move.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def fmt(day: Column, pattern: str) -> Column:
     return F.date_format(day, pattern)
 

@@ -48,7 +48,6 @@ class Policy:
     seen: str = "all"  # which keys the next run knows: all, merged, persisted, fresh
     backfill_ids: bool = True
     days: int = 30
-    page_cap: int | None = 200
     page_size: int | None = None
 
 
@@ -59,8 +58,8 @@ POLICIES = {
         Policy("jobup", fresh_days=False, stop_after_known=200),
         Policy("talent", output_days=False, language="fr_en", seen="merged"),
         Policy("ge", seen="persisted"),
-        Policy("jobroom", language="fr", streak="b", page_cap=None, page_size=25),
-        Policy("adzuna", streak="b", page_cap=50),
+        Policy("jobroom", language="fr", streak="b", page_size=25),
+        Policy("adzuna", streak="b"),
         Policy("indeed", record_key=True, fresh_days=False, output_days=False, streak=None, seen="fresh",
                backfill_ids=False),
         Policy("linkedin", record_key=True, fresh_days=False, output_days=False, streak=None, seen="fresh",
