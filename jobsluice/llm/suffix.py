@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobsluice.llm.shared import stored
-from jobsluice.llm.words import Texts, mix64, powers, prefix_hashes, slices, texts_of
+from jobsluice.llm.words import Texts, mix64, powers, prefix_hashes, slices
 
 LENGTH = 200
 GRAM = 40
@@ -241,8 +241,7 @@ def _open_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """
 
     def cut(batches):
-        for batch in batches:
-            texts = texts_of(batch.column("text"))
+        for batch, texts in slices(batches):
             out = {k: [] for k in ("row", "key", "first", "bytes", "strings")}
             for i, pieces in enumerate(batch.column("open").to_pylist()):
                 begin = texts.offsets[i]
@@ -375,8 +374,7 @@ def without_spans(docs: DataFrame, spans: DataFrame, whole_characters: bool = Fa
     columns = [c for c in docs.columns if c != "text"]
 
     def cut(batches):
-        for batch in batches:
-            texts = texts_of(batch.column("text"))
+        for batch, texts in slices(batches):
             kept, removed, runs = [], [], []
             for i, found in enumerate(batch.column("spans").to_pylist()):
                 data = texts.bytes_of(i)
