@@ -42,7 +42,7 @@ from jobsluice.llm.shared import stored
 from jobsluice.llm.words import mix64, slices, word_hashes, words_of
 
 #: Words of the texts that make up a block, unless one text alone has more.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_500_000
 #: Entries that a bucket gets on average.
 BUCKET_ENTRIES = 500_000
 #: A word with more occurrences than this, and than a millionth of the corpus, has several buckets.
