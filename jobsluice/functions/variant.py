@@ -11,6 +11,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobsluice.functions.binding import bind
+
+
+def strict_json(text: Column) -> Column:
+    """VARIANT of a text that is one JSON value as a whole, else NULL.
+
+    Spark's parser stops after the first value. Here the text is the first element of a list
+    that ends with the text's own digest, so anything after the value breaks the list.
+    """
+    mark = F.md5(text)
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
+    whole = lambda v: F.when(F.try_variant_get(v, "$[1]", "string") == mark, child(v, "$[0]"))
+    return bind(listed, whole)
+
 
 def child(v: Column, path: str) -> Column:
     return F.try_variant_get(v, path, "variant")

@@ -86,6 +86,28 @@ def known_flag(
     return joined.withColumn("known", F.col("_known").isNotNull()).drop("_salt", "_known", "_copy")
 
 
+# Bits of the filter of ``likely``: at most 32 MB, whatever the number of keys.
+FILTER_BITS = 1 << 28
+
+
+def likely(rows: DataFrame, wanted: DataFrame, key: str = "url") -> DataFrame:
+    """``rows`` without most of those whose key is not among ``wanted`` (one column ``key``).
+
+    Every row of a wanted key stays, a few others do too; an exact join has to follow. Keys set one
+    bit each in bitmaps of 4 KB, which are broadcast, so that wide rows are not shuffled.
+    """
+    place = lambda column: F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+    bits = wanted.select(place(key).alias("_h"))
+    bits = bits.groupBy(F.bitmap_bucket_number("_h").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_h")).alias("_bits")
+    )
+    at = F.bitmap_bit_position(place(key))
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.floor(byte / F.pow(F.lit(2), at % 8)) % 2 == 1
+    met = rows.join(F.broadcast(bits), F.bitmap_bucket_number(place(key)) == F.col("_bucket"))
+    return met.filter(is_set).select(*rows.columns)
+
+
 def added_keys(before: DataFrame, after: DataFrame, key: str = "url") -> DataFrame:
     """Keys of ``after`` that ``before`` lacks."""
     return key_set(after, key).join(key_set(before, key), "key", "left_anti")

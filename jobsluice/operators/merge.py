@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from jobsluice.functions.text import strip
 from jobsluice.operators.filters import french_or_english
 from jobsluice.operators.keys import record_key
-from jobsluice.operators.ordered import dense_numbers, largest_group
+from jobsluice.operators.ordered import dense_numbers
 from jobsluice.session import broadcast_if_small, materialize
 
 
@@ -34,7 +34,7 @@ def max_id(df: DataFrame) -> DataFrame:
 def assign_ids(rows: DataFrame, start: int, ord_col: str = "ord") -> DataFrame:
     """Give every row the next free id after ``start``, in the order of ``ord_col``."""
     rows = materialize(rows.withColumn("_all", F.lit(0)), "number")
-    numbered = dense_numbers(rows, ["_all"], ord_col, largest_group(rows, ["_all"])).drop("_all")
+    numbered = dense_numbers(rows, ["_all"], ord_col).drop("_all")
     return numbered.withColumn("id", F.col("rn") + F.lit(start)).drop("rn")
 
 
@@ -107,7 +107,7 @@ def _new_ids(narrow: DataFrame, start: int, backfill: bool) -> DataFrame:
     if not backfill:
         todo = todo.filter(~F.col("_late"))
     counts = {row["_late"]: row["n"] for row in todo.groupBy("_late").agg(F.count("*").alias("n")).collect()}
-    numbers = dense_numbers(todo, ["_late"], "_ord", max(counts.values(), default=0))
+    numbers = dense_numbers(todo, ["_late"], "_ord")
     offset = F.when(F.col("_late"), start + counts.get(False, 0)).otherwise(start)
     return materialize(numbers.select("_key", (F.col("rn") + offset).alias("_new_id")), "new-ids")
 

@@ -2,15 +2,14 @@
 
 A listing is a table with group columns (``source``, ``run_id``) and a sortable
 ``ord``. One group may hold a large share of all rows. ``running_count`` therefore
-measures the groups: if the largest fits one task, a plain window per group does.
-Otherwise it splits the order into blocks of bounded width, counts inside a block,
-and adds the totals of the blocks before it, which are summed in blocks again, so
-that no window ever spans a large group.
+splits the order into blocks of bounded width, counts inside a block, and adds the
+totals of the blocks before it, which are summed in blocks again, so that no window
+ever spans a large group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,17 +22,12 @@ GROUP = ("source", "run_id")
 SHIFTS = (20, 14)
 
 
-# Up to this many rows of a group one task may window on its own.
-ONE_TASK_ROWS = 1_000_000
-
-
 def running_count(
     df: DataFrame,
     marked: Column | None = None,
     groups: Sequence[str] = GROUP,
     ord_col: str = "ord",
     shifts: tuple[int, int] = SHIFTS,
-    largest_group: int | None = None,
     weight: Column | None = None,
 ) -> DataFrame:
     """Add ``rn`` and ``last_mark`` in the order of ``ord_col`` within a group.
@@ -41,17 +35,11 @@ def running_count(
     ``rn`` numbers the rows of a group 1, 2, 3 …, or with ``weight`` sums it up to
     and including the row. ``last_mark`` is ``rn`` of the latest marked row up to
     and including the row, 0 if there is none. ``ord_col``
-    must be unique within a group and not negative. ``largest_group`` is the
-    measured size of the largest group, if known: groups that fit one task get a
-    plain window. The rows are read twice, so pass a stored table.
+    must be unique within a group and not negative. The rows are read twice, so pass
+    a stored table.
     """
     groups, keep = list(groups), df.columns
     mark = F.lit(False) if marked is None else marked
-    if largest_group is not None and largest_group <= ONE_TASK_ROWS:
-        return _count_in(df, groups, ord_col, mark, weight).select(
-            *keep, F.col("_n").alias("rn"), F.coalesce("_m", F.lit(0)).alias("last_mark")
-        )
-
     low, high = shifts
     rows = df.withColumn("_b0", F.shiftright(F.col(ord_col), low))
     rows = _count_in(rows, [*groups, "_b0"], ord_col, mark, weight)
@@ -95,20 +83,9 @@ def _count_in(
     return rows.withColumn("_m", F.max(F.when(marked, F.col("_n"))).over(upto))
 
 
-def largest_group(df: DataFrame, groups: Sequence[str] = GROUP) -> int:
-    """Rows of the largest group."""
-    sizes = df.groupBy(*groups).agg(F.count("*").alias("_n"))
-    return sizes.agg(F.coalesce(F.max("_n"), F.lit(0)).alias("n")).first()["n"]
-
-
-def dense_numbers(
-    df: DataFrame, groups: Sequence[str], ord_col: str = "ord", n_rows: int | None = None
-) -> DataFrame:
-    """Add ``rn`` = 1, 2, 3 … in the order of ``ord_col`` within a group.
-
-    ``n_rows`` is the size of the largest group, if known.
-    """
-    return running_count(df, groups=groups, ord_col=ord_col, largest_group=n_rows).drop("last_mark")
+def dense_numbers(df: DataFrame, groups: Sequence[str], ord_col: str = "ord") -> DataFrame:
+    """Add ``rn`` = 1, 2, 3 … in the order of ``ord_col`` within a group."""
+    return running_count(df, groups=groups, ord_col=ord_col).drop("last_mark")
 
 
 def streak_cut(listing: DataFrame, n: int, variant: str = "a", groups: Sequence[str] = GROUP) -> DataFrame:
@@ -134,7 +111,7 @@ def streak_cut(listing: DataFrame, n: int, variant: str = "a", groups: Sequence[
     else:
         counted = listing.select(*groups, "ord", "known")
     counted = materialize(counted, "streak")
-    scan = running_count(counted, ~F.col("known"), groups, largest_group=largest_group(counted, groups))
+    scan = running_count(counted, ~F.col("known"), groups)
     return scan.filter(F.col("rn") - F.col("last_mark") >= n).groupBy(*groups).agg(F.min("ord").alias("cut"))
 
 
@@ -152,38 +129,32 @@ def cut_after_streak(listing: DataFrame, n: int, variant: str = "a", groups: Seq
 
 
 def first_seen(listing: DataFrame, keys: Sequence[str] = ("url",)) -> DataFrame:
-    """The first row of every key. Rows collapse before the shuffle."""
-    keys = list(keys)
-    rest = [c for c in listing.columns if c not in keys]
-    best = listing.groupBy(*keys).agg(F.min_by(F.struct(*rest), "ord").alias("_row"))
-    return best.select(*keys, "_row.*").select(listing.columns)
+    """The first row of every key. ``ord`` is unique within a key."""
+    return _at_place(listing, keys, "ord", F.min)
 
 
 def batch_dedup(rows: DataFrame, key: str = "url", keep: str = "first", ord_col: str = "ord") -> DataFrame:
-    """One row per key: the first or the last of the batch."""
-    pick = F.min_by if keep == "first" else F.max_by
-    rest = [c for c in rows.columns if c != key]
-    best = rows.groupBy(key).agg(pick(F.struct(*rest), F.col(ord_col)).alias("_row"))
-    return best.select(key, "_row.*").select(rows.columns)
+    """One row per key: the first or the last of the batch. ``ord_col`` is unique within a key."""
+    return _at_place(rows, [key], ord_col, F.min if keep == "first" else F.max)
 
 
-# Up to this limit every task may send its first rows of a group to one task.
-SMALL_LIMIT = 1_000
+def _at_place(rows: DataFrame, keys: Sequence[str], ord_col: str, pick: Callable[[str], Column]) -> DataFrame:
+    """The row at the first or last place of every key.
 
+    The places come from a hash aggregate over key and place, which collapses before the shuffle.
+    The rows then meet them by key and place, which spreads a hot key; they are hashed, not sorted.
+    """
+    best = rows.groupBy(*keys).agg(pick(ord_col).alias("_ord"))
+    best = best.select(*[F.col(k).alias(f"_key{n}") for n, k in enumerate(keys)], "_ord").hint("shuffle_hash")
+    match = F.col(ord_col) == F.col("_ord")
+    for n, k in enumerate(keys):
+        match = match & F.col(k).eqNullSafe(F.col(f"_key{n}"))
+    return rows.join(best, match, "left_semi")
 
-def limit_new(rows: DataFrame, n: int, groups: Sequence[str] = GROUP) -> DataFrame:
-    """The first ``n`` rows of every group in listing order.
 
-    Spark applies a rank limit before the shuffle, so a task sends on at most
-    ``n`` rows of a group. Beyond a small limit the place of the ``n``-th row is
-    counted instead.
-    """
-    if n <= 0:
-        return rows
-    if n > SMALL_LIMIT:
-        return apply_cut(rows, limit_cut(rows, F.lit(True), n, groups), groups)
-    order = Window.partitionBy(*groups).orderBy("ord")
-    return rows.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= n).drop("_rn")
+def limit_new(rows: DataFrame, n: int, groups: Sequence[str] = GROUP) -> DataFrame:
+    """The first ``n`` rows of every group in listing order."""
+    return limit_prefix(rows, F.lit(True), n, groups)
 
 
 def limit_prefix(listing: DataFrame, accepted: Column, n: int, groups: Sequence[str] = GROUP) -> DataFrame:
@@ -192,15 +163,9 @@ def limit_prefix(listing: DataFrame, accepted: Column, n: int, groups: Sequence[
 
 
 def limit_cut(listing: DataFrame, accepted: Column, n: int, groups: Sequence[str] = GROUP) -> DataFrame:
-    """Where the ``n``-th accepted row ends a listing; no rows if ``n <= 0``."""
-    narrow = listing.filter(accepted).select(*groups, "ord")
-    if n > SMALL_LIMIT:
-        narrow = materialize(narrow, "accepted")
-        scan = running_count(narrow, groups=groups, largest_group=largest_group(narrow, groups))
-        return scan.filter(F.col("rn") == n).select(*groups, F.col("ord").alias("cut"))
-    first = limit_new(narrow, n, groups)
-    cut = first.groupBy(*groups).agg(F.max("ord").alias("cut"), F.count("*").alias("_n"))
-    return cut.filter(F.col("_n") == n).drop("_n")
+    """Where the ``n``-th accepted row ends a listing; no row if there are fewer. ``n`` is positive."""
+    narrow = materialize(listing.filter(accepted).select(*groups, "ord"), "accepted")
+    return running_count(narrow, groups=groups).filter(F.col("rn") == n).select(*groups, F.col("ord").alias("cut"))
 
 
 def page_cut(ends: DataFrame, groups: Sequence[str] = GROUP) -> DataFrame:
@@ -281,9 +246,7 @@ def last_page(
 def _running_new(pages: DataFrame, groups: list[str]) -> DataFrame:
     """Add ``_distinct``: URLs seen up to and including the page."""
     pages = materialize(pages, "pages")
-    scan = running_count(
-        pages, groups=groups, ord_col="page_no", largest_group=largest_group(pages, groups), weight=F.col("n_new")
-    )
+    scan = running_count(pages, groups=groups, ord_col="page_no", weight=F.col("n_new"))
     return scan.withColumnRenamed("rn", "_distinct").drop("last_mark")
 
 

@@ -12,7 +12,7 @@ from jobsluice.functions.urls import SiteRule
 from jobsluice.operators import extract, filters, keys, merge, ordered
 from jobsluice.operators.assemble import assemble_ge
 from jobsluice.schema import Policy, listing_order
-from jobsluice.session import BROADCAST_ROWS, materialize
+from jobsluice.session import materialize
 
 
 @dataclass(frozen=True)
@@ -89,14 +89,16 @@ def collect_listing(
 
     ``listing`` is the listing of one run and has ``source, run_id, page_no, pos_on_page`` and record columns;
     ``current`` the record columns with ``id`` and ``pos``; ``seen`` the column
-    ``key``. ``page_rule`` ends the walk at a page edge; ``pages`` describes the
-    pages for it and is taken from the listing (and its ``total``, if there is one)
-    if not given. The walk ends at the earliest of streak, page rule and job limit.
+    ``key``. ``page_rule`` ends the walk at a page edge; ``pages`` has a row for every
+    captured page, with ``source, run_id, page_no, n_rows`` and maybe ``total`` and
+    ``status`` (see ``payload_pages``), so that a page without items counts. If not
+    given, only pages with items are known. The walk ends at the earliest of streak,
+    page rule and job limit.
     """
     days = policy.days if days is None else days
     stop = policy.stop_after_known if stop_after_known is None else stop_after_known
     known = keys.known_keys(current, seen)
-    if page_rule and pages is None:
+    if page_rule:
         listing = materialize(listing, "captured")
     recent = filters.is_recent(F.col("posting_date"), as_of, days) if policy.fresh_days else F.lit(True)
     rows = listing.withColumn("ord", listing_order(F.col("page_no"), F.col("pos_on_page")))
@@ -111,10 +113,10 @@ def collect_listing(
         flagged = keys.known_flag(narrow, known, spread_by=["source", "run_id", "ord"])
         if policy.streak and stop > 0:
             cuts.append(ordered.streak_cut(flagged, stop, policy.streak))
-        cuts.append(ordered.limit_cut(flagged, F.col("passes") & ~F.col("known"), max_jobs))
+        if max_jobs > 0:
+            cuts.append(ordered.limit_cut(flagged, F.col("passes") & ~F.col("known"), max_jobs))
     if page_rule:
-        pages = _pages_of(listing) if pages is None else pages
-        ends = ordered.last_page(pages, page_rule, max_pages, policy.page_size or 25)
+        ends = ordered.last_page(_pages_of(listing, pages), page_rule, max_pages, policy.page_size or 25)
         cuts.append(ordered.page_cut(ends))
     walked = rows
     if cuts:
@@ -127,14 +129,23 @@ def collect_listing(
 API_PAGE_RULES = {"jobroom": "short", "adzuna": "distinct"}
 
 
-def _pages_of(listing: DataFrame) -> DataFrame:
-    """Page table of a listing, rows without a URL counted as rows."""
+def _pages_of(listing: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """Page table for ``last_page``: the captured pages, or those with rows in the listing.
+
+    Rows without a URL count as rows.
+    """
     page = ["source", "run_id", "page_no"]
-    total = F.max("total") if "total" in listing.columns else F.lit(None).cast("bigint")
-    counts = listing.groupBy(*page).agg(F.count("*").alias("n_rows"), total.alias("total"))
+    if pages is None:
+        total = F.max("total") if "total" in listing.columns else F.lit(None).cast("bigint")
+        counts = listing.groupBy(*page).agg(F.count("*").alias("n_rows"), total.alias("total"))
+    else:
+        extra = {"total": F.lit(None).cast("bigint"), "status": F.lit(200)}
+        counts = pages.withColumns({name: value for name, value in extra.items() if name not in pages.columns})
+        counts = counts.select(*page, "n_rows", "total", "status")
     first = filters.drop_blank_key(listing).groupBy("source", "run_id", "url").agg(F.min("page_no").alias("page_no"))
     new = first.groupBy(*page).agg(F.count("*").alias("n_new"))
-    return counts.join(new, page, "left").fillna(0, ["n_new"]).withColumn("status", F.lit(200))
+    counts = counts.join(new, page, "left").fillna(0, ["n_new"])
+    return counts if pages is not None else counts.withColumn("status", F.lit(200))
 
 
 def collect_feed_items(
@@ -234,11 +245,9 @@ def collect_pages(
         new = keys.new_records(walked, known, spread_by=["source", "run_id"])
     new = ordered.limit_new(new.drop("known"), max_jobs)
     new = materialize(new, "new")
-    # Markup is not shuffled: few new links select the pages to parse, many join the parsed records.
-    n_new = new.count()
-    wanted = detail_pages
-    if n_new <= BROADCAST_ROWS:
-        wanted = detail_pages.join(F.broadcast(new.select("url").distinct()), "url", "left_semi")
+    # Markup is not shuffled: a filter of the new links selects the pages to parse, and the parsed
+    # records join the links.
+    wanted = keys.likely(detail_pages, new)
     if detail == "page":
         empty = list_pages.sparkSession.createDataFrame(
             [], "url string, title string, posting_date string, summary string"

@@ -87,12 +87,11 @@ def known_flag(spark, sf):
     "added_keys",
     f"""
     WITH {E_SQL}
-    SELECT DISTINCT url AS key FROM e WHERE source = 'error' AND url NOT IN (SELECT url FROM known)
+    SELECT DISTINCT url AS key FROM e WHERE url NOT IN (SELECT url FROM known)
     """,
 )
 def added_keys(spark, sf):
-    after = listing(spark, sf).filter("source = 'error'").select("url")
-    return keys.added_keys(early_purchases(spark, sf), after)
+    return keys.added_keys(early_purchases(spark, sf), listing(spark, sf).select("url"))
 
 
 @query("sorted_seen", f"WITH {E_SQL} SELECT DISTINCT url AS key FROM e ORDER BY key")
@@ -100,13 +99,15 @@ def sorted_seen(spark, sf):
     return keys.sorted_seen(keys.key_set(listing(spark, sf)))
 
 
-# Seen policies: known as above; listing, the clicks of the third day; fresh, its
-# signups that are not known; merged, both; written, merged keys seen on the last day.
+# Seen policies: known, all purchases; listing, all events but the signups; fresh, the signups
+# that are not known; merged, both; written, merged keys that occur on the last day. Addresses
+# hold the kind of event, so that the sets differ.
 _SEEN_SQL = f"""
-    {E_SQL},
-    day AS (SELECT * FROM e WHERE ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-04'),
-    listed AS (SELECT url FROM day WHERE source = 'click'),
-    fresh AS (SELECT url FROM day WHERE source = 'signup' AND url NOT IN (SELECT url FROM known)),
+    e AS (SELECT event_type AS source, event_id, ts,
+                 '{URL}' || user_id || CASE WHEN event_id % 2 = 0 THEN '' ELSE '/' || event_type END AS url FROM events),
+    known AS (SELECT DISTINCT url FROM e WHERE source = 'purchase'),
+    listed AS (SELECT url FROM e WHERE source <> 'signup'),
+    fresh AS (SELECT url FROM e WHERE source = 'signup' AND url NOT IN (SELECT url FROM known)),
     merged AS (SELECT url FROM known UNION SELECT url FROM fresh),
     written AS (SELECT m.url FROM merged m JOIN e USING (url) GROUP BY m.url
                 HAVING max(ts) >= TIMESTAMP '2024-01-30')
@@ -115,16 +116,17 @@ _SEEN_SQL = f"""
 
 def _seen_tables(spark, sf):
     rows = listing(spark, sf)
-    known = known_set(spark, sf)
-    day = rows.filter(F.to_date("ts") == F.lit("2024-01-03").cast("date"))
-    signups = day.filter("source = 'signup'").select("url", "event_id")
+    kind = F.when(F.col("event_id") % 2 == 0, "").otherwise(F.concat(F.lit("/"), "source"))
+    rows = rows.withColumn("url", F.concat("url", kind))
+    known = keys.key_set(rows.filter("source = 'purchase'"))
+    signups = rows.filter("source = 'signup'").select("url", "event_id")
     fresh = keys.new_records(signups, known, spread_by=["event_id"]).select("url")
     merged = known.select(F.col("key").alias("url")).union(fresh).distinct()
     last = rows.groupBy("url").agg(F.max("ts").alias("last"))
     recent = last.filter(F.col("last") >= F.lit("2024-01-30").cast("timestamp_ntz")).select("url")
     return {
         "known": known,
-        "listing": day.filter("source = 'click'").select("url"),
+        "listing": rows.filter("source <> 'signup'").select("url"),
         "merged": merged,
         "written": merged.join(recent, "url", "left_semi"),
         "fresh": fresh,

@@ -107,11 +107,11 @@ def max_id(spark, sf):
     "assign_ids",
     """
     SELECT event_id, (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY event_id) AS id
-    FROM events WHERE event_type <> 'view'
+    FROM events
     """,
 )
 def assign_ids(spark, sf):
-    rows = table(spark, sf, "events").filter("event_type <> 'view'").select("event_id")
+    rows = table(spark, sf, "events").select("event_id")
     start = table(spark, sf, "orders").agg(F.max("o_orderkey").alias("m")).first()["m"]
     return merge.assign_ids(rows, start, "event_id")
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from jobsluice.queries.listings import E_SQL, known_set
+from jobsluice.operators import keys
+from jobsluice.queries.listings import E_SQL, listing
 from jobsluice.queries.registry import query, table
 from jobsluice.session import scratch_path
+from jobsluice.schema import to_job_schema
 from jobsluice.sources import sinks as S
+from jobsluice.sources.files import read_job_lines
 
 
 @query(
@@ -31,6 +34,32 @@ def write_json(spark, sf):
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
+@query(
+    "json_round_trip",
+    """
+    SELECT c_custkey AS id, c_name || ' "é"' || chr(10) AS title,
+           CASE WHEN c_nationkey > 5 THEN c_mktsegment END AS company, c_acctbal AS salary_min, c_nationkey AS days_ago,
+           c_nationkey > 12 AS rav_exclusive, c_mktsegment || ',fr' AS codes
+    FROM customer
+    """,
+)
+def json_round_trip(spark, sf):
+    rows = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.concat("c_name", F.lit(' "é"\n')).alias("title"),
+        F.when(F.col("c_nationkey") > 5, F.col("c_mktsegment")).alias("company"),
+        F.col("c_acctbal").alias("salary_min"),
+        F.col("c_nationkey").alias("days_ago"),
+        (F.col("c_nationkey") > 12).alias("rav_exclusive"),
+        F.array("c_mktsegment", F.lit("fr")).alias("language_codes"),
+    )
+    path = scratch_path(spark, "json-lines")
+    S.write_json(to_job_schema(rows), path)
+    codes = F.array_join("language_codes", ",").alias("codes")
+    columns = ("id", "title", "company", "salary_min", "days_ago", "rav_exclusive")
+    return read_job_lines(spark, path).select(*columns, codes)
+
+
 @query(
     "write_csv",
     """
@@ -60,11 +89,12 @@ def write_csv(spark, sf):
     "write_seen",
     f"""
     WITH {E_SQL}
-    SELECT url AS key, 2 AS version, 'r2' AS run_id, '2024-01-04T00:00:00' AS last_run_at, 'GE' AS canton FROM known
+    SELECT DISTINCT url AS key, 2 AS version, 'r2' AS run_id, '2024-01-04T00:00:00' AS last_run_at, 'GE' AS canton
+    FROM e
     """,
 )
 def write_seen(spark, sf):
-    known = known_set(spark, sf)
+    known = keys.key_set(listing(spark, sf))
     jobs = known.select(F.monotonically_increasing_id().alias("id"), F.col("key").alias("url"))
     store = S.SnapshotStore(spark, scratch_path(spark, "store"), "id bigint, url string", "demo")
     store.commit(jobs.limit(0), known.limit(0), "r1", "2024-01-03T00:00:00")

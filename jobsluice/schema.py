@@ -76,6 +76,16 @@ def to_job_schema(df: DataFrame) -> DataFrame:
     return empty.unionByName(known, allowMissingColumns=True)
 
 
+# Bits of a position that hold the place on the page.
+PLACE_BITS = 20
+
+
 def listing_order(page_no: Column, pos: Column) -> Column:
-    """One sortable position out of page number and place on the page."""
-    return F.shiftleft(page_no.cast("bigint"), 20) + pos.cast("bigint")
+    """One sortable position out of page number and place on the page.
+
+    A page has room for 2^20 places; a place beyond them is an error and never meets the next page.
+    """
+    place = pos.cast("bigint")
+    too_far = F.raise_error(F.concat(F.lit("place on a listing page is out of range: "), place.cast("string")))
+    ord_ = F.shiftleft(page_no.cast("bigint"), PLACE_BITS) + place
+    return F.when((place < 0) | (place >= 1 << PLACE_BITS), too_far.cast("bigint")).otherwise(ord_)

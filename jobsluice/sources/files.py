@@ -1,16 +1,19 @@
-"""Reading captured files: job arrays, seen state, snapshots.
+"""Reading captured files: job arrays, JSON Lines, seen state, snapshots.
 
-One file is one capture and is read whole by one task; files spread over tasks.
+One capture is one file and is read whole by one task; files spread over tasks. JSON Lines are split.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobsluice.functions import variant as V
+from jobsluice.functions.binding import bind
 from jobsluice.functions.text import strip
 from jobsluice.schema import JOB_SCHEMA
 
@@ -26,10 +29,21 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.input_file_name().alias("path"), F.col("value").alias("text"))
 
 
+def _strict(text: Column, kind: str, mark: str, read_mark: Callable[[Column], Column]) -> Column:
+    """A JSON text read as ``kind``, NULL unless the text is one such value as a whole.
+
+    The parser stops after the first value. The text is therefore the first element of a list,
+    and ``mark``, a value of the same kind around the text's own digest, has to be its second.
+    """
+    before, after = mark.split("?")
+    listed = F.concat(F.lit("["), text, F.lit(f',{before}"'), F.md5(text), F.lit(f'"{after}]'))
+    ends_well = lambda v: read_mark(F.get(v, F.lit(1))) == F.md5(text)
+    return bind(F.from_json(listed, f"array<{kind}>"), lambda v: F.when(ends_well(v), F.get(v, F.lit(0))))
+
+
 def _json_list(text: Column) -> Column:
     """array<variant> of a JSON text that is one list, else NULL."""
-    trimmed = F.rtrim(F.regexp_replace(text, r"\s+$", ""))
-    return F.when(F.endswith(trimmed, F.lit("]")), F.from_json(text, "array<variant>"))
+    return _strict(text, "array<variant>", "[?]", lambda v: F.try_variant_get(F.get(v, F.lit(0)), "$", "string"))
 
 
 def job_fields(item: Column, schema: T.StructType) -> list[Column]:
@@ -69,15 +83,28 @@ def read_job_array(docs: DataFrame, objects_only: bool = True) -> DataFrame:
     return items.select("path", "pos", *job_fields(F.col("item"), job_schema(docs.sparkSession)))
 
 
+def read_job_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Records of JSON Lines, as ``write_json`` writes them, with ``path``; no rows if nothing is there.
+
+    Large files are split over tasks. A line that is not one JSON object as a whole gives no row.
+    """
+    try:
+        lines = spark.read.text(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        lines = spark.createDataFrame([], "value string")
+    items = lines.select(F.input_file_name().alias("path"), V.strict_json(F.col("value")).alias("item"))
+    return items.filter(V.is_object(F.col("item"))).select("path", *job_fields(F.col("item"), job_schema(spark)))
+
+
 def read_seen_state(docs: DataFrame, field: str = "seen_urls", trim: bool = True) -> DataFrame:
     """Keys of state files, with ``path``. Only a list counts; blank keys are dropped.
 
     ``trim=False`` takes the keys as they are.
     """
-    whole = F.when(
-        F.regexp_replace(F.col("text"), r"\s+$", "").endswith("}"),
-        F.from_json("text", f"struct<{field}: array<string>>"),
-    )
+    kind = f"struct<{field}: array<string>>"
+    whole = _strict(F.col("text"), kind, f'{{"{field}":[?]}}', lambda v: F.get(v[field], F.lit(0)))
     keys = docs.select("path", F.explode(whole[field]).alias("key")).filter(F.col("key").isNotNull())
     if not trim:
         return keys
@@ -90,7 +117,7 @@ def snapshot_read(docs: DataFrame) -> DataFrame:
     Ids of a snapshot are texts: they become ``external_id`` and are no ids for a
     later merge.
     """
-    parsed = docs.withColumn("_file", F.try_parse_json("text"))
+    parsed = docs.withColumn("_file", V.strict_json(F.col("text")))
     file, item = F.col("_file"), F.col("item")
     items = parsed.select(
         "path", "_file", F.posexplode(V.list_items(file, "$.jobs")).alias("pos", "item")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,10 +35,29 @@ def csv_projection(df: DataFrame, layout: list[str]) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, layout: str | list[str]) -> None:
-    """CSV with header, doubled quotes and empty NULLs."""
+    """CSV with a header in every file, doubled quotes, empty NULLs and CRLF after every record.
+
+    Line feeds inside a field stay as they are, which Spark's own CSV writer does not grant with
+    such line ends; the records are therefore written as text. An empty table gives one header.
+    """
     names = CSV_LAYOUTS[layout] if isinstance(layout, str) else layout
-    writer = csv_projection(df, names).write.mode("overwrite")
-    writer.option("header", "true").option("escape", '"').option("nullValue", "").option("emptyValue", "").csv(path)
+    header = ",".join(names)
+    rows = csv_projection(df, names)
+    fields = [F.coalesce(_csv_field(F.col(name)), F.lit("")) for name in names]
+    # The low 33 bits of the id count the rows of a task, and a task writes one file.
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    line = F.concat_ws(",", *fields)
+    lines = rows.select(F.when(first, F.concat(F.lit(header + "\r\n"), line)).otherwise(line).alias("value"))
+    lines.write.mode("overwrite").option("lineSep", "\r\n").option("maxRecordsPerFile", 0).text(path)
+    if df.sparkSession.read.text(path).isEmpty():
+        empty = df.sparkSession.createDataFrame([(header,)], "value string")
+        empty.write.mode("overwrite").option("lineSep", "\r\n").text(path)
+
+
+def _csv_field(value: Column) -> Column:
+    """A text as a CSV field, in quotes if it holds a comma, a quote or a line end."""
+    quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+    return F.when(value.rlike('[,"\r\n]'), quoted).otherwise(value)
 
 
 def read_table(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:

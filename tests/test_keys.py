@@ -1,4 +1,5 @@
 from conftest import values
+from pyspark.sql import functions as F
 
 from jobsluice.operators import keys
 
@@ -47,3 +48,12 @@ def test_seen_policies(spark):
     expected = {"all": "klmw", "merged": "mw", "persisted": "w", "fresh": "fk"}
     for policy, want in expected.items():
         assert "".join(sorted(r.key for r in keys.next_seen(policy, **tables).collect())) == want
+
+
+def test_likely_keeps_every_wanted_row(spark):
+    rows = spark.range(20_000).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("url"), F.col("id").alias("n"))
+    wanted = rows.filter("n % 50 = 0").select("url")
+    got = [r.n for r in keys.likely(rows, wanted).collect()]
+    assert {n for n in range(0, 20_000, 50)} <= set(got) and len(got) < 420
+    assert keys.likely(rows, wanted.limit(0)).count() == 0
+    assert "_bits" not in keys.likely(rows, wanted).columns

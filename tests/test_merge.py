@@ -3,7 +3,7 @@ import random
 import pytest
 
 from jobsluice import session
-from jobsluice.operators import merge, ordered
+from jobsluice.operators import merge
 from jobsluice.operators.keys import record_key
 
 SCHEMA = "url string, title string, company string, location string, id bigint, pos bigint, note string"
@@ -54,11 +54,10 @@ def _got(df, by_key=False):
     return sorted(((_key(r, by_key), r.id, r.note) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("one_task", [1_000_000, 0])
-def test_merge_by_url(spark, monkeypatch, one_task):
-    # At 0 every size check fails, so the ways for large tables run.
-    monkeypatch.setattr(ordered, "ONE_TASK_ROWS", one_task)
-    monkeypatch.setattr(session, "BROADCAST_ROWS", one_task)
+@pytest.mark.parametrize("rows", [1_000_000, 0])
+def test_merge_by_url(spark, monkeypatch, rows):
+    # At 0 every size check fails, so the way for large tables runs.
+    monkeypatch.setattr(session, "BROADCAST_ROWS", rows)
     for seed in range(4):
         rnd = random.Random(seed)
         current, fresh = _batch(rnd, 20, True, tag="c"), _batch(rnd, 25, False, 14, tag="f")
@@ -106,8 +105,7 @@ def test_two_level(spark):
     assert {(r.url, r.id, r.t) for r in new_output.collect()} == {("a", 4, "m"), ("x", 9, "o"), ("c", 10, "f"), ("b", 11, "f")}
 
 
-def test_assign_ids_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "ONE_TASK_ROWS", 0)
+def test_assign_ids_in_blocks(spark):
     rows = random.Random(1).sample(range(1 << 40), 300)
     df = spark.createDataFrame([(o,) for o in rows], "ord bigint")
     got = {r.ord: r.id for r in merge.assign_ids(df, 10).collect()}

@@ -8,8 +8,8 @@ from jobsluice.functions import variant as V
 from jobsluice.operators import normalize as N
 from jobsluice.operators.report import snapshot_header
 from jobsluice.sources.feed import rss_items
-from jobsluice.sources.files import read_documents, read_job_array, read_seen_state, snapshot_read
-from jobsluice.sources.payloads import ENVELOPES, unpack_envelope
+from jobsluice.sources.files import read_documents, read_job_array, read_job_lines, read_seen_state, snapshot_read
+from jobsluice.sources.payloads import ENVELOPES, payload_pages, unpack_envelope
 
 
 def _files(tmp_path, files):
@@ -40,6 +40,9 @@ def test_job_arrays(spark, tmp_path):
         "object.json": {"jobs": [{"id": 9}]},
         "broken.json": '[{"id": 9}',
         "trailing.json": '[{"id": 9}] x',
+        "bracket.json": '[{"id": 9}] x]',
+        "two.json": '[{"id": 9}] [2]',
+        "pair.json": '[{"id": 9}], [2]',
         "empty.json": "",
         "repeat.json": '[{"id": 1, "id": 2}]\n\n',
     })
@@ -63,6 +66,8 @@ def test_seen_states(spark, tmp_path):
         "b.json": {"seen_urls": "u3"},
         "c.json": ["u4"],
         "d.json": '{"seen_urls": ["u5"]',
+        "f.json": '{"seen_urls": ["u6"]} y}',
+        "g.json": '{"seen_urls": ["u7"]} {"seen_urls": ["u8"]}',
         "e.json": {"seen_keys": [" k1 ", ""]},
     })
     docs = read_documents(spark, path)
@@ -167,3 +172,25 @@ def test_feed(spark):
     assert sorted(values(rss_items(docs))) == [("l1", "late", None, "z"), ("l2", None, None, None)]
     one = spark.createDataFrame([("f", feed.replace("<link>l1<", "<link>l3<"))], "path string, text string")
     assert ("l1", "A & B", "2026-03-02", "x y") in values(rss_items(one))
+
+
+def test_strict_json(spark):
+    texts = ['{"a": 1}', ' {"a": 1}\n', '{"a": 1} x', '{"a": 1}, 2', '{"a": 1}]', '{"a": 1', "", None, "5"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, t string").orderBy("n")
+    got = [r[0] for r in rows.select(F.to_json(V.strict_json(F.col("t")))).collect()]
+    assert got == ['{"a":1}', '{"a":1}', None, None, None, None, None, None, "5"]
+
+
+def test_payload_pages(spark):
+    texts = ['{"results": [{"a": 1}, 5, {}], "count": 70}', '{"results": []}', "[{}]", '{"results": [{}]} x', None]
+    rows = spark.createDataFrame(list(enumerate(texts, 1)), "page_no int, payload string")
+    pages = payload_pages(rows, ENVELOPES["adzuna"]).orderBy("page_no")
+    assert values(pages, "page_no", "n_rows", "total") == [(1, 2, 70), (2, 0, None), (3, 0, None), (4, 0, None), (5, 0, None)]
+    assert unpack_envelope(rows, ENVELOPES["adzuna"]).count() == 2
+
+
+def test_json_lines(spark, tmp_path):
+    (tmp_path / "part-0.json").write_text('{"id":1,"title":"é"}\n{"id":2} x\n[]\n\n{"id":"3"}\n', encoding="utf-8")
+    rows = read_job_lines(spark, str(tmp_path))
+    assert sorted(values(rows, "id", "title"), key=repr) == [(1, "é"), (None, None)]
+    assert read_job_lines(spark, str(tmp_path / "missing")).count() == 0

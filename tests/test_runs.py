@@ -1,12 +1,14 @@
+import json
 import random
 from datetime import date
 
-import pytest
+from pyspark.sql import functions as F
 
 from jobsluice.functions.urls import SiteRule
-from jobsluice.plans import collect
-from jobsluice.plans.collect import collect_feed_items, collect_pages
+from jobsluice.operators.normalize import normalize_adzuna
+from jobsluice.plans.collect import collect_feed_items, collect_listing, collect_pages
 from jobsluice.schema import POLICIES, Policy
+from jobsluice.sources.payloads import ENVELOPES, payload_pages, unpack_envelope
 
 RULE = SiteRule("t", "https://e.example.com", "example.com", "/d/")
 JOBS = "id bigint, url string, title string, description string, posting_date string, pos bigint"
@@ -49,9 +51,7 @@ def _walk(site, streak):
     return links
 
 
-@pytest.mark.parametrize("small", [500_000, 0])
-def test_html_runs(spark, monkeypatch, small):
-    monkeypatch.setattr(collect, "BROADCAST_ROWS", small)
+def test_html_runs(spark):
     as_of = date(2026, 1, 28)
     for seed, seen_policy, language in ((1, "all", None), (2, "persisted", None), (3, "merged", "fr_en")):
         site = _site(seed)
@@ -151,3 +151,17 @@ def test_card_and_feed_run(spark):
     assert (got["1"].posting_date, got["1"].date_limite, got["1"].source) == ("2026-01-20", "2026-03-01", "ge")
     assert (got["4"].title, got["4"].posting_date, got["4"].summary) == ("Poste 4", "2026-01-15", "résumé")
     assert {r.key for r in run.seen.collect()} == {f"{url}{n}" for n in "124"}
+
+
+def test_an_empty_page_ends_a_walk(spark):
+    body = lambda *ids: json.dumps({"results": [{"id": i, "redirect_url": f"https://x/{i}"} for i in ids]})
+    payloads = spark.createDataFrame([(1, body(1, 2)), (2, body()), (3, body(3))], "page_no int, payload string")
+    frame = payload_pages(payloads, ENVELOPES["adzuna"]).withColumns({"source": F.lit("adzuna"), "run_id": F.lit("r")})
+    listing = normalize_adzuna(unpack_envelope(payloads, ENVELOPES["adzuna"]).drop("total"))
+    listing = listing.withColumnRenamed("pos", "pos_on_page").withColumn("run_id", F.lit("r"))
+    current = spark.createDataFrame([], "id bigint, pos bigint, url string, title string")
+    seen = spark.createDataFrame([], "key string")
+    policy = Policy("adzuna", fresh_days=False, output_days=False, streak=None)
+    for pages, n in ((frame, 2), (None, 3)):
+        run = collect_listing(listing, current, seen, policy, date(2026, 1, 28), pages=pages, page_rule="distinct")
+        assert run.written.count() == n

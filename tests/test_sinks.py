@@ -26,11 +26,21 @@ def test_json(spark, tmp_path):
 def test_csv(spark, tmp_path):
     path = str(tmp_path / "c")
     S.write_csv(spark.createDataFrame(ROWS, SCHEMA).coalesce(1), path, "jobroom")
-    records = list(csv.DictReader(io.StringIO("".join(_text(path, "*.csv")))))
+    records = list(csv.DictReader(io.StringIO("".join(_text(path, "*.txt")))))
     assert list(records[0]) == CSV_LAYOUTS["jobroom"]
     got = [(r["id"], r["title"], r["company"], r["rav_exclusive"], r["description"], r["canton"]) for r in records]
     assert got == [("1", 'say "hi", é', "", "True", "a\nb", ""), ("2", "", "x;y", "False", "", "")]
-    assert 'say ""hi""' in "".join(_text(path, "*.csv"))
+    assert 'say ""hi""' in "".join(_text(path, "*.txt"))
+
+
+def test_csv_line_ends(spark, tmp_path):
+    rows = spark.createDataFrame([("a\nb", "c,d"), (None, 'x"y')], "title string, company string")
+    S.write_csv(rows.coalesce(1), str(tmp_path / "c"), ["title", "company"])
+    assert [p.read_bytes() for p in (tmp_path / "c").glob("*.txt")] == [
+        b'title,company\r\n"a\nb","c,d"\r\n,"x""y"\r\n'
+    ]
+    S.write_csv(rows.limit(0), str(tmp_path / "e"), ["title", "company"])
+    assert b"".join(p.read_bytes() for p in (tmp_path / "e").glob("*.txt")) == b"title,company\r\n"
 
 
 def test_unified_schema(spark):
