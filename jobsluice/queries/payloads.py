@@ -12,7 +12,7 @@ from jobsluice.operators.report import snapshot_header
 from jobsluice.queries.registry import json_pages, query, table
 from jobsluice.session import scratch_path
 from jobsluice.sources.files import read_documents, read_job_array, read_seen_state, snapshot_read
-from jobsluice.sources.payloads import ENVELOPES, unpack_envelope
+from jobsluice.sources.payloads import ENVELOPES, payload_pages, unpack_envelope
 
 AS_OF = date(2024, 3, 31)
 
@@ -201,6 +201,25 @@ def envelopes(spark, sf):
     return out
 
 
+# Every fifth page is empty, every seventh has text after its value.
+@query(
+    "payload_pages",
+    """
+    WITH p AS (SELECT event_id // 25 + 1 AS page_no, count(*) AS n FROM events GROUP BY 1)
+    SELECT page_no, CASE WHEN page_no % 7 <> 0 THEN page_no * 10 END AS total,
+           CASE WHEN page_no % 7 = 0 OR page_no % 5 = 0 THEN 0 ELSE n END AS n_rows
+    FROM p
+    """,
+)
+def api_pages(spark, sf):
+    pages = json_pages(table(spark, sf, "events"), F.struct("event_id", "user_id"), "event_id", 25)
+    items = F.when(F.col("page_no") % 5 == 0, F.lit("[]")).otherwise(F.col("items"))
+    tail = F.when(F.col("page_no") % 7 == 0, F.lit("} {}")).otherwise(F.lit("}"))
+    total = (F.col("page_no") * 10).cast("string")
+    payload = F.concat(F.lit('{"count": '), total, F.lit(', "results": '), items, tail)
+    return payload_pages(pages.select("page_no", payload.alias("payload")), ENVELOPES["adzuna"])
+
+
 # Job-room items built around parts. The size of the part decides which fields are
 # missing, blank or of the wrong type.
 _JOBROOM_SQL = """
