@@ -9,7 +9,8 @@ probabilities; a paragraph whose best family stays below ``LEAST`` is of unknown
 
 A prediction counts as confirmed if the paragraph holds at least ``CONFIRM`` of the word pairs of a
 notice of that family. Features without weight do not matter, so that a notice is also found in a
-long paragraph.
+long paragraph. The name of a licence alone, as in a heading, counts only if the paragraph holds at
+most ``AROUND`` words besides it, since prose names licences too.
 
 Defined results: NULL and empty texts have no paragraphs; repeated rows give repeated results; an
 empty table gives no rows, and the classifier then learns from the notices alone. Extra columns are
@@ -33,6 +34,8 @@ OTHER_PARAGRAPHS = 1_500
 VARIANTS = 40
 LEAST = 0.5
 CONFIRM = 0.6
+#: Words that a paragraph may hold besides the mere name of a licence.
+AROUND = 4
 PENALTY = 0.0005
 SEED = 20_261
 OTHER = "none"
@@ -111,10 +114,29 @@ NOTICES = {
         "SPDX-License-Identifier: CC-BY-NC-4.0",
     ),
     "proprietary": (
+        "All rights reserved.",
         "All rights reserved. No part of this publication may be reproduced without the prior written permission of the publisher.",
         "This document is confidential and proprietary and may not be copied or distributed without permission.",
     ),
 }
+# Names that stand alone in a heading or a field.
+NAMES = {
+    "apache": ("Apache License 2.0", "Apache License, Version 2.0"),
+    "mit": ("MIT License", "The MIT License (MIT)"),
+    "gpl": ("GNU General Public License v3.0", "GNU General Public License, version 3"),
+    "lgpl": ("GNU Lesser General Public License v2.1", "GNU Lesser General Public License, version 2.1"),
+    "agpl": ("GNU Affero General Public License v3.0", "GNU Affero General Public License, version 3"),
+    "bsd": ("BSD 3-Clause License", "BSD License"),
+    "mpl": ("Mozilla Public License 2.0", "Mozilla Public License, version 2.0"),
+    "epl": ("Eclipse Public License 2.0", "Eclipse Public License, version 2.0"),
+    "isc": ("ISC License",),
+    "cc0": ("CC0 1.0 Universal",),
+    "unlicense": ("The Unlicense",),
+    "cc-by": ("CC BY 4.0", "Creative Commons Attribution 4.0 International"),
+    "cc-by-sa": ("CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International"),
+    "cc-by-nc": ("CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International"),
+    "proprietary": ("Proprietary and confidential",),
+}
 # Sentences that speak of licences and grant none.
 MENTIONS = (
     "The driver renewed a licence last year.",
@@ -169,6 +191,21 @@ def _pairs(words: list[bytes]) -> set[tuple]:
     return set(zip(words, words[1:], strict=False)) or {tuple(words)}
 
 
+def _holds(words: list[bytes], template: tuple[set, int | None]) -> bool:
+    """Whether a paragraph holds enough of a template: its pairs, and the most words a paragraph may have."""
+    pairs, most = template
+    return (most is None or len(words) <= most) and len(pairs & _pairs(words)) >= CONFIRM * len(pairs)
+
+
+def _templates() -> dict[str, list[tuple[set, int | None]]]:
+    out = {}
+    for family, notices in NOTICES.items():
+        names = [_plain_words(n) for n in NAMES[family]]
+        out[family] = [(_pairs(_plain_words(n)), None) for n in notices]
+        out[family] += [(_pairs(words), len(words) + AROUND) for words in names]
+    return out
+
+
 def _variants(rng: np.random.Generator, notice: str, count: int) -> list[str]:
     """The notice with words left out, before, after or between other words."""
     words, out = notice.split(), [notice]
@@ -191,7 +228,7 @@ class Classifier:
     bias: np.ndarray
     temperature: float
     present: np.ndarray
-    templates: dict[str, list[set]]
+    templates: dict[str, list[tuple[set, int | None]]]
 
     def probabilities(self, lines: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Lines that hold a feature, their class probabilities, and the number of words of all lines."""
@@ -210,8 +247,8 @@ class Classifier:
         return lines_hit, scores / scores.sum(axis=1, keepdims=True), counts
 
     def confirmed(self, family: str, paragraph: bytes) -> bool:
-        held = _pairs(paragraph.split())
-        return any(len(t & held) >= CONFIRM * len(t) for t in self.templates[family])
+        words = paragraph.split()
+        return any(_holds(words, t) for t in self.templates[family])
 
 
 def _softmax(x: np.ndarray, y: np.ndarray, classes: int, weight: np.ndarray, steps: int = 150) -> tuple[np.ndarray, np.ndarray]:
@@ -250,13 +287,14 @@ def train(others: list[str]) -> Classifier:
     rng = np.random.default_rng(SEED)
     classes = [OTHER, *NOTICES]
     flat = lambda s: " ".join(s.split())
-    samples = [(flat(v), k) for k, c in enumerate(classes) if k for notice in NOTICES[c] for v in _variants(rng, notice, VARIANTS)]
+    known = {c: NOTICES[c] + NAMES[c] for c in NOTICES}
+    samples = [(flat(v), k) for k, c in enumerate(classes) if k for notice in known[c] for v in _variants(rng, notice, VARIANTS)]
     samples += [(v, 0) for m in MENTIONS for v in _variants(rng, m, VARIANTS)]
-    templates = {c: [_pairs(_plain_words(n)) for n in NOTICES[c]] for c in NOTICES}
+    templates = _templates()
     # Notices among the others, recognised by their templates, must not be learnt as none.
     for line in others[:OTHER_PARAGRAPHS]:
-        held = _pairs(_plain_words(line))
-        if not any(len(t & held) >= CONFIRM * len(t) for group in templates.values() for t in group):
+        words = _plain_words(line)
+        if not any(_holds(words, t) for group in templates.values() for t in group):
             samples.append((flat(line), 0))
     samples = [s for s in samples if s[0].strip()]
     lines, y = [s[0] for s in samples], np.array([s[1] for s in samples])

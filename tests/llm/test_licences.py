@@ -49,3 +49,35 @@ def test_paragraphs_of_odd_texts():
 
 def test_empty_table(empty):
     assert licences.scan(empty).count() == 0
+
+
+def test_notices_that_stand_alone(spark, model):
+    texts = {
+        1: "Prose.\nAll rights reserved.\nMore prose.",
+        2: "Copyright 2020 Some Company. All rights reserved.",
+        3: "MIT License\n\nCopyright 2020 Someone",
+        4: "# GNU General Public License v3.0",
+        5: "Apache License, Version 2.0",
+        6: "All seats in the front row were reserved.",
+        7: "In the second chapter the author compares how the MIT License came to be used by so many young companies.",
+    }
+    got = licences.scan(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"), model).collect()
+    found = {r["doc_id"]: [n["family"] for n in r["notices"] if n["confirmed"]] for r in got}
+    assert found == {1: ["proprietary"], 2: ["proprietary"], 3: ["mit"], 4: ["gpl"], 5: ["apache"], 6: [], 7: []}
+
+
+def test_licence_lines_of_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    wanted = {
+        "This work is licensed under the GNU General Public License, version 3.": "gpl",
+        "All rights reserved.": "proprietary",
+        "Licensed under CC BY-NC 4.0.": "cc-by-nc",
+        "Released under the MIT License.": "mit",
+        "Licensed under the Apache License, Version 2.0.": "apache",
+    }
+    texts = {r["doc_id"]: (r["text"] or "").split("\n") for r in docs.select("doc_id", "text").collect()}
+    lines = {(d, k, wanted[line]) for d, text in texts.items() for k, line in enumerate(text) if line in wanted}
+    speaking = {(d, k) for d, text in texts.items() for k, line in enumerate(text) if "licensed under" in line.lower() or "rights reserved" in line.lower()}
+    got = {(r["doc_id"], n["line"], n["family"]) for r in licences.scan(docs).collect() for n in r["notices"] if n["confirmed"]}
+    assert {f for _, _, f in lines} == set(wanted.values()) and speaking <= {(d, k) for d, k, _ in lines}
+    assert got == lines
