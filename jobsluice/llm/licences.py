@@ -12,6 +12,11 @@ notice of that family. Features without weight do not matter, so that a notice i
 long paragraph. The name of a licence alone, as in a heading, counts only if the paragraph holds at
 most ``AROUND`` words besides it, since prose names licences too.
 
+A notice that is wrapped over lines is one paragraph too: within a block of lines that each hold a
+word, templates are also compared over stretches of at most ``SPREAD`` times their length that run
+across line ends. The lines of such a stretch are classified as one and replace the unconfirmed
+predictions of its single lines; ``line`` is the first of them. Marks of comments are no words.
+
 Defined results: NULL and empty texts have no paragraphs; repeated rows give repeated results; an
 empty table gives no rows, and the classifier then learns from the notices alone. Extra columns are
 not read.
@@ -40,6 +45,9 @@ PENALTY = 0.0005
 SEED = 20_261
 OTHER = "none"
 
+#: Words over which a wrapped notice may be spread, as a multiple of those of its template.
+SPREAD = 2
+
 # The usual wording of notices by licence family.
 NOTICES = {
     "apache": (
@@ -218,6 +226,56 @@ def _variants(rng: np.random.Generator, notice: str, count: int) -> list[str]:
     return out
 
 
+def _pair_hashes(words: list[bytes]) -> np.ndarray:
+    texts = texts_of(pa.array([b" ".join(words)], pa.binary()))
+    return np.unique(sequence_hashes(word_hashes(texts, words_of(texts)), 2))
+
+
+@dataclass
+class Wording:
+    """A template as the hashes of its pairs, for the search across line ends."""
+
+    family: str
+    pairs: np.ndarray
+    need: int
+    span: int
+    most: int | None
+
+
+def _wordings() -> list[Wording]:
+    out = []
+    for family in NOTICES:
+        for text in NOTICES[family] + NAMES[family]:
+            words = _plain_words(text)
+            pairs = _pair_hashes(words)
+            if len(pairs):
+                need = int(np.ceil(CONFIRM * len(pairs)))
+                most = len(words) + AROUND if text in NAMES[family] else None
+                out.append(Wording(family, pairs, need, SPREAD * len(words), most))
+    return out
+
+
+def _windows(at: np.ndarray, pair: np.ndarray, block: np.ndarray, need: int, span: int) -> list[tuple[int, int]]:
+    """Disjoint stretches, as first and last pair, that hold ``need`` different pairs; fullest first, then shortest.
+
+    ``at`` are the ascending places of a template's pairs, ``pair`` and ``block`` their kinds and blocks.
+    """
+    stop = np.minimum(np.searchsorted(at, at + span), np.searchsorted(block, block, "right"))
+    found = []
+    for i in np.flatnonzero(stop - np.arange(len(at)) >= need).tolist():
+        kinds, where = np.unique(pair[i : stop[i]], return_index=True)
+        if len(kinds) >= need:
+            found.append((-len(kinds), int(at[i + where.max()] - at[i]), int(at[i])))
+    out: list[tuple[int, int]] = []
+    taken = np.zeros(int(at[-1] - at[0]) + 1 if found else 0, bool)
+    for _, length, first in sorted(found):
+        inside = slice(first - int(at[0]), first - int(at[0]) + length + 1)
+        if not taken[inside].any():
+            taken[inside] = True
+            out.append((first, first + length))
+    return out
+
+
 @dataclass
 class Classifier:
     """Sorted feature hashes, their weights per class, and how scores become probabilities."""
@@ -229,6 +287,7 @@ class Classifier:
     temperature: float
     present: np.ndarray
     templates: dict[str, list[tuple[set, int | None]]]
+    wordings: list[Wording]
 
     def probabilities(self, lines: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Lines that hold a feature, their class probabilities, and the number of words of all lines."""
@@ -250,6 +309,42 @@ class Classifier:
         words = paragraph.split()
         return any(_holds(words, t) for t in self.templates[family])
 
+    def wrapped(self, lines: Texts, owner: np.ndarray) -> list[tuple[int, int, str, float]]:
+        """Notices that run across line ends: first and last line, family, probability."""
+        words = words_of(lines)
+        hashes, line, counts = sequence_hashes(word_hashes(lines, words), 2), words.doc, words.counts
+        new = np.ones(len(lines), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (counts[1:] == 0) | (counts[:-1] == 0)
+        block = np.cumsum(new)[line]
+        known = np.unique(np.concatenate([w.pairs for w in self.wordings]))
+        at = np.flatnonzero(block[:-1] == block[1:])
+        where = np.minimum(np.searchsorted(known, hashes[at]), len(known) - 1)
+        hit = known[where] == hashes[at]
+        at, where = at[hit], where[hit]
+        families: dict[tuple[int, int], set[str]] = {}
+        for w in self.wordings:
+            own = np.isin(known, w.pairs)[where]
+            places = at[own]
+            for a, b in _windows(places, where[own], block[places], w.need, w.span):
+                first, last = int(line[a]), int(line[b + 1])
+                size = int(words.first[last + 1] - words.first[first])
+                if first < last and (w.most is None or size <= w.most):
+                    families.setdefault((first, last), set()).add(w.family)
+        ranges = sorted(families)
+        if not ranges:
+            return []
+        parts = [lines.data[lines.offsets[a] : lines.offsets[b + 1]] for a, b in ranges]
+        joined = Texts(np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64))
+        hits, probabilities, _ = self.probabilities(joined)
+        out: list[tuple[int, int, str, float]] = []
+        for k, p in zip(hits.tolist(), probabilities, strict=True):
+            (first, last), family, sure = ranges[k], self.classes[int(p.argmax())], float(p.max())
+            # Templates of one family may find the same notice.
+            again = any(f == family and a <= last and first <= b for a, b, f, _ in out[-len(self.wordings) :])
+            if family in families[ranges[k]] and sure >= LEAST and not again:
+                out.append((first, last, family, sure))
+        return out
+
 
 def _softmax(x: np.ndarray, y: np.ndarray, classes: int, weight: np.ndarray, steps: int = 150) -> tuple[np.ndarray, np.ndarray]:
     """L1-penalised softmax regression by accelerated proximal steps."""
@@ -320,7 +415,7 @@ def train(others: list[str]) -> Classifier:
     features, w = features[used], w[used]
     present = np.zeros(1 << 20, bool)
     present[(features & np.uint64(len(present) - 1)).astype(np.int64)] = True
-    return Classifier(classes, features, w, b, temperature, present, templates)
+    return Classifier(classes, features, w, b, temperature, present, templates, _wordings())
 
 
 def other_paragraphs(docs: DataFrame) -> list[str]:
@@ -349,21 +444,26 @@ def scan(docs: DataFrame, model: Classifier | None = None) -> DataFrame:
         for rows, texts in slices(batches):
             lines, owner = paragraphs(texts)
             hit, probabilities, counts = found.probabilities(lines)
-            notices: list[list[dict]] = [[] for _ in range(len(texts))]
+            by_line: dict[int, list[dict]] = {}
             if len(hit):
                 best = probabilities.argmax(axis=1)
                 sure = probabilities[np.arange(len(hit)), best]
                 for k in np.flatnonzero((best > 0) & (sure >= LEAST)).tolist():
                     line, family = int(hit[k]), found.classes[best[k]]
-                    of = int(owner[line])
-                    notices[of].append(
-                        {
-                            "line": line - int(np.searchsorted(owner, of)),
-                            "family": family,
-                            "probability": float(sure[k]),
-                            "confirmed": found.confirmed(family, lines.bytes_of(line)),
-                        }
-                    )
+                    sound = found.confirmed(family, lines.bytes_of(line))
+                    by_line[line] = [{"family": family, "probability": float(sure[k]), "confirmed": sound}]
+            for first, last, family, p in found.wrapped(lines, owner):
+                inside = [n for line in range(first, last + 1) for n in by_line.get(line, [])]
+                if any(n["family"] == family and n["confirmed"] for n in inside):
+                    continue
+                for line in range(first, last + 1):
+                    by_line[line] = [n for n in by_line.get(line, []) if n["confirmed"]]
+                by_line[first].append({"family": family, "probability": p, "confirmed": True})
+            notices: list[list[dict]] = [[] for _ in range(len(texts))]
+            for line in sorted(by_line):
+                of = int(owner[line])
+                at = line - int(np.searchsorted(owner, of))
+                notices[of] += [{"line": at, **n} for n in by_line[line]]
             n = np.bincount(owner[counts > 0], minlength=len(texts))
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), pa.array(n, pa.int64()), pa.array(notices, _NOTICES)],

@@ -81,3 +81,44 @@ def test_licence_lines_of_given_documents(spark):
     got = {(r["doc_id"], n["line"], n["family"]) for r in licences.scan(docs).collect() for n in r["notices"] if n["confirmed"]}
     assert {f for _, _, f in lines} == set(wanted.values()) and speaking <= {(d, k) for d, k, _ in lines}
     assert got == lines
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:"""
+
+
+def test_wrapped_notices(spark, model):
+    marked = lambda mark, text: "\n".join(mark + line for line in text.split("\n"))
+    texts = {
+        1: MIT,
+        2: GPL,
+        3: BSD,
+        4: LGPL,
+        5: "int x;\n\n" + marked("# ", GPL) + "\n#\nint y;",
+        6: "/*\n" + marked(" * ", BSD) + "\n */",
+        7: f"MIT License\n\nCopyright (c) 2020 Someone\n\n{MIT}\r\n\r\nmore",
+        8: marked("// ", MIT) + "\n" + marked("// ", BSD),
+        9: f"{GPL}\n\n{GPL}",
+        10: "released\nunder\nsome\nrules the\nlibrary and the license of\nMIT",
+        11: BSD.replace("\n", "\n\n"),
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = licences.scan(docs, model).collect()
+    found = {r["doc_id"]: [(n["line"], n["family"]) for n in r["notices"] if n["confirmed"]] for r in got}
+    assert found == {
+        1: [(0, "mit")], 2: [(0, "gpl")], 3: [(0, "bsd")], 4: [(0, "lgpl")], 5: [(2, "gpl")], 6: [(1, "bsd")],
+        7: [(0, "mit"), (4, "mit")], 8: [(0, "mit"), (5, "bsd")], 9: [(0, "gpl"), (5, "gpl")], 10: [], 11: [],
+    }
