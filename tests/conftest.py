@@ -27,9 +27,3 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     return session
-
-
-def values(df, *columns):
-    """Rows as plain tuples."""
-    rows = df.select(*columns) if columns else df
-    return [tuple(r) for r in rows.collect()]

@@ -2,7 +2,7 @@ import itertools
 from datetime import date, datetime, timedelta
 from email.utils import parsedate_to_datetime
 
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from jobsluice.functions import dates as D

@@ -1,6 +1,6 @@
 import json
 
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from jobsluice.operators import enrich as R

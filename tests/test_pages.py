@@ -1,7 +1,7 @@
 import json
 from html.parser import HTMLParser
 
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from jobsluice.functions import html as H

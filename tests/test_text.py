@@ -1,6 +1,6 @@
 import re
 
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from jobsluice.functions import text as T

@@ -1,6 +1,6 @@
 from urllib.parse import urlencode, urljoin
 
-from conftest import values
+from helpers import values
 from pyspark.sql import functions as F
 
 from jobsluice.functions import urls as U
