@@ -8,7 +8,21 @@ import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsluice.llm import katz, licences, mixing, neardup, perplexity, quality, suffix, tiling, tokens, warc
+from jobsluice.llm import (
+    hardneg,
+    katz,
+    langid,
+    licences,
+    mixing,
+    neardup,
+    perplexity,
+    quality,
+    spelling,
+    suffix,
+    tiling,
+    tokens,
+    warc,
+)
 from jobsluice.llm.shared import training_rows
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +147,46 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for every hundredth vector; the labels of every seventh one are moved on by one."""
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hardneg.hard_negatives(table(spark, sf_dir, "embeddings"), vec_id, F.col("embedding"), moved, vec_id % 100 == 0)
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.id AS anchor_id, b.id AS other, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.id % 100 = 0 AND a.id <> b.id),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INTEGER AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, one in 199 damaged, and the more frequent form and root of each."""
+    counts = spelling.count_words(table(spark, sf_dir, "documents"), damage_every=199)
+    return spelling.variants(counts)
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt outside the held-out third."""
+    return langid.identify(table(spark, sf_dir, "documents"), training_rows("doc_id", 3, 1))
+
+
 QUERIES: dict[str, Run] = {
     run.__name__: run
     for run in (
@@ -146,9 +200,12 @@ QUERIES: dict[str, Run] = {
         op8_licences,
         op9_katz,
         op10_decontamination,
+        op11_hard_negatives,
+        op12_spelling_variants,
+        op13_language_id,
     )
 } | {"pipeline": corpus_pipeline.run}
 
-SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_mixing": OP2_SQL}
+SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op2_mixing": OP2_SQL, "op11_hard_negatives": OP11_SQL}
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
