@@ -88,12 +88,17 @@ def unescape(c: Column) -> Column:
     return F.coalesce(_unescape_rest(F.when(rare, c)), F.when(F.contains(c, F.lit("&")), decoded).otherwise(c))
 
 
-def with_clean_text(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
+def first_chars(c: Column, n: int | None) -> Column:
+    """The first ``n`` code points, all of them if ``n`` is None."""
+    return c if n is None else F.substring(c, 1, n)
+
+
+def with_clean_text(df: DataFrame, limits: Mapping[str, int | None]) -> DataFrame:
     """Clean the named string columns in place: decode, collapse, cut to code points.
 
-    An empty result is NULL. The cut is the last step, a trailing space it may
-    leave is kept.
+    A limit of None keeps the whole text. An empty result is NULL. The cut is the
+    last step, a trailing space it may leave is kept.
     """
     decoded = df.withColumns({name: unescape(F.col(name)) for name in limits})
     squeezed = decoded.withColumns({name: collapse(F.col(name)) for name in limits})
-    return squeezed.withColumns({name: filled(F.substring(F.col(name), 1, n)) for name, n in limits.items()})
+    return squeezed.withColumns({name: filled(first_chars(F.col(name), n)) for name, n in limits.items()})

@@ -10,24 +10,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsluice.functions.html import with_text
-from jobsluice.functions.text import collapse, strip
+from jobsluice.functions.text import collapse, first_chars, strip
 from jobsluice.operators.filters import is_pending
 
 # A classifier takes prompts and returns one JSON reply for each.
 Classifier = Callable[[list[str]], list[str]]
 
-# How much of a description the prompt holds, how many labels count.
+# How much of a description a short prompt holds, how many labels count.
 PROMPT_CHARS = 4000
 MAX_LABELS = 5
 
 
-def with_prompt(df: DataFrame, name: str = "prompt") -> DataFrame:
-    """Add the classifier input; NULL if title and description are both blank."""
+def with_prompt(df: DataFrame, name: str = "prompt", chars: int | None = None) -> DataFrame:
+    """Add the classifier input; NULL if title and description are both blank.
+
+    ``chars`` cuts the description (``PROMPT_CHARS`` is the usual size); None passes all of it.
+    """
     rows = with_text(df, F.col("description"), "_plain")
     title = strip(F.coalesce(F.col("title"), F.lit("")))
-    text = F.concat(
-        F.lit("Titre: "), title, F.lit("\nDescription: "), F.substring(F.col("_plain"), 1, PROMPT_CHARS)
-    )
+    text = F.concat(F.lit("Titre: "), title, F.lit("\nDescription: "), first_chars(F.col("_plain"), chars))
     return rows.withColumn(name, F.when((title != "") | (F.col("_plain") != ""), text)).drop("_plain")
 
 
@@ -97,14 +98,17 @@ def classified(prompt: Column, classify: Classifier, batch: int = 64) -> Column:
     return call.asNondeterministic()(prompt)
 
 
-def enrich(df: DataFrame, classify: Classifier, batch: int = 64, **flags: bool) -> DataFrame:
+def enrich(
+    df: DataFrame, classify: Classifier, batch: int = 64, prompt_chars: int | None = None, **flags: bool
+) -> DataFrame:
     """Label the pending records in place; all other rows pass unchanged.
 
     Only prompts of pending records reach Python. Records with neither title nor
     description get empty labels and keep an old error; a success clears the
-    error, a failure writes it and leaves the labels empty.
+    error, a failure writes it and leaves the labels empty. ``prompt_chars`` cuts the
+    description in the prompt, None reads it whole.
     """
-    rows = with_prompt(df.withColumn("_pending", is_pending(**flags)), "_prompt")
+    rows = with_prompt(df.withColumn("_pending", is_pending(**flags)), "_prompt", prompt_chars)
     asked = F.when(F.col("_pending"), F.col("_prompt"))
     rows = rows.withColumn("_answer", classified(asked, classify, batch))
     labels = F.when(F.col("_pending"), parse_labels(F.col("_answer.reply"))).otherwise(F.col("professions"))
@@ -137,6 +141,7 @@ def enrich_resume(
     key: str = "url",
     rounds: int = 4,
     only: range | None = None,
+    prompt_chars: int | None = None,
 ) -> DataFrame:
     """Label pending records in rounds and keep every finished round on disk.
 
@@ -151,7 +156,7 @@ def enrich_resume(
     for part in only or range(rounds):
         todo = narrow.filter(F.pmod(F.xxhash64(key), F.lit(rounds)) == part)
         todo = todo.join(read_results(results, path).select(key), key, "left_anti")
-        labelled = enrich(todo, classify, force_all=True).select(results.columns)
+        labelled = enrich(todo, classify, prompt_chars=prompt_chars, force_all=True).select(results.columns)
         labelled.write.mode("append").parquet(f"{path}/round={part}")
     return read_results(results, path)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -63,11 +63,14 @@ def extract_links(pages: DataFrame, rule: SiteRule) -> DataFrame:
     return first.select("url", "_first.page_id", F.col("_first.pos").cast("bigint").alias("pos"))
 
 
-def listing_cards(pages: DataFrame, rule: SiteRule, carry: tuple[str, ...] = ("page_id",)) -> DataFrame:
+def listing_cards(
+    pages: DataFrame, rule: SiteRule, carry: tuple[str, ...] = ("page_id",), limits: Mapping[str, int] | None = None
+) -> DataFrame:
     """Listing cards: ``li`` elements holding a link to a detail page.
 
     The first matching link names the card; title is the text of its first link.
     Per page and URL the first card wins, so an outer ``li`` beats a nested one.
+    ``limits`` (such as ``CARD_LIMITS``) cuts the texts, None keeps them whole.
     """
     card = pages.select(*carry, F.posexplode(H.elements(F.col("html"), "li")["li"]).alias("pos", "_card"))
     card = card.withColumn("_html", H.visible_markup(F.col("_card")))
@@ -93,8 +96,9 @@ def listing_cards(pages: DataFrame, rule: SiteRule, carry: tuple[str, ...] = ("p
             "_class": F.when(pay_class != "", F.concat(F.lit("classe "), pay_class)),
         }
     )
-    card = with_clean_text(card, {"title": 240, "departement": 160, "taux": 120, "_pay": 120})
-    fields = F.struct("pos", "title", "departement", "taux", F.coalesce("_class", "_pay").alias("remuneration"))
+    card = card.withColumnRenamed("_pay", "remuneration")
+    card = with_clean_text(card, _limits(CARD_LIMITS, limits))
+    fields = F.struct("pos", "title", "departement", "taux", F.coalesce("_class", "remuneration").alias("remuneration"))
     first = card.groupBy(*carry, "url").agg(F.min_by(fields, "pos").alias("_card"))
     return first.select(*carry, "url", "_card.*").withColumn("pos", F.col("pos").cast("bigint"))
 
@@ -140,11 +144,11 @@ def first_posting(scripts: Column, keys: tuple[str, ...] | None) -> Column:
 
 
 def ldjson_jobposting(
-    pages: DataFrame, keys: tuple[str, ...] | None, limits: dict[str, int], cut_date: bool = False
+    pages: DataFrame, keys: tuple[str, ...] | None, limits: Mapping[str, int | None], cut_date: bool = False
 ) -> DataFrame:
     """Add title, company, location, description and posting_date of the embedded JobPosting.
 
-    ``limits`` holds the length limit of each text. ``ok`` is false where a text
+    ``limits`` names the texts to clean and how long each may get, None for any length. ``ok`` is false where a text
     that must be cleaned is no string: such a page counts as a failed fetch.
     """
     found = pages.withColumn("_node", first_posting(H.ld_json_scripts(F.col("html")), keys))
@@ -180,11 +184,19 @@ def ldjson_jobposting(
     return found
 
 
-# Length limits of the embedded JobPosting texts per site.
+# Which texts of the embedded JobPosting are cleaned per site, and the usual limits of
+# these and other texts. Nothing is cut unless limits are passed.
 POSTING_LIMITS = {
     "jobup": {"title": 180, "company": 140, "location": 120, "description": 1200, "posting_date": 32},
     "talent": {"title": 180, "company": 160, "location": 120, "description": 3500},
 }
+CARD_LIMITS = {"title": 240, "departement": 160, "taux": 120, "remuneration": 120}
+PAGE_LIMITS = {"title": 240, "description": 2200}
+
+
+def _limits(usual: Mapping[str, int], limits: Mapping[str, int] | None) -> dict[str, int | None]:
+    """A limit for every text of ``usual``: the given one, or None."""
+    return {name: (limits or {}).get(name) for name in usual}
 
 
 def meta_property(pages: DataFrame, prop: str, name: str) -> DataFrame:
@@ -192,9 +204,9 @@ def meta_property(pages: DataFrame, prop: str, name: str) -> DataFrame:
     return pages.withColumn(name, strip(H.meta_content(F.col("html"), prop)))
 
 
-def detail_record_graph(pages: DataFrame) -> DataFrame:
+def detail_record_graph(pages: DataFrame, limits: Mapping[str, int] | None = None) -> DataFrame:
     """Detail record of a site with a JSON graph; ``og:`` properties fill title and description."""
-    limits = POSTING_LIMITS["jobup"]
+    limits = _limits(POSTING_LIMITS["jobup"], limits)
     rec = ldjson_jobposting(pages, GRAPH_KEYS, limits)
     rec = meta_property(rec, "og:title", "_og_title")
     rec = meta_property(rec, "og:description", "_og_description")
@@ -209,13 +221,15 @@ def detail_record_graph(pages: DataFrame) -> DataFrame:
     return rec.drop("_og_title", "_og_description", "html")
 
 
-def detail_record_nested(pages: DataFrame, source: str = "talent") -> DataFrame:
+def detail_record_nested(
+    pages: DataFrame, source: str = "talent", limits: Mapping[str, int] | None = None
+) -> DataFrame:
     """Detail record of a site with a JobPosting at any depth."""
-    rec = ldjson_jobposting(pages, None, POSTING_LIMITS["talent"], cut_date=True)
+    rec = ldjson_jobposting(pages, None, _limits(POSTING_LIMITS["talent"], limits), cut_date=True)
     return rec.withColumn("source", F.lit(source)).drop("html")
 
 
-def page_detail(pages: DataFrame) -> DataFrame:
+def page_detail(pages: DataFrame, limits: Mapping[str, int] | None = None) -> DataFrame:
     """Detail record of a page without structured data: headline, first long paragraph, dates."""
     parts = H.elements(F.col("html"), "main", "article", "h1", "p", outermost=True)
     rec = pages.withColumn("_parts", parts)
@@ -231,7 +245,7 @@ def page_detail(pages: DataFrame) -> DataFrame:
     rec = H.with_text(rec, F.col("title"), "title")
     rec = H.with_texts(rec, F.col("_paras"), "_paras")
     rec = rec.withColumn("description", F.get(F.filter("_paras", lambda p: F.length(p) > 80), F.lit(0)))
-    rec = with_clean_text(rec, {"title": 240, "description": 2200})
+    rec = with_clean_text(rec, _limits(PAGE_LIMITS, limits))
     rec = rec.withColumns(
         {
             "posting_date": labelled_day(F.col("_text"), POSTING_LABELS),

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from jobsluice.functions import variant as V
 from jobsluice.functions.dates import age_days, iso_day
-from jobsluice.functions.text import filled, strip, stripped
+from jobsluice.functions.text import filled, first_chars, strip, stripped
 
 # Languages tried after the preferred one, the address of a detail
-# page, the length limit of a description.
+# page, the length to which a description is usually cut.
 FALLBACK_LANGUAGES = ("fr", "de", "it", "en")
 DETAIL_URL = "https://www.job-room.ch/job-search/detail/"
 DESCRIPTION_LIMIT = 2500
@@ -84,8 +84,13 @@ def url_fallback(external_url: Column, external_id: Column) -> Column:
     return F.coalesce(filled(external_url), detail, F.lit(""))
 
 
-def normalize_jobroom(df: DataFrame, as_of: date, language: str = "fr") -> DataFrame:
-    """Flat records of the public job-room payload."""
+def normalize_jobroom(
+    df: DataFrame, as_of: date, language: str = "fr", description_chars: int | None = None
+) -> DataFrame:
+    """Flat records of the public job-room payload.
+
+    ``description_chars`` cuts the description (``DESCRIPTION_LIMIT`` is the usual size).
+    """
     rest = [c for c in df.columns if c != "item"]
     wrapped = V.child(F.col("item"), "$.jobAdvertisement")
     rows = df.withColumn("_ad", F.when(wrapped.isNotNull(), wrapped).otherwise(F.col("item")))
@@ -131,7 +136,7 @@ def normalize_jobroom(df: DataFrame, as_of: date, language: str = "fr") -> DataF
     rows = rows.withColumns(
         {
             "posting_date": date_prefix(F.col("_posted")),
-            "_text": strip(F.substring(F.col("_pick.description"), 1, DESCRIPTION_LIMIT)),
+            "_text": strip(first_chars(F.col("_pick.description"), description_chars)),
             "_low": V.number_at(content, "$.employment.workloadPercentageMin"),
             "_high": V.number_at(content, "$.employment.workloadPercentageMax"),
             "_permanent": V.boolean_at(content, "$.employment.permanent"),
@@ -159,8 +164,11 @@ def normalize_jobroom(df: DataFrame, as_of: date, language: str = "fr") -> DataF
     )
 
 
-def normalize_adzuna(df: DataFrame) -> DataFrame:
-    """Flat records of the Adzuna payload; salary and contract pass through."""
+def normalize_adzuna(df: DataFrame, description_chars: int | None = None) -> DataFrame:
+    """Flat records of the Adzuna payload; salary and contract pass through.
+
+    ``description_chars`` cuts the description (``DESCRIPTION_LIMIT`` is the usual size).
+    """
     item = F.col("item")
     rest = [c for c in df.columns if c != "item"]
     texts = {
@@ -180,7 +188,7 @@ def normalize_adzuna(df: DataFrame) -> DataFrame:
         *[_or_na(filled(F.col(name))).alias(name) for name in ("title", "company", "location")],
         date_prefix(F.col("posting_date")).alias("posting_date"),
         F.coalesce(filled(F.col("_url")), filled(F.col("_ref")), F.lit("")).alias("url"),
-        F.substring(filled(F.col("description")), 1, DESCRIPTION_LIMIT).alias("description"),
+        first_chars(filled(F.col("description")), description_chars).alias("description"),
         V.number_at(item, "$.salary_min").alias("salary_min"),
         V.number_at(item, "$.salary_max").alias("salary_max"),
         V.string_at(item, "$.contract_time").alias("contract_time"),

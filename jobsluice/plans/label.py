@@ -9,8 +9,9 @@ from jobsluice.operators.filters import pending_rows
 
 
 def label_jobs(
-    jobs: DataFrame, classify: Classifier, work_path: str, key: str = "url", rounds: int = 4, **flags: bool
+    jobs: DataFrame, classify: Classifier, work_path: str, key: str = "url", rounds: int = 4,
+    prompt_chars: int | None = None, **flags: bool,
 ) -> DataFrame:
     """Label the pending records in restartable rounds and write the results back."""
-    results = enrich_resume(pending_rows(jobs, **flags), classify, work_path, key, rounds)
+    results = enrich_resume(pending_rows(jobs, **flags), classify, work_path, key, rounds, prompt_chars=prompt_chars)
     return attach_labels(jobs, results, key)

@@ -37,7 +37,7 @@ _DOCS_SQL = f"""
       FROM documents LEFT JOIN labels USING (doc_id)),
     flags AS (
       SELECT *, trim(coalesce(professions, '')) = '' AS open, coalesce(professions_error, '') <> '' AS failed,
-             'Titre: ' || title || chr(10) || 'Description: ' || left(body, 4000) AS prompt FROM d),
+             'Titre: ' || title || chr(10) || 'Description: ' || body AS prompt FROM d),
     asked AS (
       SELECT *, contains(prompt, '{FAILS_ON}') AS refused, array_to_string(list_filter([
         {", ".join(f"CASE WHEN contains(lower(prompt), '{word}') THEN '{label}' END" for word, label in KEYWORDS.items())}

@@ -117,9 +117,9 @@ def html_to_text(spark, sf):
                    lambda x: x <> ''), ' ') AS body FROM p),
     f AS (SELECT page_id, arg_min(body, i) AS body FROM t WHERE length(body) > 80 GROUP BY page_id)
     SELECT a.page_id,
-           nullif(left(trim(regexp_replace({_decoded(f"regexp_replace({_decoded('h1')}, '<[^>]*>', ' ', 'g')")},
-                                           '\\s+', ' ', 'g')), 240), '') AS title,
-           left(trim(regexp_replace({_decoded('f.body')}, '\\s+', ' ', 'g')), 2200) AS description,
+           nullif(trim(regexp_replace({_decoded(f"regexp_replace({_decoded('h1')}, '<[^>]*>', ' ', 'g')")},
+                                      '\\s+', ' ', 'g')), '') AS title,
+           trim(regexp_replace({_decoded('f.body')}, '\\s+', ' ', 'g')) AS description,
            day AS posting_date, NULL::VARCHAR AS date_limite
     FROM a LEFT JOIN f USING (page_id)
     """,
@@ -251,7 +251,7 @@ def _posting_sql(found, date):
     f"SELECT p_partkey, {_posting_sql(_FOUND['nested'], 'T08:00:00Z')}, true AS ok FROM part",
 )
 def ldjson_jobposting(spark, sf):
-    rows = extract.ldjson_jobposting(_part_pages(spark, sf), None, extract.POSTING_LIMITS["jobup"])
+    rows = extract.ldjson_jobposting(_part_pages(spark, sf), None, dict.fromkeys(extract.POSTING_LIMITS["jobup"]))
     return rows.select("p_partkey", "title", "company", "location", "posting_date", "ok")
 
 

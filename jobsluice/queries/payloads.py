@@ -240,7 +240,7 @@ _JOBROOM_SQL = """
       CASE p_size % 3 WHEN 0 THEN ext WHEN 1 THEN 'https://www.job-room.ch/job-search/detail/' || pid ELSE '' END AS url,
       CASE WHEN p_size % 3 = 2 THEN '' ELSE pid END AS external_id,
       CASE WHEN p_size % 2 = 0 THEN 'de,fr' ELSE ',en' END AS codes,
-      CASE WHEN p_size % 2 = 0 THEN p_type ELSE left(repeat(p_type || ' ', 400), 2500) END AS description
+      CASE WHEN p_size % 2 = 0 THEN p_type ELSE rtrim(repeat(p_type || ' ', 400)) END AS description
       FROM p)
 """
 
@@ -377,7 +377,7 @@ def pick_description(spark, sf):
              AS posting_date,
            CASE WHEN s_acctbal > 5000 THEN 'https://a.example.com/' || s_suppkey
                 WHEN s_acctbal > 0 THEN 'ref-' || s_suppkey ELSE '' END AS url,
-           left(repeat(s_name || ' ', 200), 2500) AS description,
+           rtrim(repeat(s_name || ' ', 200)) AS description,
            s_acctbal AS salary_min, CASE WHEN s_nationkey > 10 THEN s_acctbal + 1 END AS salary_max,
            CASE WHEN s_nationkey > 10 THEN 'full_time' END AS contract_time, 'permanent' AS contract_type,
            CAST(s_suppkey + 1 AS VARCHAR) AS external_id, 'adzuna' AS source

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from jobsluice.functions import dates as D
 from jobsluice.functions.text import collapse, with_clean_text
 from jobsluice.operators import filters
-from jobsluice.operators.enrich import with_prompt
+from jobsluice.operators.enrich import PROMPT_CHARS, with_prompt
 from jobsluice.operators.normalize import date_prefix
 from jobsluice.queries.registry import fmt, query, table
 
@@ -252,4 +252,4 @@ def prompt_text(spark, sf):
     title = F.when(F.col("lang") != "en", F.concat(F.lit(" "), "source", F.lit("\n")))
     body = F.concat(F.lit("<div><p>"), F.regexp_replace("text", "\n", "<br>"), F.lit("</p></div>"))
     rows = docs.select("doc_id", title.alias("title"), body.alias("description"))
-    return with_prompt(rows).select("doc_id", "prompt")
+    return with_prompt(rows, chars=PROMPT_CHARS).select("doc_id", "prompt")

@@ -31,8 +31,20 @@ def test_parse_labels(spark):
 
 def test_prompt(spark):
     rows = [("u", " T\n", "<p>a&amp;b</p> c", None, None), ("v", None, "x" * 5000, None, None), ("w", " ", "<p> </p>", None, None)]
-    got = [r.prompt for r in R.with_prompt(spark.createDataFrame(rows, SCHEMA)).orderBy("url").collect()]
-    assert got == ["Titre: T\nDescription: a&b c", "Titre: \nDescription: " + "x" * 4000, None]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    for chars, length in ((None, 5000), (R.PROMPT_CHARS, 4000)):
+        got = [r.prompt for r in R.with_prompt(frame, chars=chars).orderBy("url").collect()]
+        assert got == ["Titre: T\nDescription: a&b c", "Titre: \nDescription: " + "x" * length, None]
+
+
+def test_whole_descriptions_are_read(spark, tmp_path):
+    late = "word " * 2_000 + "alpha"
+    frame = spark.createDataFrame([("a", "t", late, None, None)], SCHEMA)
+    classify = R.keyword_classifier({"alpha": "Late"})
+    for chars, labels in ((None, "Late"), (R.PROMPT_CHARS, "")):
+        assert values(R.enrich(frame, classify, prompt_chars=chars), "professions") == [(labels,)]
+        done = label_jobs(frame, classify, str(tmp_path / str(chars)), rounds=1, prompt_chars=chars)
+        assert values(done, "professions") == [(labels,)]
 
 
 def _classify(prompts):

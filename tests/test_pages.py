@@ -187,6 +187,25 @@ def test_page_detail(spark):
     assert (got[3].title, got[3].description) == (None, None)
 
 
+def test_texts_are_whole_unless_limits_are_passed(spark):
+    title, text = "t" * 500, "d" * 5_000
+    page = spark.createDataFrame([(1, f"<h1>{title}</h1><p>{text}</p>")], "n int, html string")
+    posting = spark.createDataFrame([(1, _page(POSTING | {"title": title, "description": text}))], "n int, html string")
+    posting = posting.withColumn("url", F.lit("u"))
+    for limits, sizes in ((None, (500, 5_000)), (extract.PAGE_LIMITS, (240, 2_200))):
+        row = extract.page_detail(page, limits).first()
+        assert (len(row.title), len(row.description)) == sizes
+    for record, site in ((extract.detail_record_graph, "jobup"), (extract.detail_record_nested, "talent")):
+        usual = extract.POSTING_LIMITS[site]
+        for limits, sizes in ((None, (500, 5_000)), (usual, (usual["title"], usual["description"]))):
+            row = record(posting, limits=limits).first()
+            assert (len(row.title), len(row.description)) == sizes
+    card = f"<ul><li><a href='/offres-emploi-etat-geneve/liste-offres/1'>{title}</a></li></ul>"
+    for limits, size in ((None, 500), (extract.CARD_LIMITS, 240)):
+        rows = extract.listing_cards(spark.createDataFrame([(1, card)], "page_id int, html string"), SITE_RULES["ge"], limits=limits)
+        assert [len(r.title) for r in rows.collect()] == [size]
+
+
 def test_assemble(spark):
     cards = spark.createDataFrame(
         [("u1", "card", "d", "80%", "classe 1"), ("u2", None, None, None, None), ("u3", "card", None, None, None)],

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from jobsluice.functions import variant as V
 from jobsluice.operators import normalize as N
 from jobsluice.operators.report import snapshot_header
-from jobsluice.sources.feed import rss_items
+from jobsluice.sources.feed import FEED_LIMITS, rss_items
 from jobsluice.sources.files import read_documents, read_job_array, read_job_lines, read_seen_state, snapshot_read
 from jobsluice.sources.payloads import ENVELOPES, payload_pages, unpack_envelope
 
@@ -132,7 +132,10 @@ def test_jobroom(spark):
     assert (b.workload, b.contract_type, b.url, b.external_id) == ("80%", "", "e", "7")
     assert (c.title, c.company, c.url, c.external_id, c.posting_date, c.rav_exclusive) == ("N/A", "N/A", "", "", None, False)
     assert (d.external_id, d.posting_date, d.expiry_date, d.days_ago, d.rav_exclusive) == ("8", "2026-01-05", "2026-02-01", 26, True)
-    assert (e.posting_date, e.days_ago, e.description) == ("junk", None, "x" * 2499)
+    assert (e.posting_date, e.days_ago) == ("junk", None)
+    assert e.description == "x" * 2499 + " y"
+    cut = N.normalize_jobroom(_items(spark, items), date(2026, 1, 31), description_chars=N.DESCRIPTION_LIMIT)
+    assert {r.n: r.description for r in cut.collect()}[e.n] == "x" * 2499
 
 
 def test_preferred_language_stops_at_its_first_version(spark):
@@ -150,7 +153,9 @@ def test_adzuna(spark):
     ]
     a, b = sorted(N.normalize_adzuna(_items(spark, items)).collect(), key=lambda r: r.n)
     assert (a.title, a.company, a.location, a.posting_date, a.url, a.external_id) == ("A", "C", "N/A", "2026-01-01", "r", "9")
-    assert (a.description, a.salary_min, a.salary_max) == ("d" * 2500, 10.0, 10.5)
+    assert (a.description, a.salary_min, a.salary_max) == ("d" * 2600, 10.0, 10.5)
+    cut = N.normalize_adzuna(_items(spark, items), N.DESCRIPTION_LIMIT)
+    assert {r.description for r in cut.collect()} == {"d" * 2500, None}
     assert (b.title, b.company, b.posting_date, b.url, b.description, b.salary_min) == ("N/A", "N/A", None, "u", None, None)
 
 
@@ -172,6 +177,9 @@ def test_feed(spark):
     assert sorted(values(rss_items(docs))) == [("l1", "late", None, "z"), ("l2", None, None, None)]
     one = spark.createDataFrame([("f", feed.replace("<link>l1<", "<link>l3<"))], "path string, text string")
     assert ("l1", "A & B", "2026-03-02", "x y") in values(rss_items(one))
+    long = spark.createDataFrame([("f", feed.replace("<b>y</b>", "y" * 2_000).replace("<link>l1<", "<link>l3<"))], "path string, text string")
+    for limits, size in ((None, 2_002), (FEED_LIMITS, 1_200)):
+        assert max(len(r.summary or "") for r in rss_items(long, limits).collect()) == size
 
 
 def test_strict_json(spark):
