@@ -150,7 +150,7 @@ def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
 
 
 def _sets(docs: DataFrame, text: str, marks: DataFrame) -> DataFrame:
-    """``cid``, ``items`` of the texts with the given marks."""
+    """``cid``, ``items`` of the texts with the given marks, one row a class however many copies it has."""
 
     def build(batches):
         for _, texts in slices(batches):
@@ -164,7 +164,7 @@ def _sets(docs: DataFrame, text: str, marks: DataFrame) -> DataFrame:
     marks = stored(marks.distinct(), "marks")
     marks = F.broadcast(marks) if fits(marks, BROADCAST_IDS) else marks
     rows = rows.join(marks, "mark", "left_semi").select("text")
-    return rows.mapInArrow(build, "cid bigint, items array<bigint>")
+    return rows.mapInArrow(build, "cid bigint, items array<bigint>").dropDuplicates(["cid"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -281,7 +281,7 @@ def near_duplicates(
     if not undecided.isEmpty():
         crowded = stored(crowded.join(undecided, "band", "left_semi").select("band", "cid", "label", "size"), "crowded")
         marks = classes.join(crowded.select("cid").distinct(), "cid", "left_semi").select("mark")
-        rows = crowded.join(info, "cid").join(_sets(docs, text, marks).dropDuplicates(["cid"]), "cid")
+        rows = crowded.join(info, "cid").join(_sets(docs, text, marks), "cid")
         blocks = F.ceil(F.col("size") / BLOCK)
         rows = rows.withColumn("block", F.pmod(F.xxhash64("cid"), blocks))
         rows = rows.withColumn("partner", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))

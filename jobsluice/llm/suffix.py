@@ -9,8 +9,8 @@ All strings of the corpus cannot be sorted in one place, so equal ones are broug
    without moving text. Stretches whose hash occurs elsewhere, but not their bytes as a whole, are
    open: such are the edges of repeated passages.
 3. The bytes of open stretches meet by hash. Blocks of them get a suffix array, sorted by doubling to
-   the depth of 200 bytes. A start has a longest previous factor of at least 200 if a smaller place
-   stands before or after it among the suffixes that share 200 bytes. Hashes with more open
+   the depth of 200 bytes. The previous and next smaller places in suffix order give every start its
+   longest previous factor; starts where it reaches 200 bytes are later copies. Hashes with more open
    stretches than a block holds compare hashes of their single strings in a Spark aggregate instead.
 
 ``keep="first"`` keeps the earliest place of each string, in the order of doc_id and position, and
@@ -162,20 +162,48 @@ def suffix_groups(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np
     return order, rank[order]
 
 
-def longest_previous(group: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For suffixes in suffix order: does a group member have a smaller place, and has it any other?
+def smaller_before(group: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """For every entry the index of the last one of its group before it with a smaller place, -1 if there is none.
 
-    The previous and the next smaller place in suffix order lie in the same group exactly if the
-    suffix is not the smallest of its group; its longest previous factor has the full depth then.
+    An entry looks at its neighbour; whoever finds a larger place there goes on from where that
+    entry's own search has got to, and no search passes over a smaller place.
     """
-    begin = np.ones(len(group), bool)
-    begin[1:] = group[1:] != group[:-1]
-    first = np.flatnonzero(begin)
-    if not len(first):
-        return np.zeros(0, bool), np.zeros(0, bool)
-    sizes = np.diff(np.append(first, len(group)))
-    least = np.repeat(np.minimum.reduceat(place, first), sizes)
-    return place > least, np.repeat(sizes > 1, sizes)
+    at = np.arange(-1, len(place) - 1)
+    at[1:][group[1:] != group[:-1]] = -1
+    open_ = np.flatnonzero(at >= 0)
+    while len(open_):
+        open_ = open_[place[at[open_]] > place[open_]]
+        at[open_] = at[at[open_]]
+        open_ = open_[at[open_] >= 0]
+    return at
+
+
+def longest_previous(group: np.ndarray, place: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``lpf``, ``before``, ``after`` for suffixes in suffix order.
+
+    ``before`` and ``after`` are the indices of the previous and the next smaller place: the two earlier
+    suffixes with the longest common prefixes. Suffixes of one group share ``length`` bytes and those of two
+    groups do not, so a place beyond the group counts as none (-1). ``lpf`` is the larger of the two common
+    prefixes, ``length`` for all that reach it and 0 for anything shorter.
+    """
+    n = len(place)
+    before = smaller_before(group, place)
+    after = n - 1 - smaller_before(group[::-1], place[::-1])[::-1]
+    after[after == n] = -1
+    return np.where((before >= 0) | (after >= 0), length, 0), before, after
+
+
+def repeated(group: np.ndarray, place: np.ndarray, length: int, keep: str) -> np.ndarray:
+    """Which suffixes go: those with an earlier match, and for ``none`` the matched ones too.
+
+    The earliest of equal strings is the previous or next smaller place of a neighbour.
+    """
+    lpf, before, after = longest_previous(group, place, length)
+    hit = lpf >= length
+    if keep == "none":
+        for near in (before, after):
+            hit[near[near >= 0]] = True
+    return hit
 
 
 def _runs(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -192,8 +220,7 @@ def _sorted_block(rows: list[dict], length: int, keep: str) -> list[tuple]:
     counts = sizes - length + 1
     starts = np.arange(counts.sum()) + np.repeat(base - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts)
     order, group = suffix_groups(data, starts, length)
-    later, shared = longest_previous(group, order)
-    hit = np.sort(order[later if keep == "first" else shared])
+    hit = np.sort(order[repeated(group, order, length, keep)])
     of = np.searchsorted(base, hit, "right") - 1
     out = []
     for k in np.unique(of):

@@ -85,3 +85,13 @@ def test_chains_and_repeats(spark):
     links = [(k, k + 1) for k in range(30)] + [(5, 4), (7, 7), (100, 101), (None, 3)]
     found = components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
     assert {(r["node"], r["label"]) for r in found} == {(k, 0) for k in range(31)} | {(100, 100), (101, 100)}
+
+
+def test_one_set_for_a_class_of_copies(spark):
+    """Copies of two linked texts meet once, not once for each pair of copies."""
+    words = [f"w{k}" for k in range(100)]
+    texts = [" ".join(words), " ".join([*words[:-1], "other"])]
+    copies = spark.createDataFrame([(k, texts[k % 2]) for k in range(200)], "doc_id bigint, text string")
+    marks = neardup.signatures(copies).select("mark")
+    assert neardup._sets(copies, "text", marks).count() == 2
+    assert {r["component_id"] for r in neardup.near_duplicates(copies).collect()} == {0}

@@ -66,10 +66,17 @@ def test_suffix_array_groups():
     order, group = suffix.suffix_groups(data, starts, 12)
     text = data.tobytes()
     assert [text[k : k + 12] for k in order] == sorted(text[k : k + 12] for k in starts)
-    later, shared = suffix.longest_previous(group, order)
     count = Counter(text[k : k + 12] for k in starts)
-    assert [count[text[k : k + 12]] > 1 for k in order] == shared.tolist()
-    assert [text.find(text[k : k + 12]) < k for k in order] == later.tolist()
+    assert [count[text[k : k + 12]] > 1 for k in order] == suffix.repeated(group, order, 12, "none").tolist()
+    assert [text.find(text[k : k + 12]) < k for k in order] == suffix.repeated(group, order, 12, "first").tolist()
+    lpf, before, after = suffix.longest_previous(group, order, 12)
+    for i, place in enumerate(order):
+        near = [j for j in range(len(order)) if group[j] == group[i] and order[j] < place]
+        assert before[i] == max((j for j in near if j < i), default=-1)
+        assert after[i] == min((j for j in near if j > i), default=-1)
+        # The longest earlier match by definition, as far as the depth reaches.
+        earlier = max((k for k in range(13) if text.find(text[place : place + k]) < place), default=0)
+        assert lpf[i] == (12 if earlier == 12 else 0)
 
 
 def test_sliding_min():
