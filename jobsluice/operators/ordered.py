@@ -96,25 +96,46 @@ def streak_cut(listing: DataFrame, n: int, variant: str = "a", groups: Sequence[
     counts every row. Groups without such a streak have no row.
     """
     groups = list(groups)
-    if variant == "a":
-        counted = (
-            listing.groupBy(*groups, "url")
-            .agg(
-                F.min("ord").alias("_first"),
-                F.min_by("page_no", "ord").alias("page_no"),
-                F.min_by("known", "ord").alias("known"),
-            )
-            .withColumnRenamed("_first", "ord")
-            .filter("page_no > 1")
-            .select(*groups, "ord", "known")
-        )
-    else:
-        counted = listing.select(*groups, "ord", "known")
-    counted = materialize(counted, "streak")
+    counted = materialize(streak_rows(listing, variant, groups), "streak")
     scan = running_count(counted, ~F.col("known"), groups)
     return scan.filter(F.col("rn") - F.col("last_mark") >= n).groupBy(*groups).agg(F.min("ord").alias("cut"))
 
 
+def streak_rows(listing: DataFrame, variant: str, groups: Sequence[str] = GROUP) -> DataFrame:
+    """The rows of a listing that count for a streak: group columns, ``ord`` and ``known``."""
+    groups = list(groups)
+    if variant != "a":
+        return listing.select(*groups, "ord", "known")
+    return (
+        listing.groupBy(*groups, "url")
+        .agg(
+            F.min("ord").alias("_first"),
+            F.min_by("page_no", "ord").alias("page_no"),
+            F.min_by("known", "ord").alias("known"),
+        )
+        .withColumnRenamed("_first", "ord")
+        .filter("page_no > 1")
+        .select(*groups, "ord", "known")
+    )
+
+
+def streak_on(counted: DataFrame, state: DataFrame, n: int, groups: Sequence[str] = GROUP) -> DataFrame:
+    """Listings that go on: ``cut`` (NULL for none) and the ``streak`` at their end, per group.
+
+    ``counted`` is a stored table of ``streak_rows``; ``state`` has the ``streak`` that each group had before.
+    The known rows before the first unknown one lengthen that streak.
+    """
+    groups = list(groups)
+    carried = state.select(*groups, F.col("streak").alias("_carried"))
+    scan = running_count(counted, ~F.col("known"), groups).join(carried, groups, "left")
+    before = F.when(F.col("last_mark") == 0, F.coalesce("_carried", F.lit(0))).otherwise(0)
+    scan = scan.withColumn("_streak", F.col("rn") - F.col("last_mark") + before)
+    return scan.groupBy(*groups).agg(
+        F.min(F.when(F.col("_streak") >= n, F.col("ord"))).alias("cut"),
+        F.max_by("_streak", "ord").cast("bigint").alias("streak"),
+    )
+
+
 def apply_cut(listing: DataFrame, cut: DataFrame, groups: Sequence[str] = GROUP) -> DataFrame:
     """Keep the rows up to and including the cut of their group."""
     kept = listing.join(cut, list(groups), "left")

@@ -127,10 +127,35 @@ def stream_first_seen(spark, sf):
     rows = _rows(spark, sf).select("part", F.col("url").alias("key"))
 
     def run(stream, base):
-        J.first_seen_stream(stream, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+        J.run_available(stream, J.first_seen(f"{base}/out"), f"{base}/checkpoint")
 
     base = _feed_parts(rows, "first-seen", run)
-    return spark.read.schema("key string").parquet(f"{base}/out")
+    return spark.read.schema("key string").parquet(f"{base}/out/keys/batch=*")
+
+
+@query(
+    "stream_first_seen_window",
+    f"""
+    WITH {_ROWS_SQL},
+    d AS (SELECT part, url AS key, max(day) AS day FROM e JOIN b USING (part)
+          WHERE date_diff('day', day, as_of) <= 6 GROUP BY ALL),
+    o1 AS (SELECT key, day FROM d WHERE part = 1),
+    o2 AS (SELECT key, day FROM d WHERE part = 2 AND key NOT IN (
+             SELECT key FROM o1, b WHERE b.part = 2 AND date_diff('day', day, as_of) <= 6)),
+    o3 AS (SELECT key, day FROM d WHERE part = 3 AND key NOT IN (
+             SELECT key FROM (SELECT * FROM o1 UNION ALL SELECT * FROM o2), b
+             WHERE b.part = 3 AND date_diff('day', day, as_of) <= 6))
+    SELECT key, day FROM o1 UNION ALL SELECT key, day FROM o2 UNION ALL SELECT key, day FROM o3
+    """,
+)
+def stream_first_seen_window(spark, sf):
+    rows = _rows(spark, sf).select("part", F.col("url").alias("key"), F.col("posting_date").cast("date").alias("day"))
+
+    def run(stream, base):
+        J.run_available(stream, J.first_seen(f"{base}/out", keep_days=6), f"{base}/checkpoint")
+
+    base = _feed_parts(rows, "first-seen-window", run)
+    return spark.read.schema("key string, day date").parquet(f"{base}/out/keys/batch=*")
 
 
 @query(
@@ -155,20 +180,18 @@ def stream_late_drop(spark, sf):
     f"""
     WITH {_ROWS_SQL},
     k AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND ts < TIMESTAMP '2024-01-03'),
-    scan AS (SELECT *, row_number() OVER (PARTITION BY source, part ORDER BY pos) AS rn,
+    scan AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY pos) AS rn,
                     user_id IN (SELECT user_id FROM k) AS known FROM e),
     streaks AS (SELECT *, rn - coalesce(max(CASE WHEN NOT known THEN rn END)
-                                        OVER (PARTITION BY source, part ORDER BY pos), 0) AS streak FROM scan),
-    cut AS (SELECT source, part, min(pos) AS cut_pos FROM streaks WHERE streak >= 8 GROUP BY ALL)
-    SELECT pos AS event_id, e.source FROM e LEFT JOIN cut USING (source, part) WHERE cut_pos IS NULL OR pos <= cut_pos
+                                        OVER (PARTITION BY source ORDER BY pos), 0) AS streak FROM scan),
+    cut AS (SELECT source, min(pos) AS cut_pos FROM streaks WHERE streak >= 8 GROUP BY ALL)
+    SELECT pos AS event_id, e.source FROM e LEFT JOIN cut USING (source) WHERE cut_pos IS NULL OR pos <= cut_pos
     """,
 )
 def stream_streak(spark, sf):
-    ts = F.col("ts")
-    part = F.when(ts < F.lit(PARTS[0]).cast("timestamp_ntz"), 1).when(ts < F.lit(PARTS[1]).cast("timestamp_ntz"), 2)
-    rows = listing(spark, sf).select(
-        part.otherwise(3).alias("part"), "source", "run_id", "event_id", "page_no", "url", "ord"
-    )
+    # Every listing lands in three pieces, one after the other.
+    part = F.least(F.floor(F.col("event_id") / 60), F.lit(2)).cast("int") + 1
+    rows = listing(spark, sf).select(part.alias("part"), "source", "run_id", "event_id", "page_no", "url", "ord")
     known = known_set(spark, sf)
 
     def run(stream, base):

@@ -10,8 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobsluice.schema import CSV_LAYOUTS
+from jobsluice.session import materialize
 
-RUNS_SCHEMA = "source string, run_id string, version int, last_run_at string, params map<string,string>"
+RUNS_SCHEMA = (
+    "source string, run_id string, version int, last_run_at string, params map<string,string>,"
+    " buckets map<string, struct<versions: array<int>, digest: string>>"
+)
+#: Hash buckets of a table of a store, and parts of a bucket of the seen state before it is written anew.
+BUCKETS = 16
+COMPACT_AFTER = 8
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -71,15 +78,23 @@ def read_table(spark: SparkSession, path: str, schema: str | T.StructType) -> Da
 
 
 class SnapshotStore:
-    """Versioned job table and seen state of one source.
+    """Versioned job table and seen state of one source, in hash buckets of the key.
 
-    A run reads version n and writes version n + 1, then adds its row to
-    ``runs``. A run that failed before that row left no trace and can be repeated;
-    a run that is already listed is not written again.
+    A run reads version n and writes what version n + 1 changes: job buckets whose rows differ are written anew, keys
+    that are new to the seen state are added as one more part of their bucket. The row of the run in ``runs`` lists
+    which folders make up each bucket; it is written last, so a run that failed before it left no trace and can be
+    repeated, and a run that is already listed is not written again. A bucket of the seen state is written anew if it
+    loses keys or has ``COMPACT_AFTER`` parts; ``vacuum`` deletes folders that no recent version reads.
+
+    The digest of a bucket is its number of rows and the sum of their hashes; it needs one pass over the table and
+    moves no payload. ``buckets`` is fixed when a store is created, so that a bucket fits a few tasks.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str | T.StructType, source: str):
+    def __init__(
+        self, spark: SparkSession, path: str, schema: str | T.StructType, source: str, key: str = "url", buckets: int = BUCKETS
+    ):
         self.spark, self.path, self.schema, self.source = spark, path.rstrip("/"), schema, source
+        self.key, self.buckets = key, buckets
 
     def runs(self) -> DataFrame:
         return read_table(self.spark, f"{self.path}/runs", RUNS_SCHEMA)
@@ -90,26 +105,99 @@ class SnapshotStore:
         row = self.runs().agg(F.coalesce(F.max("version"), F.lit(0)).alias("v"), done.alias("done")).first()
         return row["v"], row["done"]
 
+    def parts(self, version: int) -> dict[str, tuple[list[int], str]]:
+        """For every bucket, as ``table/number``, the versions whose folders hold it, and its digest."""
+        row = self.runs().where(F.col("version") == version).select("buckets").first()
+        return {name: (part["versions"], part["digest"]) for name, part in ((row and row["buckets"]) or {}).items()}
+
+    def _read(self, table: str, schema: str | T.StructType, parts: Mapping[str, tuple[list[int], str]]) -> DataFrame:
+        names = [(name.partition("/"), versions) for name, (versions, _) in parts.items()]
+        paths = [f"{self.path}/{table}/v={v}/bucket={n}" for (of, _, n), versions in names if of == table for v in versions]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*sorted(paths))
+
     def jobs(self, version: int | None = None) -> DataFrame:
-        version = self.state()[0] if version is None else version
-        return read_table(self.spark, f"{self.path}/jobs/v={version}", self.schema)
+        return self._read("jobs", self.schema, self.parts(self.state()[0] if version is None else version))
 
     def seen(self, version: int | None = None) -> DataFrame:
-        version = self.state()[0] if version is None else version
-        return read_table(self.spark, f"{self.path}/seen/v={version}", "key string")
+        return self._read("seen", "key string", self.parts(self.state()[0] if version is None else version))
+
+    def _bucketed(self, rows: DataFrame, key: str) -> DataFrame:
+        return rows.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int"))
+
+    def _write(self, rows: DataFrame, table: str, version: int) -> None:
+        rows = rows.repartition("bucket")
+        rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{table}/v={version}")
 
     def commit(
         self, jobs: DataFrame, seen: DataFrame, run_id: str, last_run_at: str, params: Mapping[str, str] | None = None
     ) -> None:
-        """Write the next version of both tables and record the run."""
+        """Write what changes in the next version of both tables and record the run."""
         version, done = self.state(run_id)
         if done:
             return
-        version += 1
-        jobs.write.mode("overwrite").parquet(f"{self.path}/jobs/v={version}")
-        write_seen(seen, f"{self.path}/seen/v={version}")
-        row = [(self.source, run_id, version, last_run_at, dict(params or {}))]
-        self.spark.createDataFrame(row, RUNS_SCHEMA).write.mode("append").parquet(f"{self.path}/runs")
+        before = self.parts(version)
+        after = self._commit_jobs(jobs, before, version + 1) | self._commit_seen(seen, before, version + 1)
+        row = [(self.source, run_id, version + 1, last_run_at, dict(params or {}), after)]
+        self.spark.createDataFrame(row, RUNS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.path}/runs")
+
+    def _commit_jobs(self, jobs: DataFrame, before, version: int) -> dict[str, tuple[list[int], str]]:
+        rows = self._bucketed(jobs, self.key)
+        content = F.sum(F.xxhash64(*jobs.columns).cast("decimal(38,0)"))
+        found = rows.groupBy("bucket").agg(F.count("*").alias("n"), content.alias("content")).collect()
+        digests = {f"jobs/{r['bucket']}": f"{r['n']}:{r['content']}" for r in found}
+        changed = {name for name, digest in digests.items() if name not in before or before[name][1] != digest}
+        if changed:
+            touched = [int(name.partition("/")[2]) for name in changed]
+            self._write(rows.where(F.col("bucket").isin(touched)), "jobs", version)
+        return {name: ([version] if name in changed else before[name][0], digest) for name, digest in digests.items()}
+
+    def _commit_seen(self, seen: DataFrame, before, version: int) -> dict[str, tuple[list[int], str]]:
+        old = self._read("seen", "key string", before)
+        both = old.withColumn("side", F.lit(1)).unionByName(seen.select("key", F.lit(2).alias("side")))
+        moved = both.groupBy("key").agg(F.bit_or("side").alias("side")).where("side <> 3")
+        moved = materialize(self._bucketed(moved, "key"), "seen-changes")
+        counts = moved.groupBy("bucket").agg(F.count_if(F.col("side") == 2).alias("new"), F.count_if(F.col("side") == 1).alias("gone"))
+        after = {name: part for name, part in before.items() if name.startswith("seen/")}
+        anew, touched = [], []
+        for row in counts.collect():
+            name = f"seen/{row['bucket']}"
+            versions, n = after.pop(name, ([], "0"))
+            left = int(n) + row["new"] - row["gone"]
+            rewrite = row["gone"] > 0 or len(versions) >= COMPACT_AFTER
+            if left:
+                after[name] = ([version] if rewrite else [*versions, version], str(left))
+                touched.append(row["bucket"])
+                if rewrite:
+                    anew.append(row["bucket"])
+        if touched:
+            rows = moved.where((F.col("side") == 2) & F.col("bucket").isin(touched)).select("key", "bucket")
+            if anew:
+                stay = self._bucketed(old, "key").where(F.col("bucket").isin(anew))
+                rows = rows.unionByName(stay.join(moved.where("side = 1").select("key"), "key", "left_anti"))
+            self._write(rows, "seen", version)
+        return after
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Delete the folders that none of the last ``keep`` versions reads; returns how many there were."""
+        recent = self.runs().orderBy(F.desc("version")).limit(keep).select("version", "buckets").collect()
+        if not recent:
+            return 0
+        used = set()
+        for row in recent:
+            for name, part in row["buckets"].items():
+                table, _, bucket = name.partition("/")
+                used |= {f"{table}/v={v}/bucket={bucket}" for v in part["versions"]}
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        files = hadoop.Path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = files.globStatus(hadoop.Path(f"{self.path}/*/v=*/bucket=*")) or []
+        names = [(str(f.getPath()), "/".join(str(f.getPath()).split("/")[-3:])) for f in found]
+        latest = max(row["version"] for row in recent)
+        old = [path for path, name in names if name not in used and int(name.split("/")[1][2:]) <= latest]
+        for path in old:
+            files.delete(hadoop.Path(path), True)
+        return len(old)
 
 
 def write_seen(seen: DataFrame, path: str) -> None:

@@ -67,3 +67,51 @@ def test_store(spark, tmp_path):
     assert store.state("r2") == (2, True) and store.jobs().count() == 2
     assert [r.params["days"] for r in store.runs().filter("run_id = 'r1'").collect()] == ["30"]
     assert {r.source for r in store.runs().collect()} == {"ge"}
+
+
+def test_store_writes_what_changes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "COMPACT_AFTER", 3)
+    path = tmp_path / "s"
+    store = S.SnapshotStore(spark, str(path), "id bigint, url string", "ge", buckets=8)
+
+    def folders(table, version):
+        return len(list(path.glob(f"{table}/v={version}/bucket=*")))
+
+    def frame(rows):
+        return spark.createDataFrame(sorted(rows.items()), "url string, id bigint").select("id", "url")
+
+    def key_frame(keys):
+        return spark.createDataFrame([(k,) for k in sorted(keys)], "key string")
+
+    jobs, keys = {f"u{k}": k for k in range(200)}, {f"k{k}" for k in range(200)}
+    steps = [
+        lambda: None,
+        lambda: (jobs.update(u5=500), keys.add("new")),
+        lambda: keys.add("another"),
+        lambda: (jobs.pop("u9"), keys.discard("k7")),
+        lambda: (jobs.clear(), keys.clear()),
+        lambda: (jobs.update(z=1), keys.add("k7")),
+    ]
+    written = []
+    for n, step in enumerate(steps, 1):
+        step()
+        store.commit(frame(jobs) if jobs else store.jobs().limit(0), key_frame(keys) if keys else store.seen().limit(0), f"r{n}", "2026-01-01T00:00:00")
+        assert {r.url: r.id for r in store.jobs().collect()} == jobs
+        got = [r.key for r in store.seen().collect()]
+        assert sorted(got) == sorted(keys)
+        written.append((folders("jobs", n), folders("seen", n)))
+    assert written == [(8, 8), (1, 1), (0, 1), (1, 1), (0, 0), (1, 1)]
+    # Older versions stay readable until they are cleared away.
+    assert {r.id for r in store.jobs(2).where("url = 'u5'").collect()} == {500} and store.jobs(3).count() == 200
+    assert store.vacuum(keep=1) > 0 and store.jobs().count() == 1 and folders("jobs", 1) == 0
+    assert store.vacuum(keep=1) == 0
+
+
+def test_parts_of_a_bucket_are_merged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "COMPACT_AFTER", 2)
+    store = S.SnapshotStore(spark, str(tmp_path), "id bigint, url string", "ge", buckets=1)
+    none = spark.createDataFrame([], "id bigint, url string")
+    for n in range(4):
+        store.commit(none, spark.createDataFrame([(f"k{k}",) for k in range(n + 1)], "key string"), f"r{n}", "d")
+    assert [store.parts(v)["seen/0"][0] for v in (1, 2, 3, 4)] == [[1], [1, 2], [3], [3, 4]]
+    assert sorted(r.key for r in store.seen().collect()) == ["k0", "k1", "k2", "k3"]

@@ -128,3 +128,67 @@ def test_first_seen_forgets(spark, tmp_path):
 
     assert keys("ever") == ["a", "b", "c", "d"]
     assert keys("month") == ["a", "b", "b", "c", "d"]
+
+
+def _streak(rows, known, n, variant):
+    """A listing up to its streak, row by row: the kept positions."""
+    kept, run, seen = [], 0, set()
+    for page, ord_, url in rows:
+        kept.append(ord_)
+        if variant == "a":
+            if url in seen:
+                continue
+            seen.add(url)
+            if page == 1:
+                continue
+        run = run + 1 if url in known else 0
+        if run >= n:
+            break
+    return kept
+
+
+def test_streak_over_pieces(spark, tmp_path):
+    """A listing that lands in pieces is cut where the whole one is; a replayed piece changes nothing."""
+    schema = "source string, run_id string, page_no bigint, ord bigint, url string"
+    known = {f"u{k}" for k in range(0, 30, 2)} | {f"u{k}" for k in range(12, 20)}
+    keys = spark.createDataFrame([(k,) for k in sorted(known)], "key string")
+    for seed, variant, n in ((1, "a", 3), (2, "b", 4), (3, "a", 5), (4, "b", 0)):
+        rnd, path = random.Random(seed), str(tmp_path / str(seed))
+        lists = {s: [(1 + k // 4, k, f"u{rnd.randrange(30)}") for k in range(40)] for s in ("p", "q", "r")}
+        # A streak that starts in one piece and ends in the next.
+        lists["r"] = [(2 + k // 4, k, f"u{k + 2}" if k < 8 else f"u{k % 8 + 12}" if k < 16 else "u1") for k in range(40)]
+        on_batch = J.cut_streaks(path, keys, n, variant)
+        for piece, (a, b) in enumerate(((0, 10), (10, 13), (13, 40))):
+            rows = [(s, "r1", *row) for s, listing in lists.items() for row in listing[a:b]]
+            for _ in range(2 if piece == 1 else 1):
+                on_batch(spark.createDataFrame(rows, schema), piece)
+        got = spark.read.schema("source string, ord bigint").parquet(f"{path}/batch=*").collect()
+        for source, listing in lists.items():
+            want = _streak(listing, known, n, variant) if n else [k for _, k, _ in listing]
+            assert sorted(r.ord for r in got if r.source == source) == want, (seed, source)
+
+
+def test_first_seen_without_stream_state(spark, tmp_path):
+    path = str(tmp_path / "keys")
+    on_batch = J.first_seen(path, keep_days=10)
+    batches = [
+        [("a", "2026-01-01"), ("a", "2026-01-02"), ("b", "2026-01-03"), (None, "2026-01-03")],
+        [("a", "2026-01-04"), ("c", "2026-01-05"), ("old", "2025-12-01")],
+        [("d", "2026-02-01"), ("a", "2026-02-02"), ("c", "2026-01-20")],
+        [("a", "2026-02-03"), ("e", None)],
+    ]
+    for n, rows in enumerate(batches):
+        frame = spark.createDataFrame(rows, "key string, day string")
+        for _ in range(2 if n == 1 else 1):
+            on_batch(frame, n)
+    got = spark.read.schema("key string, batch int").parquet(f"{path}/keys")
+    assert sorted(map(tuple, got.collect())) == [("a", 0), ("a", 2), ("b", 0), ("c", 1), ("d", 2)]
+    runs = J.read_table(spark, f"{path}/runs", J.FIRST_SEEN_RUNS).orderBy("batch")
+    assert [(r.n_rows, r.n_late, r.n_new) for r in runs.collect()] == [(4, 0, 2), (3, 1, 1), (3, 1, 2), (2, 1, 0)]
+    # What a batch looks at is the window, not all that was ever written.
+    assert J.live_batches(spark, path, 3, None) == [0, 1, 2] and J.live_batches(spark, path, 3, date(2026, 1, 23)) == [2]
+    plain = J.first_seen(str(tmp_path / "ever"))
+    for n, rows in enumerate(batches):
+        plain(spark.createDataFrame(rows, "key string, day string"), n)
+    ever = spark.read.schema("key string").parquet(str(tmp_path / "ever" / "keys"))
+    assert sorted(r.key for r in ever.collect()) == ["a", "b", "c", "d", "e", "old"]
