@@ -17,7 +17,7 @@ RUNS_SCHEMA = (
     " buckets map<string, struct<versions: array<int>, digest: string>>"
 )
 #: Hash buckets of a table of a store, and parts of a bucket of the seen state before it is written anew.
-BUCKETS = 16
+BUCKETS = 8
 COMPACT_AFTER = 8
 
 
@@ -95,6 +95,7 @@ class SnapshotStore:
     ):
         self.spark, self.path, self.schema, self.source = spark, path.rstrip("/"), schema, source
         self.key, self.buckets = key, buckets
+        self._parts: dict[int, dict[str, tuple[list[int], str]]] = {0: {}}
 
     def runs(self) -> DataFrame:
         return read_table(self.spark, f"{self.path}/runs", RUNS_SCHEMA)
@@ -107,8 +108,13 @@ class SnapshotStore:
 
     def parts(self, version: int) -> dict[str, tuple[list[int], str]]:
         """For every bucket, as ``table/number``, the versions whose folders hold it, and its digest."""
-        row = self.runs().where(F.col("version") == version).select("buckets").first()
-        return {name: (part["versions"], part["digest"]) for name, part in ((row and row["buckets"]) or {}).items()}
+        if version not in self._parts:  # what a version consists of never changes
+            row = self.runs().where(F.col("version") == version).select("buckets").first()
+            found = {name: (part["versions"], part["digest"]) for name, part in ((row and row["buckets"]) or {}).items()}
+            if row is None:
+                return found
+            self._parts[version] = found
+        return self._parts[version]
 
     def _read(self, table: str, schema: str | T.StructType, parts: Mapping[str, tuple[list[int], str]]) -> DataFrame:
         names = [(name.partition("/"), versions) for name, (versions, _) in parts.items()]
@@ -141,6 +147,7 @@ class SnapshotStore:
         after = self._commit_jobs(jobs, before, version + 1) | self._commit_seen(seen, before, version + 1)
         row = [(self.source, run_id, version + 1, last_run_at, dict(params or {}), after)]
         self.spark.createDataFrame(row, RUNS_SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.path}/runs")
+        self._parts[version + 1] = after
 
     def _commit_jobs(self, jobs: DataFrame, before, version: int) -> dict[str, tuple[list[int], str]]:
         rows = self._bucketed(jobs, self.key)
