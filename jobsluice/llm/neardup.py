@@ -50,7 +50,7 @@ SKETCH_BITS = 512
 SKETCH_LEAST = 0.45
 #: Classes of a bucket compared at once in one task.
 BLOCK = 500
-#: A list of 64-bit ids up to this long (32 MB) is broadcast; a longer one is joined by shuffle.
+#: A list of ids and hashes up to this long (64 MB) is broadcast; a longer one is joined by shuffle.
 BROADCAST_IDS = 4_000_000
 
 _SEEDS = mix64(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
@@ -149,8 +149,11 @@ def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> D
     )
 
 
-def _sets(docs: DataFrame, text: str, marks: DataFrame) -> DataFrame:
-    """``cid``, ``items`` of the texts with the given marks, one row a class however many copies it has."""
+def _sets(docs: DataFrame, text: str, doc_id: str, wanted: DataFrame) -> DataFrame:
+    """``cid``, ``items`` of the classes ``wanted`` (``cid``, ``first_id``, ``mark``), one row a class however many copies it has.
+
+    A class is read from one row of it, known by id and text; only rows that repeat both have to be thinned out.
+    """
 
     def build(batches):
         for _, texts in slices(batches):
@@ -160,11 +163,12 @@ def _sets(docs: DataFrame, text: str, marks: DataFrame) -> DataFrame:
                 [pa.array(_class_ids(values, first).view(np.int64)), _lists(values, np.diff(first))], ["cid", "items"]
             )
 
-    rows = docs.select(F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
-    marks = stored(marks.distinct(), "marks")
-    marks = F.broadcast(marks) if fits(marks, BROADCAST_IDS) else marks
-    rows = rows.join(marks, "mark", "left_semi").select("text")
-    return rows.mapInArrow(build, "cid bigint, items array<bigint>").dropDuplicates(["cid"])
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+    wanted = stored(wanted.select("first_id", F.col("mark").alias("_mark")), "wanted")
+    some = F.broadcast(wanted) if fits(wanted, BROADCAST_IDS) else wanted
+    same = (F.col("mark") == F.col("_mark")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    sets = stored(rows.join(some, same, "left_semi").select("text").mapInArrow(build, "cid bigint, items array<bigint>"), "sets")
+    return sets if sets.count() <= wanted.count() else stored(sets.dropDuplicates(["cid"]), "sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -245,7 +249,7 @@ def near_duplicates(
         .groupBy("cid")
         .agg(
             F.min("doc_id").alias("first_id"),
-            F.min("mark").alias("mark"),
+            F.coalesce(F.min_by("mark", "doc_id"), F.min("mark")).alias("mark"),
             F.first("n").alias("n"),
             F.first("sketch").alias("sketch"),
             F.first("bands").alias("bands"),
@@ -264,7 +268,7 @@ def near_duplicates(
     pairs = stored(pairs.where(F.col("apart") <= sketch_limit()), "pairs")
 
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    sets = stored(_sets(docs, text, classes.join(nodes, "cid", "left_semi").select("mark")), "sets")
+    sets = _sets(docs, text, doc_id, classes.join(nodes, "cid", "left_semi"))
     nearest = pairs.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("p")).select("a", "p.b")
     links = stored(_confirmed(nearest, sets, percent), "near-links")
     labels = stored(components(links), "labels")
@@ -280,8 +284,8 @@ def near_duplicates(
     undecided = stored(undecided.where("low <> high").select("band"), "undecided")
     if not undecided.isEmpty():
         crowded = stored(crowded.join(undecided, "band", "left_semi").select("band", "cid", "label", "size"), "crowded")
-        marks = classes.join(crowded.select("cid").distinct(), "cid", "left_semi").select("mark")
-        rows = crowded.join(info, "cid").join(_sets(docs, text, marks), "cid")
+        wanted = classes.join(crowded.select("cid").distinct(), "cid", "left_semi")
+        rows = crowded.join(info, "cid").join(_sets(docs, text, doc_id, wanted), "cid")
         blocks = F.ceil(F.col("size") / BLOCK)
         rows = rows.withColumn("block", F.pmod(F.xxhash64("cid"), blocks))
         rows = rows.withColumn("partner", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))

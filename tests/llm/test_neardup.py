@@ -2,6 +2,7 @@
 
 import numpy as np
 from conftest_llm import lower, words_of
+from pyspark.sql import functions as F
 
 from jobsluice.llm import neardup
 from jobsluice.llm.graph import components
@@ -91,7 +92,9 @@ def test_one_set_for_a_class_of_copies(spark):
     """Copies of two linked texts meet once, not once for each pair of copies."""
     words = [f"w{k}" for k in range(100)]
     texts = [" ".join(words), " ".join([*words[:-1], "other"])]
-    copies = spark.createDataFrame([(k, texts[k % 2]) for k in range(200)], "doc_id bigint, text string")
-    marks = neardup.signatures(copies).select("mark")
-    assert neardup._sets(copies, "text", marks).count() == 2
-    assert {r["component_id"] for r in neardup.near_duplicates(copies).collect()} == {0}
+    for ids in (lambda k: k, lambda k: k % 2, lambda k: None):
+        copies = spark.createDataFrame([(ids(k), texts[k % 2]) for k in range(200)], "doc_id bigint, text string")
+        signed = neardup.signatures(copies)
+        classes = signed.groupBy("cid").agg(F.min("doc_id").alias("first_id"), F.min("mark").alias("mark"))
+        assert neardup._sets(copies, "text", "doc_id", classes).count() == 2
+        assert {r["component_id"] for r in neardup.near_duplicates(copies).collect()} == {ids(0)}
