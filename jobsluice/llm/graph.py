@@ -18,17 +18,19 @@ def components(links: DataFrame) -> DataFrame:
     """
     links = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     links = stored(links, "links")
-    before = None
-    while True:
-        state = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if state == before or not state["n"]:
-            break
-        before = state
+    while not _is_contracted(links):
         links = stored(_small_star(_large_star(links)), "links")
     stars = links.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return stars.unionByName(stars.select(F.col("label").alias("node"), "label").distinct())
 
 
+def _is_contracted(links: DataFrame) -> bool:
+    """Whether every node has one link at most to a smaller one, which has none itself."""
+    linked = links.groupBy("u").agg(F.count("*").alias("n"))
+    inner = links.select(F.col("v").alias("u")).join(linked, "u", "left_semi")
+    return linked.where("n > 1").select("u").unionByName(inner).isEmpty()
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

@@ -198,6 +198,11 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataF
     return rows.join(labels, node, "left").withColumn(name, F.coalesce("_label", node)).drop("_label")
 
 
+def _stars(labels: DataFrame) -> DataFrame:
+    """The components so far as links ``a``, ``b``."""
+    return labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+
+
 def _block_links(percent: int):
     """Links between the classes of one pair of blocks that lie in different components."""
 
@@ -276,8 +281,8 @@ def near_duplicates(
     rest = _labelled(_labelled(pairs.select("a", "b"), labels, "a", "x"), labels, "b", "y").where("x <> y")
     more = stored(_confirmed(rest.join(nearest, ["a", "b"], "left_anti"), sets, percent), "near-links")
     if not more.isEmpty():
-        links = links.unionByName(more)
-        labels = stored(components(links), "labels")
+        # What is contracted already stays so: each class is linked to the smallest one of its component.
+        labels = stored(components(_stars(labels).unionByName(more)), "labels")
 
     crowded = _labelled(members.where("size > 2"), labels, "cid", "label")
     undecided = crowded.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
@@ -294,7 +299,7 @@ def near_duplicates(
         more = rows.groupBy("band", "i", "j").applyInPandas(_block_links(percent), "a bigint, b bigint")
         more = stored(more.distinct(), "near-links")
         if not more.isEmpty():
-            labels = stored(components(links.unionByName(more)), "labels")
+            labels = stored(components(_stars(labels).unionByName(more)), "labels")
 
     # Back to documents: classes of one row that have no link are their own component.
     owners = _labelled(classes.select("cid", "first_id"), labels, "cid", "label")
