@@ -1,16 +1,21 @@
 """Licence notices in texts: a paragraph classifier confirmed by templates.
 
 A paragraph is a line with a word. Its features are the word 1-, 2- and 3-grams that it holds, of
-words in lower case without punctuation. A softmax regression with an L1 penalty tells the licence
-families and a class of everything else apart. It learns from variants of the notices below, from
-sentences that only mention licences, and, for the class of everything else, from the paragraphs of
-at most ``OTHER_TEXTS`` texts. A temperature fitted on variants that were left out calibrates the
-probabilities; a paragraph whose best family stays below ``LEAST`` is of unknown licence or none.
+words in lower case without punctuation. A softmax regression with an L1 penalty tells apart the
+licence families, notices of any other licence (``unknown``), and everything else. It learns from
+variants of the notices below, for ``unknown`` from the same notices under made-up names, for
+everything else from sentences that only mention licences and from at most ``OTHER_LINES``
+paragraphs, spread over the text, of each of ``OTHER_TEXTS`` texts. These are read whole; what
+leaves the executors is which features they hold. A temperature fitted on variants that were left
+out calibrates the probabilities of all classes; a paragraph whose best class stays below ``LEAST``
+is not reported.
 
 A prediction counts as confirmed if the paragraph holds at least ``CONFIRM`` of the word pairs of a
-notice of that family. Features without weight do not matter, so that a notice is also found in a
-long paragraph. The name of a licence alone, as in a heading, counts only if the paragraph holds at
-most ``AROUND`` words besides it, since prose names licences too.
+notice of that family and, where the notice names the family, one of the family's names: what
+licences have in common confirms none of them. ``unknown`` is never confirmed, and reported only
+where the paragraph holds one of the words ``SPOKEN``. Features without weight do not matter, so that a notice is also found in a long paragraph. The name of a licence
+alone, as in a heading, counts only if the paragraph holds at most ``AROUND`` words besides it,
+since prose names licences too.
 
 A notice that is wrapped over lines is one paragraph too: within a block of lines that each hold a
 word, templates are also compared over stretches of at most ``SPREAD`` times their length that run
@@ -18,8 +23,9 @@ across line ends. The lines of such a stretch are classified as one and replace
 predictions of its single lines; ``line`` is the first of them. Marks of comments are no words.
 
 Defined results: NULL and empty texts have no paragraphs; repeated rows give repeated results; an
-empty table gives no rows, and the classifier then learns from the notices alone. Extra columns are
-not read.
+empty table gives no rows, and the classifier then learns from the notices alone. Very long texts
+are read whole, one at a time; of two classes that are equally likely the first in the order of
+``NOTICES`` counts. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -31,11 +37,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobsluice.llm.words import Texts, sequence_hashes, slices, texts_of, windows_within, word_hashes, words_of
+from jobsluice.llm.words import (
+    Texts,
+    sequence_hashes,
+    slices,
+    texts_of,
+    unique_per_doc,
+    windows_within,
+    word_hashes,
+    words_of,
+)
 
-#: Texts whose paragraphs stand for everything that is no licence.
+#: Texts whose paragraphs stand for everything that is no licence, and paragraphs of each.
 OTHER_TEXTS = 200
-OTHER_PARAGRAPHS = 1_500
+OTHER_LINES = 8
 VARIANTS = 40
 LEAST = 0.5
 CONFIRM = 0.6
@@ -44,6 +59,7 @@ AROUND = 4
 PENALTY = 0.0005
 SEED = 20_261
 OTHER = "none"
+UNKNOWN = "unknown"
 
 #: Words over which a wrapped notice may be spread, as a multiple of those of its template.
 SPREAD = 2
@@ -145,6 +161,28 @@ NAMES = {
     "cc-by-nc": ("CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International"),
     "proprietary": ("Proprietary and confidential",),
 }
+# The names of the families as plain words, digits as 0. Texts of notices that hold none need none.
+CALLED = {
+    "apache": ("apache license", "identifier apache"),
+    "mit": ("mit license", "identifier mit"),
+    "gpl": ("gnu general", "gpl"),
+    "lgpl": ("gnu lesser", "lgpl"),
+    "agpl": ("gnu affero", "agpl"),
+    "bsd": ("bsd",),
+    "mpl": ("mozilla public", "mpl"),
+    "epl": ("eclipse public", "epl"),
+    "isc": ("isc license", "identifier isc"),
+    "cc0": ("cc0",),
+    "unlicense": ("unlicense",),
+    "cc-by": ("cc by", "creative commons attribution"),
+    "cc-by-sa": ("cc by sa", "creative commons attribution sharealike"),
+    "cc-by-nc": ("cc by nc", "creative commons attribution noncommercial"),
+    "proprietary": (),
+}
+# Words after a name that make it the name of another licence.
+CONTINUED = ("nc", "nd", "sa", "noncommercial", "noderivatives", "sharealike")
+# Words of which a notice of an unknown licence holds one.
+SPOKEN = ("license", "licence", "licensed", "licenced", "licenses", "licences", "copyright", "copyrighted", "copyleft")
 # Sentences that speak of licences and grant none.
 MENTIONS = (
     "The driver renewed a licence last year.",
@@ -162,6 +200,7 @@ MENTIONS = (
     "Creative people work in common spaces.",
 )
 
+_SPOKEN = {w.encode() for w in SPOKEN}
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[65:91] += 32
 _PLAIN[48:58] = 48
@@ -199,21 +238,57 @@ def _pairs(words: list[bytes]) -> set[tuple]:
     return set(zip(words, words[1:], strict=False)) or {tuple(words)}
 
 
-def _holds(words: list[bytes], template: tuple[set, int | None]) -> bool:
-    """Whether a paragraph holds enough of a template: its pairs, and the most words a paragraph may have."""
-    pairs, most = template
-    return (most is None or len(words) <= most) and len(pairs & _pairs(words)) >= CONFIRM * len(pairs)
+def _names_at(words: list[bytes], family: str) -> list[tuple[int, int]]:
+    """Where the names of a family stand, as first and last place; not as part of another licence's name."""
+    out = []
+    for called in CALLED[family]:
+        name = called.encode().split()
+        for i in range(len(words) - len(name) + 1):
+            after = words[i + len(name) : i + len(name) + 1]
+            if words[i : i + len(name)] == name and not (after and after[0].decode("latin-1") in CONTINUED):
+                out.append((i, i + len(name) - 1))
+    return out
+
 
+@dataclass
+class Template:
+    """Pairs of words, whether the family has to be named, and the most words that a paragraph may have."""
+
+    family: str
+    pairs: set
+    named: bool
+    most: int | None
 
-def _templates() -> dict[str, list[tuple[set, int | None]]]:
-    out = {}
-    for family, notices in NOTICES.items():
-        names = [_plain_words(n) for n in NAMES[family]]
-        out[family] = [(_pairs(_plain_words(n)), None) for n in notices]
-        out[family] += [(_pairs(words), len(words) + AROUND) for words in names]
+    def holds(self, words: list[bytes]) -> bool:
+        if self.most is not None and len(words) > self.most:
+            return False
+        if len(self.pairs & _pairs(words)) < CONFIRM * len(self.pairs):
+            return False
+        return not self.named or bool(_names_at(words, self.family))
+
+
+def _templates(families: list[str]) -> dict[str, list[Template]]:
+    out: dict[str, list[Template]] = {}
+    for family in families:
+        for text in NOTICES[family] + NAMES[family]:
+            words = _plain_words(text)
+            most = len(words) + AROUND if text in NAMES[family] else None
+            out.setdefault(family, []).append(Template(family, _pairs(words), bool(_names_at(words, family)), most))
     return out
 
 
+def _renamed(rng: np.random.Generator, family: str, notice: str) -> str | None:
+    """The notice as plain words with a made-up name instead of the family's; None if it names no family."""
+    words = _plain_words(notice)
+    places = {i for first, last in _names_at(words, family) for i in range(first, last + 1)}
+    own = [w for i, w in enumerate(words) if i in places and w not in (b"license", b"public", b"general", b"identifier")]
+    if not own:
+        return None
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    new = {w: "".join(rng.choice(letters, rng.integers(4, 11))) for w in own}
+    return " ".join(new[w] if i in places and w in new else w.decode() for i, w in enumerate(words))
+
+
 def _variants(rng: np.random.Generator, notice: str, count: int) -> list[str]:
     """The notice with words left out, before, after or between other words."""
     words, out = notice.split(), [notice]
@@ -239,19 +314,20 @@ class Wording:
     pairs: np.ndarray
     need: int
     span: int
+    named: bool
     most: int | None
 
 
-def _wordings() -> list[Wording]:
+def _wordings(families: list[str]) -> list[Wording]:
     out = []
-    for family in NOTICES:
+    for family in families:
         for text in NOTICES[family] + NAMES[family]:
             words = _plain_words(text)
             pairs = _pair_hashes(words)
             if len(pairs):
                 need = int(np.ceil(CONFIRM * len(pairs)))
                 most = len(words) + AROUND if text in NAMES[family] else None
-                out.append(Wording(family, pairs, need, SPREAD * len(words), most))
+                out.append(Wording(family, pairs, need, SPREAD * len(words), bool(_names_at(words, family)), most))
     return out
 
 
@@ -286,7 +362,7 @@ class Classifier:
     bias: np.ndarray
     temperature: float
     present: np.ndarray
-    templates: dict[str, list[tuple[set, int | None]]]
+    templates: dict[str, list[Template]]
     wordings: list[Wording]
 
     def probabilities(self, lines: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -307,7 +383,7 @@ class Classifier:
 
     def confirmed(self, family: str, paragraph: bytes) -> bool:
         words = paragraph.split()
-        return any(_holds(words, t) for t in self.templates[family])
+        return any(t.holds(words) for t in self.templates.get(family, ()))
 
     def wrapped(self, lines: Texts, owner: np.ndarray) -> list[tuple[int, int, str, float]]:
         """Notices that run across line ends: first and last line, family, probability."""
@@ -328,7 +404,10 @@ class Classifier:
             for a, b in _windows(places, where[own], block[places], w.need, w.span):
                 first, last = int(line[a]), int(line[b + 1])
                 size = int(words.first[last + 1] - words.first[first])
-                if first < last and (w.most is None or size <= w.most):
+                if first == last or (w.most is not None and size > w.most):
+                    continue
+                stretch = lines.data[lines.offsets[first] : lines.offsets[last + 1]].tobytes()
+                if not w.named or _names_at(stretch.split(), w.family):
                     families.setdefault((first, last), set()).add(w.family)
         ranges = sorted(families)
         if not ranges:
@@ -367,38 +446,60 @@ def _softmax(x: np.ndarray, y: np.ndarray, classes: int, weight: np.ndarray, ste
     return w, b
 
 
-def _matrix(lines: list[str], features: np.ndarray) -> np.ndarray:
-    x = np.zeros((len(lines), len(features)), np.float32)
-    if lines and len(features):
-        values, of, _ = grams(paragraphs(texts_of(pa.array(lines)))[0])
+def _matrix(held: list[np.ndarray], features: np.ndarray) -> np.ndarray:
+    """A row for each array of feature hashes."""
+    x = np.zeros((len(held), len(features)), np.float32)
+    for row, values in zip(x, held, strict=True):
         at = np.minimum(np.searchsorted(features, values), len(features) - 1)
-        known = features[at] == values
-        x[of[known], at[known]] = 1
+        row[at[features[at] == values]] = 1
     return x
 
 
-def train(others: list[str]) -> Classifier:
-    """Learn from the notices, the mentions and ``others``, paragraphs that are taken to be no licence."""
+def _held(lines: Texts) -> list[np.ndarray]:
+    """The hashes of the grams of every line."""
+    values, of, _ = grams(lines)
+    values, first = unique_per_doc(of, values, len(lines))
+    return np.split(values, first[1:-1])
+
+
+@dataclass
+class Lessons:
+    """Classes, the grams and the class of every sentence to learn from, and the grams that count."""
+
+    classes: list[str]
+    held: list[np.ndarray]
+    y: np.ndarray
+    features: np.ndarray
+
+
+def lessons(left_out: tuple[str, ...] = ()) -> Lessons:
+    """Variants of the notices, of the same under made-up names, and of the mentions."""
     rng = np.random.default_rng(SEED)
-    classes = [OTHER, *NOTICES]
-    flat = lambda s: " ".join(s.split())
-    known = {c: NOTICES[c] + NAMES[c] for c in NOTICES}
-    samples = [(flat(v), k) for k, c in enumerate(classes) if k for notice in known[c] for v in _variants(rng, notice, VARIANTS)]
+    families = [c for c in NOTICES if c not in left_out]
+    classes = [OTHER, *families, UNKNOWN]
+    samples = []
+    for k, family in enumerate(families, 1):
+        for notice in NOTICES[family] + NAMES[family]:
+            samples += [(v, k) for v in _variants(rng, notice, VARIANTS)]
+            renamed = [_renamed(rng, family, notice) for _ in range(VARIANTS // 4)]
+            samples += [(_variants(rng, r, 2)[-1], len(classes) - 1) for r in renamed if r]
     samples += [(v, 0) for m in MENTIONS for v in _variants(rng, m, VARIANTS)]
-    templates = _templates()
-    # Notices among the others, recognised by their templates, must not be learnt as none.
-    for line in others[:OTHER_PARAGRAPHS]:
-        words = _plain_words(line)
-        if not any(_holds(words, t) for group in templates.values() for t in group):
-            samples.append((flat(line), 0))
-    samples = [s for s in samples if s[0].strip()]
-    lines, y = [s[0] for s in samples], np.array([s[1] for s in samples])
-    first = y > 0
-    values, of, _ = grams(paragraphs(texts_of(pa.array([v for v, k in zip(lines, first, strict=True) if k])))[0])
-    pairs = np.unique(np.stack([values, of.astype(np.uint64)]), axis=1)[0]
-    features, counts = np.unique(pairs, return_counts=True)
-    features = features[counts >= VARIANTS // 4]
-    x = _matrix(lines, features)
+    held = _held(paragraphs(texts_of(pa.array([" ".join(v.split()) for v, _ in samples])))[0])
+    y = np.array([k for _, k in samples])
+    features, counts = np.unique(np.concatenate([h for h, k in zip(held, y, strict=True) if k]), return_counts=True)
+    return Lessons(classes, held, y, features[counts >= VARIANTS // 4])
+
+
+def train(others: list[np.ndarray], left_out: tuple[str, ...] = ()) -> Classifier:
+    """Learn from the notices, the mentions and ``others``, the features of paragraphs that are taken to be no licence.
+
+    ``left_out`` names families to do without; their notices are of unknown licence then.
+    """
+    taught = lessons(left_out)
+    classes, features = taught.classes, taught.features
+    y = np.concatenate([taught.y, np.zeros(len(others), np.int64)])
+    rng = np.random.default_rng(SEED + 1)
+    x = _matrix([*taught.held, *others], features)
     weight = 1.0 / np.bincount(y, minlength=len(classes))[y]
     learn = rng.random(len(y)) < 0.8
     w, b = _softmax(x[learn], y[learn], len(classes), weight[learn].astype(np.float32))
@@ -415,25 +516,46 @@ def train(others: list[str]) -> Classifier:
     features, w = features[used], w[used]
     present = np.zeros(1 << 20, bool)
     present[(features & np.uint64(len(present) - 1)).astype(np.int64)] = True
-    return Classifier(classes, features, w, b, temperature, present, templates, _wordings())
+    return Classifier(classes, features, w, b, temperature, present, _templates(classes[1:-1]), _wordings(classes[1:-1]))
+
 
+def other_paragraphs(docs: DataFrame) -> list[np.ndarray]:
+    """The features of at most ``OTHER_LINES`` paragraphs of each of the ``OTHER_TEXTS`` texts with the smallest hash.
 
-def other_paragraphs(docs: DataFrame) -> list[str]:
-    """Paragraphs of the ``OTHER_TEXTS`` texts with the smallest hash of id and text, at most ``OTHER_PARAGRAPHS``."""
+    The hash is of id and text; the paragraphs lie evenly over the text. Those that hold a notice are left out, since
+    they must not be learnt as none.
+    """
     rows = docs.where("text is not null").select(F.xxhash64("doc_id", "text").alias("h"), "text")
-    chosen = rows.select("h").orderBy("h").limit(OTHER_TEXTS)
-    bound = chosen.agg(F.max("h").alias("h")).first()["h"]
+    bound = rows.select("h").orderBy("h").limit(OTHER_TEXTS).agg(F.max("h").alias("h")).first()["h"]
     if bound is None:
         return []
-    lines = rows.where(F.col("h") <= bound).select("h", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    lines = lines.where("trim(line) <> ''").select("h", "at", F.substring("line", 1, 2_000).alias("line"))
-    return [r["line"] for r in lines.orderBy("h", "at").limit(OTHER_PARAGRAPHS).collect()]
+    known = docs.sparkSession.sparkContext.broadcast(lessons().features)
+
+    def reduce(batches):
+        features, templates = known.value, [t for group in _templates(list(NOTICES)).values() for t in group]
+        for rows, texts in slices(batches):
+            lines, owner = paragraphs(texts)
+            spoken = np.flatnonzero(words_of(lines).counts)
+            h, held = [], []
+            for k in range(len(texts)):
+                own = spoken[owner[spoken] == k]
+                for i in own[np.unique(np.linspace(0, len(own) - 1, OTHER_LINES).astype(int))] if len(own) else ():
+                    line = texts_of(pa.array([lines.bytes_of(i)], pa.binary()))
+                    if not any(t.holds(lines.bytes_of(i).split()) for t in templates):
+                        h.append(rows.column("h")[k].as_py())
+                        held.append(np.intersect1d(_held(line)[0], features).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(held, pa.list_(pa.int64()))], ["h", "held"])
+
+    # Equal rows teach once.
+    found = rows.where(F.col("h") <= bound).dropDuplicates(["h"]).mapInArrow(reduce, "h bigint, held array<bigint>")
+    listed = sorted((r["h"], r["held"]) for r in found.collect())
+    return [np.array(held, np.int64).view(np.uint64) for _, held in listed]
 
 
 def scan(docs: DataFrame, model: Classifier | None = None) -> DataFrame:
     """``doc_id``, ``n_paragraphs`` and ``notices`` per row of ``docs``.
 
-    ``notices`` lists the paragraphs with a licence family: ``line`` (from 0), ``family``,
+    ``notices`` lists the paragraphs with a licence family or ``unknown``: ``line`` (from 0), ``family``,
     ``probability`` and ``confirmed``.
     """
     model = train(other_paragraphs(docs)) if model is None else model
@@ -450,6 +572,8 @@ def scan(docs: DataFrame, model: Classifier | None = None) -> DataFrame:
                 sure = probabilities[np.arange(len(hit)), best]
                 for k in np.flatnonzero((best > 0) & (sure >= LEAST)).tolist():
                     line, family = int(hit[k]), found.classes[best[k]]
+                    if family == UNKNOWN and not _SPOKEN.intersection(lines.bytes_of(line).split()):
+                        continue
                     sound = found.confirmed(family, lines.bytes_of(line))
                     by_line[line] = [{"family": family, "probability": float(sure[k]), "confirmed": sound}]
             for first, last, family, p in found.wrapped(lines, owner):

@@ -122,3 +122,65 @@ def test_wrapped_notices(spark, model):
         1: [(0, "mit")], 2: [(0, "gpl")], 3: [(0, "bsd")], 4: [(0, "lgpl")], 5: [(2, "gpl")], 6: [(1, "bsd")],
         7: [(0, "mit"), (4, "mit")], 8: [(0, "mit"), (5, "bsd")], 9: [(0, "gpl"), (5, "gpl")], 10: [], 11: [],
     }
+
+
+FOREIGN = [
+    "Licensed under the Artistic License 2.0.",
+    "Distributed under the Boost Software License, Version 1.0.",
+    "Microsoft Public License 2.0",
+    "Educational Community License, Version 2.0",
+    "Licensed under the Mulan PSL v2 License.",
+    "Released under the zlib License.",
+    "SPDX-License-Identifier: Zlib",
+    "This work is licensed under the GNU Free Documentation License, version 1.3.",
+    "Licensed under CC BY-ND 4.0.",
+    "Licensed under CC BY-NC-SA 4.0.",
+    "This program and the accompanying materials are made available under the terms of the Common Public License v1.0.",
+]
+
+
+def _best(model, line):
+    hit, p, _ = model.probabilities(licences.paragraphs(texts_of(pa.array([line])))[0])
+    return (model.classes[p[0].argmax()], float(p[0].max())) if len(hit) else ("none", 1.0)
+
+
+def test_other_licences_confirm_no_family(spark, model):
+    docs = spark.createDataFrame(list(enumerate(FOREIGN)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["notices"] for r in licences.scan(docs, model).collect()}
+    assert [n for notices in got.values() for n in notices if n["confirmed"]] == []
+    unknown = [k for k, notices in got.items() if [n["family"] for n in notices] == ["unknown"]]
+    assert len(unknown) >= 7
+
+
+@pytest.mark.parametrize("family", ["apache", "mpl", "epl", "isc"])
+def test_family_that_was_left_out(family):
+    """Notices of a family that the classifier has never seen are of unknown licence, and sure enough to be reported."""
+    model = licences.train([], (family,))
+    named = [n for n in licences.NOTICES[family] + licences.NAMES[family] if licences._renamed(licences.np.random.default_rng(1), family, n)]
+    best = [_best(model, n) for n in named]
+    assert all(not model.confirmed(f, licences._PLAIN[list(n.encode())].tobytes()) for n in named for f in model.templates)
+    assert sum(f == "unknown" and p >= licences.LEAST for f, p in best) >= len(named) - 1
+
+
+def test_probabilities_are_calibrated(model):
+    """Of all lessons, as many are right as the probabilities say."""
+    taught = licences.lessons()
+    x = licences._matrix(taught.held, model.features)
+    scores = (x @ model.weights + model.bias) / model.temperature
+    p = licences.np.exp(scores - scores.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    assert abs((p.argmax(axis=1) == taught.y).mean() - p.max(axis=1).mean()) < 0.05
+
+
+def test_sample_of_other_paragraphs_reads_whole_lines(spark):
+    """A long text gives no more paragraphs than a short one, and what stands late in a line counts."""
+    late = "word " * 3_000 + "licensed under the"
+    rows = [(1, "\n".join(["fill"] * 5_000)), (2, late), (3, "Released under the MIT License."), (4, None), (2, late)]
+    got = licences.other_paragraphs(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert len(got) == licences.OTHER_LINES + 1
+    assert sorted(len(g) for g in got)[-1] >= 3
+
+
+def test_numbers_in_prose_are_no_unknown_licence(spark, model):
+    docs = spark.createDataFrame([(1, "Call +1 (509) 555-6973 under the bridge.\n1232810148878564 of 190.137.223.204 version 2.0.")], "doc_id bigint, text string")
+    assert licences.scan(docs, model).first()["notices"] == []
