@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobsluice.functions.html import with_text
 from jobsluice.functions.text import collapse, first_chars, strip
 from jobsluice.operators.filters import is_pending
+from jobsluice.sources.sinks import read_table
 
 # A classifier takes prompts and returns one JSON reply for each.
 Classifier = Callable[[list[str]], list[str]]
@@ -20,6 +23,10 @@ Classifier = Callable[[list[str]], list[str]]
 PROMPT_CHARS = 4000
 MAX_LABELS = 5
 
+#: Records of a round, which is what a killed run repeats at most (buckets are dealt by hash, so about).
+BUCKET_ROWS = 100_000
+COMMIT = "folder string"
+
 
 def with_prompt(df: DataFrame, name: str = "prompt", chars: int | None = None) -> DataFrame:
     """Add the classifier input; NULL if title and description are both blank.
@@ -139,28 +146,46 @@ def enrich_resume(
     classify: Classifier,
     path: str,
     key: str = "url",
-    rounds: int = 4,
+    rounds: int | None = None,
     only: range | None = None,
     prompt_chars: int | None = None,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Label pending records in rounds and keep every finished round on disk.
 
-    Each round is one Spark job over the records of its hash bucket, written to
-    its own folder; a restart skips the keys that are already there, so lost work
-    is at most one round. Returns all results so far. ``only`` limits which
-    rounds run now.
+    What is left to do is written once, in hash buckets of the key: ``rounds`` of them, or as many as give about
+    ``bucket_rows`` records each. A round labels one bucket, writes its results to a folder of their own and then lists
+    that folder in the commit log. Only listed folders are read, so a run that is killed at any moment loses the bucket
+    it was in, and no result counts twice; the next run leaves out the keys that have results. Returns all results so
+    far. ``only`` limits which rounds run now.
     """
+    spark = pending.sparkSession
     narrow = pending.select(key, "title", "description", "professions", "professions_error")
     results = narrow.select(key, "professions", "professions_error")
-    results.limit(0).write.mode("append").parquet(f"{path}/round=none")
+    left = narrow.join(read_results(results, path).select(key), key, "left_anti")
+    if rounds is None:
+        rounds = max(1, -(-left.count() // bucket_rows))
+    work = f"{path}/todo/{uuid.uuid4().hex}"
+    left = left.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(rounds)).cast("int"))
+    left.repartition("bucket").write.partitionBy("bucket").parquet(work)
+    todo = read_table(spark, work, T.StructType([*narrow.schema, T.StructField("bucket", T.IntegerType())]))
+    filled = {r["bucket"] for r in todo.select("bucket").distinct().collect()}
     for part in only or range(rounds):
-        todo = narrow.filter(F.pmod(F.xxhash64(key), F.lit(rounds)) == part)
-        todo = todo.join(read_results(results, path).select(key), key, "left_anti")
-        labelled = enrich(todo, classify, prompt_chars=prompt_chars, force_all=True).select(results.columns)
-        labelled.write.mode("append").parquet(f"{path}/round={part}")
+        if part not in filled:
+            continue
+        # A bucket is one file; its prompts are dealt over all cores.
+        rows = todo.where(F.col("bucket") == part).drop("bucket").repartition(spark.sparkContext.defaultParallelism, key)
+        labelled = enrich(rows, classify, prompt_chars=prompt_chars, force_all=True).select(results.columns)
+        folder = f"results/{uuid.uuid4().hex}"
+        labelled.write.parquet(f"{path}/{folder}")
+        spark.createDataFrame([(folder,)], COMMIT).coalesce(1).write.mode("append").parquet(f"{path}/commits")
     return read_results(results, path)
 
 
 def read_results(like: DataFrame, path: str) -> DataFrame:
-    """Results of all finished rounds; ``like`` has their columns."""
-    return like.sparkSession.read.schema(like.schema).parquet(f"{path}/round=*")
+    """Results of all rounds in the commit log; ``like`` has their columns."""
+    spark = like.sparkSession
+    folders = [r["folder"] for r in read_table(spark, f"{path}/commits", COMMIT).collect()]
+    if not folders:
+        return like.limit(0)
+    return spark.read.schema(like.schema).parquet(*[f"{path}/{folder}" for folder in sorted(folders)])

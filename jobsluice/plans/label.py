@@ -9,7 +9,7 @@ from jobsluice.operators.filters import pending_rows
 
 
 def label_jobs(
-    jobs: DataFrame, classify: Classifier, work_path: str, key: str = "url", rounds: int = 4,
+    jobs: DataFrame, classify: Classifier, work_path: str, key: str = "url", rounds: int | None = None,
     prompt_chars: int | None = None, **flags: bool,
 ) -> DataFrame:
     """Label the pending records in restartable rounds and write the results back."""

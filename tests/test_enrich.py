@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from helpers import values
 from pyspark.sql import functions as F
 
@@ -112,6 +113,44 @@ def test_resume_asks_for_every_key_once(spark, tmp_path):
     assert len(log.read_text().splitlines()) == 40
 
 
+class Killed(BaseException):
+    """Ends a task; the operator takes no exception of this kind for a refusal."""
+
+
+def test_killed_run_repeats_one_bucket(spark, tmp_path):
+    log, path = tmp_path / "calls", str(tmp_path / "out")
+
+    def asking(bad, log=str(log)):
+        def classify(prompts):
+            with open(log, "a") as f:
+                f.writelines(p.split("\n")[0] + "\n" for p in prompts)
+            if any(bad in p for p in prompts):
+                raise Killed
+            return [json.dumps({"professions": ["x"]}) for _ in prompts]
+
+        return classify
+
+    df = spark.createDataFrame([(f"u{n}", f"t{n}.", None, None, None) for n in range(60)], SCHEMA).repartition(4)
+    sizes = [r["count"] for r in df.groupBy(F.pmod(F.xxhash64("url"), F.lit(6)).alias("b")).count().collect()]
+    last = df.where(F.pmod(F.xxhash64("url"), F.lit(6)) == 3).first()["title"]
+    with pytest.raises(Exception):  # noqa: B017
+        R.enrich_resume(df, asking(last), path, bucket_rows=10)
+    results = df.select("url", "professions", "professions_error")
+    before = R.read_results(results, path).count()
+    assert 0 < before < 60
+    # What a killed writer leaves behind is in no commit.
+    results.limit(5).write.parquet(f"{path}/results/left-over")
+    done = R.enrich_resume(df, asking("nothing"), path, bucket_rows=10)
+    assert sorted(values(done)) == sorted((f"u{n}", "x", None) for n in range(60))
+    assert len(log.read_text().splitlines()) <= 60 + max(sizes)
+    assert R.enrich_resume(df, asking(""), path, bucket_rows=10).count() == 60
+
+
+def test_resume_without_rows(spark, tmp_path):
+    none = spark.createDataFrame([], SCHEMA)
+    assert R.enrich_resume(none, _classify, str(tmp_path / "out")).count() == 0
+
+
 def test_label_jobs(spark, tmp_path):
     df = spark.createDataFrame(ROWS, SCHEMA)
     done = label_jobs(df, _classify, str(tmp_path / "w"), rounds=2)
