@@ -66,7 +66,10 @@ def keyword_classifier(labels: Mapping[str, str]) -> Classifier:
 
 
 def _ask(classify: Classifier, prompts: list[str]) -> list[tuple[str | None, str | None]]:
-    """(reply, error) per prompt; a failing batch is asked one by one to find the bad rows."""
+    """(reply, error) per prompt.
+
+    A reply that is an exception is the error of its prompt alone; a batch that fails as a whole is asked one by one.
+    """
     try:
         replies = list(classify(prompts))
         if len(replies) != len(prompts):
@@ -78,6 +81,8 @@ def _ask(classify: Classifier, prompts: list[str]) -> list[tuple[str | None, str
     out = []
     for reply in replies:
         try:
+            if isinstance(reply, Exception):
+                raise reply
             json.loads(reply or "{}").get("professions")
             out.append((reply or "{}", None))
         except Exception as exc:

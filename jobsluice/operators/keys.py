@@ -3,9 +3,9 @@
 One key may hold a large share of the rows. Sets are built with distinct, which
 collapses repeats before the shuffle. A membership join cannot do that, so it
 spreads the hot keys: ``HOT_ROWS`` rows of one key are more than one task should
-take, and such keys get a salt on the row side and copies on the key side. The
-salt hashes ``spread_by`` (all columns if not given), which should tell rows of
-one key apart.
+take, and such keys get a salt on the row side and copies on the key side, one for
+every ``HOT_ROWS`` of their measured count. The salt hashes ``spread_by`` (all columns
+if not given), which should tell rows of one key apart.
 """
 
 from __future__ import annotations
@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsluice.functions.text import filled, strip
+from jobsluice.session import materialize
 
 HOT_ROWS = 1_000_000
-SPREAD = 64
 
 
 def record_key() -> Column:
@@ -42,21 +42,20 @@ def known_keys(*tables: DataFrame, key: str = "url") -> DataFrame:
 def _salted(
     rows: DataFrame, keys: DataFrame, key: str, hot_rows: int, spread_by: Sequence[str] | None
 ) -> tuple[DataFrame, DataFrame]:
+    # A hot key is dealt over as many salts as its count has portions of ``hot_rows``.
+    counts = rows.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+    salts = F.ceil(F.col("_n") / F.lit(max(hot_rows, 1))).cast("int")
+    # A stored table, so that its measured size decides whether Spark broadcasts it.
+    hot = materialize(counts.select(F.col(key).alias("_hot"), salts.alias("_salts")), "hot-keys")
     # The salt is a hash of the row, so a task that runs twice sends its rows the same way.
-    bucket = F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.lit(SPREAD)).cast("int")
-    hot = rows.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(
-        F.col(key).alias("_hot")
-    )
-    # At most rows / hot_rows keys are hot, so this side stays small.
-    hot = F.broadcast(hot)
-    left = rows.join(hot, F.col(key) == F.col("_hot"), "left").withColumn(
-        "_salt", F.when(F.col("_hot").isNotNull(), bucket).otherwise(F.lit(0))
-    )
-    copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
+    bucket = F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.col("_salts")).cast("int")
+    left = rows.join(hot, F.col(key) == F.col("_hot"), "left")
+    left = left.withColumn("_salt", F.coalesce(bucket, F.lit(0))).drop("_hot", "_salts")
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
     right = keys.join(hot, F.col("key") == F.col("_hot"), "left").select(
         F.col("key").alias("_known"), F.explode(copies).alias("_copy")
     )
-    return left.drop("_hot"), right
+    return left, right
 
 
 def new_records(

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from jobsluice.functions.text import strip
@@ -47,6 +47,7 @@ def _merge(
     preserve: Sequence[str],
     captured: DataFrame | None = None,
     table: DataFrame | None = None,
+    added: Observation | None = None,
 ) -> DataFrame:
     """``fresh`` into ``current``; payloads are read from ``captured`` and ``table`` if given."""
     payload = [c for c in current.columns if c not in ("id", "pos")]
@@ -68,6 +69,9 @@ def _merge(
         F.max(old_pos).alias("_last_old"),
         *[F.max_by(c, old_pos).alias(f"_old_{c}") for c in preserve],
     )
+    if added is not None:
+        only_new = F.col("_first_new").isNotNull() & F.col("_first_old").isNull()
+        narrow = narrow.observe(added, F.count_if(only_new).alias("n_added"))
     narrow = narrow.select(
         "_key",
         "_id",
@@ -120,6 +124,7 @@ def merge_by_url(
     backfill: bool = True,
     preserve: Sequence[str] = (),
     captured: DataFrame | None = None,
+    added: Observation | None = None,
 ) -> DataFrame:
     """Upsert on the trimmed URL; rows without one are dropped.
 
@@ -127,16 +132,17 @@ def merge_by_url(
     first; the largest id still covers them. ``preserve`` names columns whose
     current value survives the replacement (labels, for instance). If ``fresh`` is
     the outcome of joins over a stored table, ``captured`` names that table: the
-    payload is then read from there by position and takes no part in those joins.
+    payload is then read from there by position and takes no part in those joins. ``added``
+    observes ``n_added``, the keys that only ``fresh`` has, as the narrow rows are written.
     """
     start = max_id(current).first()["max_id"]
     key = strip(F.coalesce(F.col("url"), F.lit("")))
     if not language:
-        return _merge(current, fresh, key, start, backfill, preserve, captured)
+        return _merge(current, fresh, key, start, backfill, preserve, captured, added=added)
     # The test runs in the first pass; rows it drops are no winners in the second.
     captured = fresh if captured is None else captured
     kept, new = french_or_english(current), french_or_english(fresh)
-    return _merge(kept, new, key, start, backfill, preserve, captured, table=current)
+    return _merge(kept, new, key, start, backfill, preserve, captured, table=current, added=added)
 
 
 def merge_by_key(

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from jobsluice.functions.urls import SiteRule
 from jobsluice.operators import extract, filters, keys, merge, ordered
 from jobsluice.operators.assemble import assemble_ge
 from jobsluice.schema import Policy, listing_order
-from jobsluice.session import materialize
+from jobsluice.session import materialize, materialize_counted
 
 
 @dataclass(frozen=True)
@@ -26,6 +26,7 @@ class RunResult:
     seen: DataFrame
     details: DataFrame | None = None  # parsed detail pages with ``ok``
     master: DataFrame | None = None  # the new master table of the two-level mode
+    report: DataFrame | None = None  # one row of counts, of runs over pages
 
 
 def _finish(
@@ -38,6 +39,7 @@ def _finish(
     days: int,
     details: DataFrame | None = None,
     captured: DataFrame | None = None,
+    added: Observation | None = None,
 ) -> RunResult:
     columns = _shared(current, fresh)
     batch = fresh.select(columns)
@@ -46,7 +48,8 @@ def _finish(
         merged = merge.merge_by_key(current, batch, captured=stored)
     else:
         merged = merge.merge_by_url(
-            current, batch, language=policy.language == "fr_en", backfill=policy.backfill_ids, captured=stored
+            current, batch, language=policy.language == "fr_en", backfill=policy.backfill_ids, captured=stored,
+            added=added,
         )
     if policy.seen in ("merged", "persisted"):
         # The state is read from the merged rows, which then serve two outputs.
@@ -196,6 +199,10 @@ def walk_listing_pages(
     return ordered.apply_cut(first, ordered.earliest_cut(cuts))
 
 
+# Counts of a run over pages: links walked and new, records kept, failed fetches, records out of the window, dropped by
+# language (kept, but without a new key after the language filter).
+REPORT = ("n_links", "n_new", "n_ok", "n_errors", "n_out_of_window", "n_language")
+
 # What ends a listing of the HTML sources.
 PAGE_RULES = {"jobup": "total", "talent": "empty", "ge": "no_new"}
 
@@ -224,7 +231,8 @@ def collect_pages(
     link without a page, or with one that cannot be read, is a failed fetch.
     ``detail`` names the record form: ``graph``, ``nested`` or ``page``. ``master``
     turns on the two-level mode: its keys count for the streak but not as known,
-    fresh records go into it, and it goes into the output.
+    fresh records go into it, and it goes into the output. ``report`` of the result is counted
+    while the tables of the run are written, without another pass.
     """
     days = policy.days if days is None else days
     stop = policy.stop_after_known if stop_after_known is None else stop_after_known
@@ -238,13 +246,13 @@ def collect_pages(
         max_pages=max_pages,
         cards=detail == "page",
     )
-    walked = materialize(walked, "walked")
+    walked, counts = materialize_counted(walked, "walked", n_links=F.count("*"))
     if master is None:
         new = walked.filter(~F.col("known"))
     else:
         new = keys.new_records(walked, known, spread_by=["source", "run_id"])
     new = ordered.limit_new(new.drop("known"), max_jobs)
-    new = materialize(new, "new")
+    new, found = materialize_counted(new, "new", n_new=F.count("*"))
     # Markup is not shuffled: a filter of the new links selects the pages to parse, and the parsed
     # records join the links.
     wanted = keys.likely(detail_pages, new)
@@ -258,13 +266,34 @@ def collect_pages(
         parse = {"graph": extract.detail_record_graph, "nested": extract.detail_record_nested}[detail]
         details = new.select("url", "ord").join(parse(wanted), "url", "left")
         details = details.withColumn("ok", F.coalesce("ok", F.lit(False)))
-    details = materialize(details.withColumn("pos", F.col("ord")), "details")
+    recent = filters.is_recent(F.col("posting_date"), as_of, days) if policy.fresh_days else F.lit(True)
+    details, read = materialize_counted(
+        details.withColumn("pos", F.col("ord")),
+        "details",
+        n_ok=F.count_if(F.col("ok") & recent),
+        n_errors=F.count_if(~F.col("ok")),
+        n_out_of_window=F.count_if(F.col("ok") & ~recent),
+    )
+    if detail == "page":
+        # Here a link without a page has no row at all.
+        read |= {"n_errors": max(found["n_new"] - read["n_ok"] - read["n_out_of_window"], 0)}
+    counts = counts | found | read | {"n_language": 0}
     fresh = details.filter("ok")
     if policy.fresh_days:
         fresh = filters.within_days(fresh, as_of, days)
+    spark = list_pages.sparkSession
     if master is None:
-        return _finish(policy, current, known, walked, fresh, as_of, days, details)
+        added = Observation("added") if policy.language == "fr_en" and not policy.record_key else None
+        run = _finish(policy, current, known, walked, fresh, as_of, days, details, added=added)
+        if added is not None:
+            counts["n_language"] = max(counts["n_ok"] - added.get["n_added"], 0)
+        return replace(run, report=_report(spark, counts))
     new_master, merged = merge.merge_two_level(current, master, fresh.select(_shared(master, fresh)))
     written = filters.within_days(merged, as_of, days) if policy.output_days else merged
     seen = keys.known_keys(known, walked.select("url"), new_master.select("url"))
-    return RunResult(walked, fresh, merged, written, seen, details, new_master)
+    return RunResult(walked, fresh, merged, written, seen, details, new_master, _report(spark, counts))
+
+
+def _report(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """One row: links walked, new ones, and of these what became of their pages."""
+    return spark.createDataFrame([tuple(counts[name] for name in REPORT)], ", ".join(f"{name} bigint" for name in REPORT))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Up to this many narrow rows (a key and a few numbers) a table may be broadcast.
@@ -68,6 +68,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(df: DataFrame, label: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``materialize``, and aggregates over the rows that are taken while they are written.
+
+    They sit right below the write, in the stage of which Spark counts every partition once, so a task that
+    runs twice does not change them.
+    """
+    seen = Observation(label)
+    stored = materialize(df.observe(seen, *[c.alias(name) for name, c in counts.items()]), label)
+    return stored, seen.get
+
+
 def broadcast_if_small(stored: DataFrame) -> DataFrame:
     """Mark a stored table of narrow rows for broadcast if its row count allows."""
     return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored

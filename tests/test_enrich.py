@@ -48,6 +48,18 @@ def test_whole_descriptions_are_read(spark, tmp_path):
         assert values(done, "professions") == [(labels,)]
 
 
+def test_one_bad_prompt_keeps_the_other_replies():
+    calls = []
+
+    def classify(prompts):
+        calls.append(len(prompts))
+        return [TimeoutError("late") if "bad" in p else json.dumps({"professions": [p]}) for p in prompts]
+
+    got = R._ask(classify, ["a", "bad", "c"])
+    assert calls == [3]
+    assert got == [('{"professions": ["a"]}', None), (None, "TimeoutError: late"), ('{"professions": ["c"]}', None)]
+
+
 def _classify(prompts):
     """One reply per prompt; some prompts break the whole batch, some replies are bad."""
     if any("boom" in p for p in prompts):

@@ -24,6 +24,17 @@ def test_membership_with_and_without_hot_keys(spark):
         assert sorted(new) == sorted(r for r in rows if r[0] not in known_set)
 
 
+def test_a_hot_key_gets_salts_by_its_count(spark):
+    df, known, rows, _ = _tables(spark)
+    left, right = keys._salted(df, known, "url", 40, ["n"])
+    salts = {u: n for u, n in values(left.groupBy("url").agg(F.count_distinct("_salt")))}
+    assert salts["hot"] == 8 and salts["cold hot"] == 3 and salts["u0"] == 1
+    copies = {k: n for k, n in values(right.groupBy("_known").count())}
+    assert copies["hot"] == 8 and copies["unused"] == copies["u0"] == 1
+    largest = left.filter("url = 'hot'").groupBy("_salt").count().agg(F.max("count")).first()[0]
+    assert largest < 2 * 300 / 8
+
+
 def test_key_sets(spark):
     df = spark.createDataFrame([(" a ",), ("b",), ("  ",), (None,), ("a",)], "url string")
     state = spark.createDataFrame([("c",), ("b ",), ("",)], "key string")

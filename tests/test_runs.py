@@ -68,10 +68,27 @@ def test_html_runs(spark):
         table |= {u: (len(known) + 1 + n, day[u]) for n, u in enumerate(fresh)}
         written = {u: i for u, (i, d) in table.items() if d >= 14}
         assert {r.url: r.id for r in run.written.collect()} == written, seed
+        recent = [u for u in new if u not in broken and (seen_policy != "persisted" or day[u] >= 14)]
+        counts = (len(links), len(new), len(recent), sum(u in broken for u in new))
+        assert tuple(run.report.first()) == (*counts, len(new) - counts[2] - counts[3], 0), seed
         seen = {"all": known | set(links) | set(table), "persisted": set(written), "merged": set(table)}[seen_policy]
         assert {r.key for r in run.seen.collect()} == seen, seed
 
 
+def test_report_counts_languages_and_nothing(spark):
+    pages, details, current, seen = _frames(spark, _site(4))
+    german = details.withColumn("html", F.regexp_replace("html", "avec vous", "mit sie Stelle"))
+    half = details.filter("substring(url, -1) % 2 = 0").unionByName(german.filter("substring(url, -1) % 2 = 1"))
+    policy = Policy("t", fresh_days=False, seen="merged", language="fr_en")
+    run = collect_pages(pages, half, current, seen, RULE, policy, date(2026, 1, 28), stop_after_known=0, page_rule="empty")
+    fresh = [r.title for r in run.fresh.collect()]
+    report = run.report.first()
+    assert report.n_ok == len(fresh) and report.n_language == sum("mit" in t for t in fresh) > 0
+    none = collect_pages(pages.limit(0), half, current, seen, RULE, policy, date(2026, 1, 28), page_rule="empty")
+    assert tuple(none.report.first()) == (0, 0, 0, 0, 0, 0)
+    assert none.written.count() == current.count()
+
+
 def test_feed_run(spark):
     items = [("", "A", "c", "l", 0), ("u1", "B", "", "", 1), (" ", "a ", "C", "L", 2), ("u1", "late", "", "", 3), ("u2", "D", "", "", 4)]
     schema = "url string, title string, company string, location string, pos bigint"
@@ -151,6 +168,10 @@ def test_card_and_feed_run(spark):
     assert (got["1"].posting_date, got["1"].date_limite, got["1"].source) == ("2026-01-20", "2026-03-01", "ge")
     assert (got["4"].title, got["4"].posting_date, got["4"].summary) == ("Poste 4", "2026-01-15", "résumé")
     assert {r.key for r in run.seen.collect()} == {f"{url}{n}" for n in "124"}
+    # Number 3 is too old; every other new link has a page.
+    assert run.report.first().asDict() == {
+        "n_links": 4, "n_new": 3, "n_ok": 2, "n_errors": 0, "n_out_of_window": 1, "n_language": 0
+    }
 
 
 def test_an_empty_page_ends_a_walk(spark):
