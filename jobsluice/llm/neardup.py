@@ -23,7 +23,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -203,16 +202,22 @@ def _stars(labels: DataFrame) -> DataFrame:
     return labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
 
 
+def _flat(rows: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a column of lists, all in one, and where each list begins."""
+    lists = rows.column(column).chunk(0)
+    return lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+
+
 def _block_links(percent: int):
     """Links between the classes of one pair of blocks that lie in different components."""
 
-    def search(key, frame: pd.DataFrame) -> pd.DataFrame:
-        sketches = np.array(frame["sketch"].tolist(), np.int64).view(np.uint64)
-        n, cid = frame["n"].to_numpy(), frame["cid"].to_numpy()
-        items = frame["items"].to_numpy()
-        block = frame["block"].to_numpy()
-        parent = {label: label for label in frame["label"]}
-        label = frame["label"].to_numpy()
+    def search(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        n, cid, block, label = (rows.column(c).to_numpy() for c in ("n", "cid", "block", "label"))
+        sketches = _flat(rows, "sketch")[0].reshape(len(n), -1).view(np.uint64)
+        items, at = _flat(rows, "items")
+        across = key[1].as_py() != key[2].as_py()
+        parent = {x: x for x in label.tolist()}
 
         def root(x):
             while parent[x] != x:
@@ -221,22 +226,28 @@ def _block_links(percent: int):
             return x
 
         limit, found = sketch_limit(), []
-        for i in range(len(frame)):
-            apart = np.bitwise_count(sketches[i + 1 :] ^ sketches[i]).sum(axis=1)
+        for i in range(len(n) - 1):
             other = n[i + 1 :]
-            open_ = (apart <= limit) & (label[i + 1 :] != label[i])
+            open_ = label[i + 1 :] != label[i]
             open_ &= 100 * np.minimum(other, n[i]) >= percent * np.maximum(other, n[i])
-            if key[1] != key[2]:
+            if across:
                 open_ &= block[i + 1 :] != block[i]
-            rest = np.flatnonzero(open_)
-            for j in (rest[np.argsort(apart[rest], kind="stable")] + i + 1).tolist():
-                a, b = root(label[i]), root(label[j])
+            rest = np.flatnonzero(open_) + i + 1
+            if not len(rest):
+                continue
+            apart = np.bitwise_count(sketches[rest] ^ sketches[i]).sum(axis=1)
+            near = apart <= limit
+            rest, apart = rest[near], apart[near]
+            for j in rest[np.argsort(apart, kind="stable")].tolist():
+                a, b = root(int(label[i])), root(int(label[j]))
                 if a != b:
-                    both = len(np.intersect1d(items[i], items[j], assume_unique=True))
+                    left, right = items[at[i] : at[i + 1]], items[at[j] : at[j + 1]]
+                    both = len(np.intersect1d(left, right, assume_unique=True))
                     if 100 * both >= percent * (n[i] + n[j] - both):
                         parent[max(a, b)] = min(a, b)
                         found.append((cid[i], cid[j]))
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        ends = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": ends[:, 0], "b": ends[:, 1]})
 
     return search
 
@@ -296,7 +307,7 @@ def near_duplicates(
         rows = rows.withColumn("partner", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
         rows = rows.withColumn("i", F.least("block", "partner")).withColumn("j", F.greatest("block", "partner"))
         rows = rows.select("band", "i", "j", "cid", "label", "block", "n", "sketch", "items")
-        more = rows.groupBy("band", "i", "j").applyInPandas(_block_links(percent), "a bigint, b bigint")
+        more = rows.groupBy("band", "i", "j").applyInArrow(_block_links(percent), "a bigint, b bigint")
         more = stored(more.distinct(), "near-links")
         if not more.isEmpty():
             labels = stored(components(_stars(labels).unionByName(more)), "labels")

@@ -56,17 +56,21 @@ def test_members_that_only_others_link(spark):
 
 
 def test_blocks_of_one_bucket():
-    import pandas as pd
+    import pyarrow as pa
 
     sets = [np.arange(k, 40 + k, dtype=np.int64) for k in range(6)]
     values = np.concatenate(sets).view(np.uint64)
     first = np.arange(0, 241, 40)
     sketch = neardup.odd_sketches(neardup._min_hashes(values, first)).view(np.int64)
-    frame = pd.DataFrame(
-        {"cid": range(6), "label": range(6), "block": 0, "n": 40, "sketch": list(sketch), "items": sets}
-    )
-    got = neardup._block_links(75)((1, 0, 0), frame)
-    assert len(got) == 5 and set(got["a"]) | set(got["b"]) == set(range(6))
+    key = tuple(pa.scalar(k) for k in (1, 0, 0))
+    whole = {"cid": range(6), "label": range(6), "block": [0] * 6, "n": [40] * 6, "sketch": list(sketch), "items": sets}
+    rows = pa.table({name: pa.array(list(column)) for name, column in whole.items()})
+    # In one piece, in several, and as a part of a longer table.
+    for table in (rows, pa.concat_tables([rows.slice(0, 2), rows.slice(2)]), pa.concat_tables([rows, rows]).combine_chunks().slice(6)):
+        got = neardup._block_links(75)(key, table)
+        assert got.num_rows == 5 and set(got["a"].to_pylist()) | set(got["b"].to_pylist()) == set(range(6))
+    joined = rows.set_column(1, "label", pa.array([3] * 6))
+    assert neardup._block_links(75)(key, joined).num_rows == 0
 
 
 def test_sketch_estimates_similarity():
