@@ -6,13 +6,15 @@ the count table. The finished model is one sorted array of n-gram hashes per ord
 probabilities beside it. An alphabet of 256 symbols bounds it: at most 2^24 trigrams, 2^16 bigrams,
 so that the broadcast is at most 200 MB whatever the input (a few MB for texts in some languages).
 
-A second model of the same kind sees beyond three bytes: trigrams of words, each word standing as one
-of ``WORD_CLASSES`` classes of its hash. At most 2^18 trigrams exist, whatever the input.
+Two more models of the same kind see beyond three bytes. That of the words themselves, trigrams of all words of
+the corpus whose tables stay spread over buckets (``wordgrams``), scores a text by the others. That of the shape of a
+text knows each word only as one of ``WORD_CLASSES`` classes of its hash: at most 2^18 trigrams exist, whatever the input.
 
 Bands are per language and model: a text whose log2 perplexity per word lies too far above or below
 the median of its language is rejected. The spread of bytes is the median absolute deviation of the
-rows that pass the base rules; the band of words is a share of the median. A third of junk can move
-neither far. Both widths are fitted on labelled rows.
+rows that pass the base rules; those of shape and of words are a share of the median. A third of junk can move
+none far. That of words has no lower end: what other texts foresee is a copy, which is no fault of the text.
+Widths are fitted on labelled rows.
 
 Defined results: NULL and empty texts have no words and fail the base rules; NULL languages are a
 language of their own; repeated rows count as often as they occur; an empty table gives no rows.
@@ -29,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobsluice.llm.shared import stored
+from jobsluice.llm.wordgrams import with_word_bits
 from jobsluice.llm.words import (
     Texts,
     mix64,
@@ -47,7 +50,7 @@ REPEAT_WINDOW = 3
 #: Band of bytes: this many times the standard deviation that the median absolute deviation stands for.
 BAND = 5.0
 DEVIATION = 1.4826
-#: Band of words: from this share of the median to the median over this share.
+#: Band of shapes: from this share of the median to the median over this share, where that of words ends too.
 WORD_SHARE = 0.7
 WORD_CLASSES = 64
 SYMBOLS = b"#*$%&|<>"
@@ -170,12 +173,16 @@ def _discount(n: Column, d: dict[str, float]) -> Column:
 def _discounts(counts: DataFrame) -> dict[str, float]:
     """Discounts of one order from its counts of counts; usual values where those are too few."""
     row = counts.agg(*[F.count(F.when(F.col("n") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
-    n1, n2, n3, n4 = (row[f"n{k}"] for k in (1, 2, 3, 4))
+    return dict(zip(("d1", "d2", "d3"), discounts_of(*(row[f"n{k}"] for k in (1, 2, 3, 4))), strict=True))
+
+
+def discounts_of(n1: int, n2: int, n3: int, n4: int) -> tuple[float, ...]:
+    """Discounts of the counts 1, 2 and more from how many counts are 1, 2, 3 and 4."""
     if not all((n1, n2, n3, n4)):
-        return {"d1": 0.5, "d2": 0.75, "d3": 0.9}
+        return 0.5, 0.75, 0.9
     y = n1 / (n1 + 2 * n2)
     found = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
-    return {f"d{k + 1}": float(min(max(v, 0.05), k + 0.95)) for k, v in enumerate(found)}
+    return tuple(float(min(max(v, 0.05), k + 0.95)) for k, v in enumerate(found))
 
 
 def _order(counts: DataFrame, lower: DataFrame | None) -> tuple[DataFrame, DataFrame]:
@@ -280,51 +287,55 @@ def _bits(model: Model, texts: Texts) -> np.ndarray:
     return (total[begins[:-1]] - total[begins[1:]]) / np.log10(2)
 
 
-def score(docs: DataFrame, model: Model, word_model: Model) -> DataFrame:
-    """``doc_id``, ``lang``, the base signals, ``surprise`` and ``word_surprise`` (log2 perplexity per word)."""
+def score(docs: DataFrame, model: Model, shapes: Model) -> DataFrame:
+    """``doc_id``, ``lang``, the base signals, and per word the bits of its bytes, of the classes of its words and of its words.
+
+    These are ``surprise``, ``shape_surprise`` and ``word_surprise``, each a log2 perplexity per word.
+    """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model, word_model))
-
-    def measure(batches):
-        of_bytes, of_words = shared.value
-        for rows, texts in slices(batches):
-            signals = base_signals(texts)
-            n = np.maximum(signals["n_words"], 1)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column("doc_id"),
-                    rows.column("lang"),
-                    *[pa.array(v, pa.int64()) for v in signals.values()],
-                    pa.array(_bits(of_bytes, texts) / n, pa.float64()),
-                    pa.array(_bits(of_words, word_classes(texts)) / n, pa.float64()),
-                ],
-                ["doc_id", "lang", *signals, "surprise", "word_surprise"],
-            )
+    shared = spark.sparkContext.broadcast((model, shapes))
+
+    def measure(rows: pa.RecordBatch, texts: Texts) -> pa.RecordBatch:
+        of_bytes, of_classes = shared.value
+        signals = base_signals(texts)
+        n = np.maximum(signals["n_words"], 1)
+        return pa.RecordBatch.from_arrays(
+            [
+                rows.column("doc_id"),
+                rows.column("lang"),
+                *[pa.array(v, pa.int64()) for v in signals.values()],
+                pa.array(_bits(of_bytes, texts) / n, pa.float64()),
+                pa.array(_bits(of_classes, word_classes(texts)) / n, pa.float64()),
+            ],
+            ["doc_id", "lang", *signals, "surprise", "shape_surprise"],
+        )
 
     kinds = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
     doc_kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").mapInArrow(
-        measure, f"doc_id {doc_kind}, lang string, {kinds}, surprise double, word_surprise double"
-    )
+    rows = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
+    kinds = f"doc_id {doc_kind}, lang string, {kinds}, surprise double, shape_surprise double"
+    scored = with_word_bits(rows, measure, kinds, discounts_of, "word_bits")
+    return scored.withColumn("word_surprise", F.col("word_bits") / F.greatest("n_words", F.lit(1))).drop("word_bits")
 
 
 def quality_rules(docs: DataFrame, band: float = BAND, word_share: float = WORD_SHARE) -> DataFrame:
     """One row per row of ``docs``: the base signals, ``base_failed``, ``surprise``, the band and ``kept``.
 
-    A row is kept if it passes the base rules and the surprise of its bytes and of its words lie in
-    the bands of its language. The band of bytes is the median minus or plus ``band`` times the
+    A row is kept if it passes the base rules and the surprises of its bytes, of the classes of its words
+    and of its words lie in the bands of its language. The band of bytes is the median minus or plus ``band`` times the
     larger of two deviations: that of the surprise itself, and that of the deviation times the square
     root of the length, scaled back to the length of the text, since short texts vary more. The band
-    of words reaches from ``word_share`` of the median to the median over it. ``band_low`` and
+    of classes reaches from ``word_share`` of the median to the median over it, that of words up to the same. ``band_low`` and
     ``band_high`` are those of the bytes.
     """
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     scored = score(docs, train(docs), train(docs, of_words=True))
     rows = stored(scored.withColumn("base_failed", failed), "surprise")
     rows = rows.withColumn("_lang", F.coalesce("lang", F.lit("")))
-    passed = rows.where(~F.col("base_failed")).select("_lang", "n_words", "surprise", "word_surprise")
+    passed = rows.where(~F.col("base_failed")).select("_lang", "n_words", "surprise", "shape_surprise", "word_surprise")
     middle = _quantiles(passed, "_lang", F.col("surprise"), {"_mid": 0.5})
-    middle = middle.join(_quantiles(passed, "_lang", F.col("word_surprise"), {"_word_mid": 0.5}), "_lang")
+    for name in ("shape", "word"):
+        middle = middle.join(_quantiles(passed, "_lang", F.col(f"{name}_surprise"), {f"_{name}_mid": 0.5}), "_lang")
     middle = stored(middle, "bands")
     away = F.abs(F.col("surprise") - F.col("_mid"))
     scaled = passed.join(F.broadcast(middle) if small(middle) else middle, "_lang")
@@ -336,7 +347,8 @@ def quality_rules(docs: DataFrame, band: float = BAND, word_share: float = WORD_
     width = band * DEVIATION * (F.greatest(F.col("_plain"), F.col("_scaled") / length) + CELL)
     rows = rows.withColumn("band_low", F.col("_mid") - width).withColumn("band_high", F.col("_mid") + width)
     within = F.col("surprise").between(F.col("band_low"), F.col("band_high"))
-    within = within & F.col("word_surprise").between(F.col("_word_mid") * word_share, F.col("_word_mid") / word_share)
+    within = within & F.col("shape_surprise").between(F.col("_shape_mid") * word_share, F.col("_shape_mid") / word_share)
+    within = within & (F.col("word_surprise") <= F.col("_word_mid") / word_share)
     return rows.withColumn("kept", ~F.col("base_failed") & F.coalesce(within, F.lit(False))).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "surprise", "band_low", "band_high",
