@@ -25,6 +25,8 @@ MAX_LABELS = 5
 
 #: Records of a round, which is what a killed run repeats at most (buckets are dealt by hash, so about).
 BUCKET_ROWS = 100_000
+#: Records of a task, both where a bucket is written and where it is labelled.
+TASK_ROWS = 20_000
 COMMIT = "folder string"
 
 
@@ -168,18 +170,23 @@ def enrich_resume(
     narrow = pending.select(key, "title", "description", "professions", "professions_error")
     results = narrow.select(key, "professions", "professions_error")
     left = narrow.join(read_results(results, path).select(key), key, "left_anti")
+    n_left = left.count()
     if rounds is None:
-        rounds = max(1, -(-left.count() // bucket_rows))
+        rounds = max(1, -(-n_left // bucket_rows))
     work = f"{path}/todo/{uuid.uuid4().hex}"
     left = left.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(rounds)).cast("int"))
-    left.repartition("bucket").write.partitionBy("bucket").parquet(work)
+    # A task writes one bucket, or a share of one that has more rows than a task should.
+    shares = max(1, -(-n_left // (rounds * TASK_ROWS)))
+    share = F.pmod(F.xxhash64(key, F.lit("share")), F.lit(shares))
+    left.repartition(rounds * shares, "bucket", share).write.partitionBy("bucket").parquet(work)
     todo = read_table(spark, work, T.StructType([*narrow.schema, T.StructField("bucket", T.IntegerType())]))
-    filled = {r["bucket"] for r in todo.select("bucket").distinct().collect()}
+    filled = {r["bucket"]: r["count"] for r in todo.groupBy("bucket").count().collect()}
     for part in only or range(rounds):
         if part not in filled:
             continue
-        # A bucket is one file; its prompts are dealt over all cores.
-        rows = todo.where(F.col("bucket") == part).drop("bucket").repartition(spark.sparkContext.defaultParallelism, key)
+        # The prompts of a bucket are dealt over all cores.
+        tasks = max(spark.sparkContext.defaultParallelism, -(-filled[part] // TASK_ROWS))
+        rows = todo.where(F.col("bucket") == part).drop("bucket").repartition(tasks, key)
         labelled = enrich(rows, classify, prompt_chars=prompt_chars, force_all=True).select(results.columns)
         folder = f"results/{uuid.uuid4().hex}"
         labelled.write.parquet(f"{path}/{folder}")

@@ -182,3 +182,16 @@ def test_run_report(spark):
     assert values(run_report(details, before, after, as_of, 30)) == [(2, 1, 2, 1)]
     assert values(run_report(details, before, after, as_of, 30, language=False)) == [(2, 1, 2, 0)]
     assert values(run_report(details, before, before, as_of, 0)) == [(4, 1, 0, 4)]
+
+
+def test_large_bucket_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(R, "TASK_ROWS", 20)
+    rows = spark.range(200).selectExpr(
+        "cast(id as string) url", "'cook' title", "null description", "cast(null as string) professions",
+        "cast(null as string) professions_error",
+    )
+    results = R.enrich_resume(rows, _classify, str(tmp_path), rounds=2)
+    assert results.count() == results.select("url").distinct().count() == 200
+    for bucket in (0, 1):
+        assert len(list(tmp_path.glob(f"todo/*/bucket={bucket}/*.parquet"))) > 1
+    assert all(len(list(folder.glob("*.parquet"))) > 1 for folder in tmp_path.glob("results/*"))
