@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobsluice.functions.text import collapse, strip, unescape
+from jobsluice.functions.text import collapse, mapped, strip, unescape
 
 # Elements without content, and elements whose content is no text.
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -134,9 +133,9 @@ def elements(html: Column, *tags: str, outermost: bool = False) -> Column:
     """
     wanted = frozenset(tags)
 
-    @F.pandas_udf("map<string,array<string>>")
-    def collect(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        def one(page: str | None) -> dict[str, list[str]]:
+    @F.arrow_udf("map<string,array<string>>")
+    def collect(pages: pa.Array) -> pa.Array:
+        def one(page: str | None) -> list[tuple[str, list[str]]]:
             found: dict[str, list[str]] = {tag: [] for tag in wanted}
             reach = dict.fromkeys(wanted, -1)
             for start, end, tag in _element_spans(page or "", wanted):
@@ -144,9 +143,9 @@ def elements(html: Column, *tags: str, outermost: bool = False) -> Column:
                     continue
                 reach[tag] = max(reach[tag], end)
                 found[tag].append(page[start:end])
-            return found
+            return list(found.items())
 
-        for batch in batches:
-            yield batch.map(one)
+        kind = pa.map_(pa.string(), pa.list_(pa.string()))
+        return mapped(pages.fill_null(""), one, kind)
 
     return collect.asNondeterministic()(html)

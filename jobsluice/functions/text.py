@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Mapping
 from html import unescape as _unescape_text
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -64,10 +64,24 @@ def first_filled(*cols: Column) -> Column:
     return F.coalesce(*[filled(c) for c in cols])
 
 
-@F.pandas_udf(StringType())
-def _decode_all(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for part in parts:
-        yield part.map(_unescape_text, na_action="ignore")
+# Fixed value: bytes of values that a Python step holds as Python objects at once, unless one value has more.
+PIECE_BYTES = 1 << 20
+
+
+def mapped(values: pa.Array, use: Callable, kind: pa.DataType) -> pa.Array:
+    """``use`` of every value, by pieces of bounded bytes; an array without a value is passed at once."""
+    if values.null_count == len(values):
+        return pa.nulls(len(values), kind)
+    step = max(1, len(values) * PIECE_BYTES // max(1, values.nbytes))
+    parts = [pa.array(map(use, values.slice(at, step).to_pylist()), kind) for at in range(0, len(values), step)]
+    return pa.concat_arrays(parts)
+
+
+# One call for each batch: Spark gives all such values of a step to the same Python worker, which it does not for
+# functions on iterators.
+@F.arrow_udf(StringType())
+def _decode_all(part: pa.Array) -> pa.Array:
+    return mapped(part, lambda text: None if text is None else _unescape_text(text), pa.string())
 
 
 # Python stages are marked as not deterministic: Spark then keeps them as one step and

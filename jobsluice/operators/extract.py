@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator, Mapping
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +17,7 @@ from jobsluice.functions.text import (
     WS,
     filled,
     first_filled,
+    mapped,
     strip,
     unescape,
     with_clean_text,
@@ -133,11 +134,13 @@ def first_posting(scripts: Column, keys: tuple[str, ...] | None) -> Column:
     children under those keys, None walks every value.
     """
 
-    @F.pandas_udf("string")
-    def pick(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            found = (next(_postings(list(s), keys), None) if s is not None else None for s in batch)
-            yield pd.Series([None if n is None else json.dumps(n, ensure_ascii=False) for n in found], dtype=object)
+    @F.arrow_udf("string")
+    def pick(pages: pa.Array) -> pa.Array:
+        def one(found: list[str] | None) -> str | None:
+            node = None if found is None else next(_postings(found, keys), None)
+            return None if node is None else json.dumps(node, ensure_ascii=False)
+
+        return mapped(pages, one, pa.string())
 
     hinted = F.filter(scripts, lambda s: F.contains(F.lower(s), F.lit("jobposting")) | F.contains(s, F.lit("\\u")))
     return pick.asNondeterministic()(F.when(F.size(hinted) > 0, scripts))

@@ -1,5 +1,6 @@
 import re
 
+import pyarrow as pa
 from helpers import values
 from pyspark.sql import functions as F
 
@@ -67,3 +68,34 @@ def test_pending(spark):
     assert pick(retry_errors=True) == {1, 2, 4}
     assert pick(strip_blanks=False) == {1}
     assert pick(force_all=True) == {1, 2, 3, 4, 5, 6}
+
+
+def test_texts_of_a_row_share_a_python_worker(spark):
+    df = spark.createDataFrame([("a &Aacute;", "&Ouml; b", None)], "a string, b string, c string")
+    cleaned = T.with_clean_text(df, {"a": None, "b": None, "c": None})
+    plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert tuple(cleaned.first()) == ("a Á", "Ö b", None)
+
+
+def test_python_steps_hold_pieces_of_bounded_size(monkeypatch):
+    monkeypatch.setattr(T, "PIECE_BYTES", 100)
+    sizes, whole = [], pa.Array.to_pylist
+    values = pa.array([None, *["x" * 40] * 30, "y" * 500])
+
+    class Pieces:
+        def __init__(self, part):
+            self.part, self.null_count, self.nbytes = part, part.null_count, part.nbytes
+
+        def __len__(self):
+            return len(self.part)
+
+        def slice(self, at, n):
+            piece = self.part.slice(at, n)
+            sizes.append(len(piece))
+            return piece
+
+    assert whole(T.mapped(Pieces(values), lambda v: v and v.upper(), pa.string())) == [v and v.upper() for v in whole(values)]
+    assert max(sizes) <= 3 and sum(sizes) == len(values)
+    assert T.mapped(pa.nulls(3, pa.string()), len, pa.int32()).null_count == 3
+    assert len(T.mapped(pa.array([], pa.string()), len, pa.int32())) == 0
