@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from jobsluice.functions import variant as V
 from jobsluice.operators import normalize as N
 from jobsluice.operators.report import snapshot_header
-from jobsluice.queries.registry import json_pages, query, table
+from jobsluice.queries.registry import json_pages, query, spread, table
 from jobsluice.session import scratch_path
 from jobsluice.sources.files import read_documents, read_job_array, read_seen_state, snapshot_read
 from jobsluice.sources.payloads import ENVELOPES, payload_pages, unpack_envelope
@@ -246,7 +246,7 @@ _JOBROOM_SQL = """
 
 
 def _jobroom_items(spark, sf):
-    part = table(spark, sf, "part")
+    part = spread(table(spark, sf, "part"), "p_partkey", 5_000)
     size, key = F.col("p_size"), F.col("p_partkey").cast("string")
     none = F.lit(None).cast("string")
     version = lambda lang, title, text: F.struct(

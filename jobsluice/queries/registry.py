@@ -39,6 +39,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str, size: int) -> DataFrame:
+    """``rows`` in partitions of about ``size``, where a table of few row groups would be the work of few tasks."""
+    parts = -(-rows.count() // size)
+    return rows.repartition(parts, key) if parts > 1 else rows
+
+
 def fmt(day: Column, pattern: str) -> Column:
     return F.date_format(day, pattern)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from jobsluice.functions import variant as V
 from jobsluice.operators import normalize as N
 from jobsluice.operators.report import snapshot_header
+from jobsluice.queries.registry import spread
 from jobsluice.sources.feed import FEED_LIMITS, rss_items
 from jobsluice.sources.files import read_documents, read_job_array, read_job_lines, read_seen_state, snapshot_read
 from jobsluice.sources.payloads import ENVELOPES, payload_pages, unpack_envelope
@@ -202,3 +203,11 @@ def test_json_lines(spark, tmp_path):
     rows = read_job_lines(spark, str(tmp_path))
     assert sorted(values(rows, "id", "title"), key=repr) == [(1, "é"), (None, None)]
     assert read_job_lines(spark, str(tmp_path / "missing")).count() == 0
+
+
+def test_rows_of_one_row_group_are_dealt_to_several_tasks(spark):
+    rows = spark.range(0, 95, 1, 1)
+    dealt = spread(rows, "id", 10)
+    assert dealt.rdd.getNumPartitions() == 10
+    assert sorted(r["id"] for r in dealt.collect()) == list(range(95))
+    assert spread(rows, "id", 95).rdd.getNumPartitions() == 1
