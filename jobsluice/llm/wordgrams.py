@@ -4,7 +4,8 @@ The events of a text are its words and one end; two marks stand before the first
 by 64-bit hashes. The model interpolates trigrams with bigrams, words and equal shares of all words;
 below the trigrams it counts how many different words stand before. A text is scored by what the others
 hold: its own trigrams are taken out of the counts of trigrams and pairs, or else every text of rare
-words would seem foreseen. (The counts of single words stay, so every word is known. Of a pair after
+words would seem foreseen. (The counts of single words stay; a word
+that ends one pair of one text alone is unknown to the others and costs nothing. Of a pair after
 a frequent word only what the text has in the same bucket is taken out.) No table of the model is ever
 whole in one place:
 
@@ -325,7 +326,9 @@ def _score(d3: np.ndarray, d2: np.ndarray, d1: np.ndarray, types: int, all_words
             left = (d3[1:] @ levels[1:])[each.group] - taken
             at = each.of
             log = -np.log2(_share(others, total[at], left[at], d3, pair[tail.of]))
-            bits = np.bincount(gram.doc, times * log, docs)
+            # A word that ends one pair only, which no other text has, is unknown to the others and costs nothing.
+            unknown = (pairs[tails.next_of[tail.group]] == 1) & (before == gone)
+            bits = np.bincount(gram.doc, np.where(unknown[tail.of], 0.0, times * log), docs)
             ends = np.cumsum(sizes)
             yield _batch(
                 [
