@@ -10,7 +10,8 @@ a frequent word only what the text has in the same bucket is taken out.) No tabl
 whole in one place:
 
 1. *blocks* of texts send every trigram with its text, packed, to the bucket of its middle word. A
-   bucket thus holds all trigrams of a pair of words, and all words before and after its middle words;
+   bucket thus holds all trigrams of a pair of words, and all words before and after its middle words.
+   This exchange is the only place where trigrams are written: a bucket is merged for step 2 and again for step 3;
 2. buckets send the words after their middle words to *ranges* of word hashes, which return in how many
    pairs each word comes second;
 3. buckets send each block the bits of its texts, which are summed by block.
@@ -36,7 +37,7 @@ from jobsluice.llm.words import Texts, mix64, slices, word_hashes, words_of
 
 #: Events that make up a block, unless one text alone has more, and that a bucket gets on average.
 BLOCK_EVENTS = 1_500_000
-BUCKET_EVENTS = 1_500_000
+BUCKET_EVENTS = 800_000
 #: A middle word with more occurrences has several buckets.
 FREQUENT = 1_000_000
 #: Words are looked at as frequent if they make up this share of some block.
@@ -48,8 +49,8 @@ _ROW = [
     ("data", pa.list_(pa.binary())), ("stats", pa.list_(pa.int64())), ("often", pa.list_(pa.list_(pa.int64()))),
 ]
 _SCHEMA = "kind int, at int, source string, data array<binary>, stats array<bigint>, often array<array<bigint>>"
-#: Kinds of rows: rows of a block, trigrams for or of a bucket, words for a range, an answer, bits for a block.
-ROWS, GRAMS, WORDS, ANSWER, BITS = range(5)
+#: Kinds of rows: rows of a block, trigrams for a bucket, words for a range, an answer, bits for a block, sums for all.
+ROWS, GRAMS, WORDS, ANSWER, BITS, SUMS = range(6)
 
 
 def _batch(rows: list[dict]) -> pa.RecordBatch:
@@ -178,86 +179,107 @@ class _Tails:
         #: The different next words, of which the bits of hashes give the range, and the next word of every pair.
         self.next, self.next_of = np.unique(self.last, return_inverse=True)
 
+    @property
+    def wide_in_order(self) -> np.ndarray:
+        """The wide pairs, by their next word."""
+        wide = np.flatnonzero(self.wide)
+        return wide[np.argsort(self.next_of[wide], kind="stable")]
 
-def _merge(buckets: int, often: dict):
-    """Per bucket: its trigrams with their texts as one row, and what it sends to the ranges of words."""
+
+class _Bucket:
+    """The trigrams of a bucket, distinct and in order, and where each stands.
+
+    ``of`` is the context of every trigram, ``last`` its last word, ``n`` how often it occurs; ``doc`` are the texts of all
+    occurrences in the order of the trigrams, numbered over the blocks ``names`` with ``sizes`` texts each.
+    """
+
+    def __init__(self, rows: list[dict], frequent: np.ndarray):
+        self.names = [r["source"] for r in rows]
+        self.sizes = np.array([r["stats"][0] for r in rows], np.int64)
+        local = [unpack_sorted(r["data"][0]) for r in rows]
+        self.words = np.unique(np.concatenate(local))
+        maps = [np.searchsorted(self.words, x) for x in local]
+        u, v, w = (
+            np.concatenate([m[f(r["data"][k]).astype(np.int64)] for m, r in zip(maps, rows, strict=True)])
+            for k, f in ((1, unpack), (2, unpack_sorted), (3, unpack))
+        )
+        del local, maps
+        width = len(self.words)
+        self.context, of = _grouped(v, u, width)
+        del u, v
+        grams, gram_of = _grouped(of, w, width)
+        del of, w
+        self.n = np.bincount(gram_of, minlength=len(grams))
+        order = np.argsort(gram_of, kind="stable")
+        del gram_of
+        starts = np.cumsum(self.sizes) - self.sizes
+        doc = [unpack(r["data"][4]).astype(np.int64) + s for r, s in zip(rows, starts.tolist(), strict=True)]
+        self.doc = np.concatenate(doc)[order]
+        self.of, self.last = grams // width, grams % width
+        self.tails = _Tails(self.words, self.context, self.of, self.last, frequent)
+
+
+def _ranges(buckets: int, often: dict) -> Callable[[list[dict]], list[dict]]:
+    """What a bucket sends to the ranges of words, and a row of sums."""
     frequent = _lower(often)
     edges = np.array([(k << 64) // buckets for k in range(1, buckets)], np.uint64)
 
-    def merge(batches):
-        for rows in _by(batches, "at"):
-            number = rows[0]["at"]
-            local = [unpack_sorted(r["data"][0]) for r in rows]
-            words = np.unique(np.concatenate(local))
-            maps = [np.searchsorted(words, x) for x in local]
-            u, v, w = (
-                np.concatenate([m[f(r["data"][k]).astype(np.int64)] for m, r in zip(maps, rows, strict=True)])
-                for k, f in ((1, unpack), (2, unpack_sorted), (3, unpack))
-            )
-            sizes = [r["stats"][0] for r in rows]
-            starts = np.cumsum([0, *sizes[:-1]])
-            doc = np.concatenate([unpack(r["data"][4]).astype(np.int64) + s for r, s in zip(rows, starts, strict=True)])
-            context, of = _grouped(v, u, len(words))
-            grams, gram_of = _grouped(of, w, len(words))
-            n = np.bincount(gram_of, minlength=len(grams))
-            order = np.argsort(gram_of, kind="stable")
-            of, last = grams // len(words), grams % len(words)
-            tails = _Tails(words, context, of, last, frequent)
-            packed = [
-                pack_sorted(words), pack_sorted(context.astype(np.uint64)), pack_sorted(of.astype(np.uint64)), pack(last),
-                pack(n), pack(doc[order]), "\n".join(r["source"] for r in rows).encode(), pack(np.array(sizes)),
-            ]
-            few = [*_few(n), *_few(tails.counts[~tails.wide])]
-            yield _batch([{"kind": GRAMS, "at": number, "source": str(number), "data": packed, "stats": few}])
-            hashes = words[tails.next]
-            pairs = np.bincount(tails.next_of[~tails.wide], minlength=len(hashes))
-            cuts = [0, *np.searchsorted(hashes, edges).tolist(), len(hashes)]
-            wide = np.flatnonzero(tails.wide)
-            wide = wide[np.argsort(tails.next_of[wide], kind="stable")]
-            next_of = tails.next_of[wide]
-            out = []
-            for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                if a < b:
-                    x, y = np.searchsorted(next_of, [a, b])
-                    own = wide[x:y]
-                    parts = [pack_sorted(hashes[a:b]), pack(pairs[a:b])]
-                    parts += [pack(next_of[x:y] - a), pack(tails.frequent[own]), pack(tails.counts[own])]
-                    out.append({"kind": WORDS, "at": k, "source": str(number), "data": parts})
-            yield _batch(out)
+    def merge(rows: list[dict]) -> list[dict]:
+        number = rows[0]["at"]
+        rows = [r for r in rows if r["kind"] == GRAMS]
+        if not rows:
+            return []
+        bucket = _Bucket(rows, frequent)
+        tails = bucket.tails
+        few = [*_few(bucket.n), *_few(tails.counts[~tails.wide]), *[0] * 9]
+        out = [{"kind": SUMS, "at": number, "source": "", "stats": few, "often": []}]
+        hashes = bucket.words[tails.next]
+        pairs = np.bincount(tails.next_of[~tails.wide], minlength=len(hashes))
+        cuts = [0, *np.searchsorted(hashes, edges).tolist(), len(hashes)]
+        wide = tails.wide_in_order
+        next_of = tails.next_of[wide]
+        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if a < b:
+                x, y = np.searchsorted(next_of, [a, b])
+                own = wide[x:y]
+                parts = [pack_sorted(hashes[a:b]), pack(pairs[a:b])]
+                parts += [pack(next_of[x:y] - a), pack(tails.frequent[own]), pack(tails.counts[own])]
+                out.append({"kind": WORDS, "at": k, "source": str(number), "data": parts})
+        return out
 
     return merge
 
 
-def _count_words(often: dict):
+def _count_words(often: dict) -> Callable[[list[dict]], list[dict]]:
     """Per range of words: to every bucket the pairs each word ends, and the counts after frequent words."""
     size = max(1, len(often))
 
-    def count(batches):
-        for rows in _by(batches, "at"):
-            keys = [unpack_sorted(r["data"][0]) for r in rows]
-            words, place = np.unique(np.concatenate(keys), return_inverse=True)
-            pairs = np.bincount(place, np.concatenate([unpack(r["data"][1]) for r in rows]), len(words)).astype(np.int64)
-            begins = np.cumsum([0, *map(len, keys)])
-            own = [
-                (place[s + unpack(r["data"][2]).astype(np.int64)], unpack(r["data"][3]).astype(np.int64))
-                for r, s in zip(rows, begins, strict=False)
-            ]
-            wide, of = _grouped(np.concatenate([o[0] for o in own]), np.concatenate([o[1] for o in own]), size)
-            counts = np.bincount(of, np.concatenate([unpack(r["data"][4]) for r in rows]), len(wide)).astype(np.int64)
-            pairs += np.bincount(wide // size, minlength=len(words))
-            begin = 0
-            out = []
-            for r, s, e, o in zip(rows, begins[:-1], begins[1:], own, strict=True):
-                data = [pack(pairs[place[s:e]]), pack(counts[of[begin : begin + len(o[0])]])]
-                begin += len(o[0])
-                out.append({"kind": ANSWER, "at": int(r["source"]), "source": str(r["at"]), "data": data})
-            levels = _levels(counts, wide % size, size).T
-            hit = np.flatnonzero(levels[:, 0]).tolist()
-            stats = [*_few(counts), *_few(pairs), len(words), *_levels(pairs, np.zeros(len(pairs), np.int64), 1)[:, 0].tolist()]
-            out.append(
-                {"kind": WORDS, "at": 0, "source": "", "stats": stats, "often": [[k, *levels[k].tolist()] for k in hit]}
-            )
-            yield _batch(out)
+    def count(rows: list[dict]) -> list[dict]:
+        out = [r for r in rows if r["kind"] == SUMS]
+        rows = [r for r in rows if r["kind"] == WORDS]
+        if not rows:
+            return out
+        keys = [unpack_sorted(r["data"][0]) for r in rows]
+        words, place = np.unique(np.concatenate(keys), return_inverse=True)
+        pairs = np.bincount(place, np.concatenate([unpack(r["data"][1]) for r in rows]), len(words)).astype(np.int64)
+        begins = np.cumsum([0, *map(len, keys)])
+        own = [
+            (place[s + unpack(r["data"][2]).astype(np.int64)], unpack(r["data"][3]).astype(np.int64))
+            for r, s in zip(rows, begins, strict=False)
+        ]
+        wide, of = _grouped(np.concatenate([o[0] for o in own]), np.concatenate([o[1] for o in own]), size)
+        counts = np.bincount(of, np.concatenate([unpack(r["data"][4]) for r in rows]), len(wide)).astype(np.int64)
+        pairs += np.bincount(wide // size, minlength=len(words))
+        begin = 0
+        for r, s, e, o in zip(rows, begins[:-1], begins[1:], own, strict=True):
+            data = [pack(pairs[place[s:e]]), pack(counts[of[begin : begin + len(o[0])]])]
+            begin += len(o[0])
+            out.append({"kind": ANSWER, "at": int(r["source"]), "source": str(r["at"]), "data": data})
+        levels = _levels(counts, wide % size, size).T
+        hit = np.flatnonzero(levels[:, 0]).tolist()
+        stats = [*[0] * 4, *_few(counts), *_few(pairs), len(words), *_levels(pairs, np.zeros(len(pairs), np.int64), 1)[:, 0].tolist()]
+        out.append({"kind": SUMS, "at": 0, "source": "", "stats": stats, "often": [[k, *levels[k].tolist()] for k in hit]})
+        return out
 
     return count
 
@@ -279,69 +301,93 @@ class _Without:
         return np.bincount(self.of, values, len(self.group))
 
 
-def _score(d3: np.ndarray, d2: np.ndarray, d1: np.ndarray, types: int, all_words: np.ndarray, often: dict, wide_levels):
-    """Per bucket: to every block the bits of its texts."""
+def _score(discounts: Callable, often: dict) -> Callable[[list[dict], list[dict]], list[dict]]:
+    """Per bucket, from its trigrams, what the ranges answered and the sums: to every block the bits of its texts."""
     frequent = _lower(often)
 
-    def score(batches):
-        levels_of_frequent = wide_levels.value
-        for rows in _by(batches, "at"):
-            grams = next(r["data"] for r in rows if r["kind"] == GRAMS)
-            answers = sorted((r for r in rows if r["kind"] == ANSWER), key=lambda r: int(r["source"]))
-            words, context, of = unpack_sorted(grams[0]), *(unpack_sorted(g).astype(np.int64) for g in grams[1:3])
-            last, n, doc = (unpack(g).astype(np.int64) for g in grams[3:6])
-            sizes = unpack(grams[7]).astype(np.int64)
-            docs = int(sizes.sum())
-            tails = _Tails(words, context, of, last, frequent)
-            pairs = np.concatenate([unpack(r["data"][0]) for r in answers]).astype(np.int64)
-            counts = tails.counts.astype(np.int64)
-            wide = np.flatnonzero(tails.wide)
-            wide = wide[np.argsort(tails.next_of[wide], kind="stable")]
-            counts[wide] = np.concatenate([unpack(r["data"][1]) for r in answers]).astype(np.int64)
-            levels = _levels(counts, tails.middle, len(words))
-            levels[:, tails.middle[wide]] = levels_of_frequent[tails.frequent[wide]].T
-            below = _share(pairs, all_words[0], d1[1:] @ all_words[1:], d1, 1.0 / types)
-
-            # One entry for every trigram of a text; ``others`` is how often it occurs in other texts.
-            gram = _Without(np.repeat(np.arange(len(n)), n), doc, docs)
-            times = np.bincount(gram.of, minlength=len(gram.group))
-            others = n[gram.group] - times
-            alone = others == 0
-
-            # Pairs of the middle word and the next, by the different words before them in other texts.
-            tail = _Without(tails.of[gram.group], gram.doc, docs)
-            gone = tail.sums(alone).astype(np.int64)
-            before = counts[tail.group]
-            middle = _Without(tails.middle[tail.group], tail.doc, docs)
-            taken = middle.sums(d2[np.minimum(before, 3)] - d2[np.minimum(before - gone, 3)])
-            total = levels[0][middle.group] - middle.sums(gone)
-            left = (d2[1:] @ levels[1:])[middle.group] - taken
-            at = middle.of
-            pair = _share(before - gone, total[at], left[at], d2, below[tails.next_of[tail.group]])
-
-            each = _Without(of[gram.group], gram.doc, docs)
-            levels = _levels(n, of, len(context))
-            taken = each.sums(d3[np.minimum(n, 3)][gram.group] - d3[np.minimum(others, 3)])
-            total = levels[0][each.group] - each.sums(times)
-            left = (d3[1:] @ levels[1:])[each.group] - taken
-            at = each.of
-            log = -np.log2(_share(others, total[at], left[at], d3, pair[tail.of]))
-            # A word that ends one pair only, which no other text has, is unknown to the others and costs nothing.
-            unknown = (pairs[tails.next_of[tail.group]] == 1) & (before == gone)
-            bits = np.bincount(gram.doc, np.where(unknown[tail.of], 0.0, times * log), docs)
-            ends = np.cumsum(sizes)
-            yield _batch(
-                [
-                    {"kind": BITS, "source": name, "data": [bits[e - s : e].tobytes()]}
-                    for name, s, e in zip(grams[6].decode().split("\n"), sizes.tolist(), ends.tolist(), strict=True)
-                ]
-            )
+    def score(rows: list[dict], answers: list[dict]) -> list[dict]:
+        out = [r for r in rows if r["kind"] == ROWS]
+        rows = [r for r in rows if r["kind"] == GRAMS]
+        if not rows:
+            return out
+        sums = next(r for r in answers if r["kind"] == SUMS)
+        few, types, all_words = sums["stats"][:12], max(1, sums["stats"][12]), np.array(sums["stats"][13:], np.int64)
+        d3, d2, d1 = (np.array([0.0, *discounts(*few[k : k + 4])]) for k in (0, 4, 8))
+        levels_of_frequent = np.zeros((max(1, len(often)), 4), np.int64)
+        for k, *each in sums["often"]:
+            levels_of_frequent[k] = each
+        answers = sorted((r for r in answers if r["kind"] == ANSWER), key=lambda r: int(r["source"]))
+        bucket = _Bucket(rows, frequent)
+        names, sizes = bucket.names, bucket.sizes
+        del rows
+        words, of, n, doc, tails = bucket.words, bucket.of, bucket.n, bucket.doc, bucket.tails
+        contexts, docs = len(bucket.context), int(sizes.sum())
+        del bucket
+        pairs = np.concatenate([unpack(r["data"][0]) for r in answers]).astype(np.int64)
+        counts = tails.counts.astype(np.int64)
+        wide = tails.wide_in_order
+        counts[wide] = np.concatenate([unpack(r["data"][1]) for r in answers]).astype(np.int64)
+        levels = _levels(counts, tails.middle, len(words))
+        levels[:, tails.middle[wide]] = levels_of_frequent[tails.frequent[wide]].T
+        below = _share(pairs, all_words[0], d1[1:] @ all_words[1:], d1, 1.0 / types)
+
+        # One entry for every trigram of a text; ``others`` is how often it occurs in other texts.
+        gram = _Without(np.repeat(np.arange(len(n)), n), doc, docs)
+        del doc
+        times = np.bincount(gram.of, minlength=len(gram.group))
+        del gram.of
+        others = n[gram.group] - times
+
+        # Pairs of the middle word and the next, by the different words before them in other texts.
+        tail = _Without(tails.of[gram.group], gram.doc, docs)
+        gone = tail.sums(others == 0).astype(np.int64)
+        before = counts[tail.group]
+        middle = _Without(tails.middle[tail.group], tail.doc, docs)
+        taken = middle.sums(d2[np.minimum(before, 3)] - d2[np.minimum(before - gone, 3)])
+        total = levels[0][middle.group] - middle.sums(gone)
+        left = (d2[1:] @ levels[1:])[middle.group] - taken
+        at = middle.of
+        pair = _share(before - gone, total[at], left[at], d2, below[tails.next_of[tail.group]])
+        # A word that ends one pair only, which no other text has, is unknown to the others and costs nothing.
+        unknown = ((pairs[tails.next_of[tail.group]] == 1) & (before == gone))[tail.of]
+        pair = pair[tail.of]
+        del tail, middle, before, gone, at
+
+        each = _Without(of[gram.group], gram.doc, docs)
+        levels = _levels(n, of, contexts)
+        taken = each.sums(d3[np.minimum(n, 3)][gram.group] - d3[np.minimum(others, 3)])
+        total = levels[0][each.group] - each.sums(times)
+        left = (d3[1:] @ levels[1:])[each.group] - taken
+        at = each.of
+        log = -np.log2(_share(others, total[at], left[at], d3, pair))
+        bits = np.bincount(gram.doc, np.where(unknown, 0.0, times * log), docs)
+        ends = np.cumsum(sizes)
+        return out + [
+            {"kind": BITS, "source": name, "data": [bits[e - s : e].tobytes()]}
+            for name, s, e in zip(names, sizes.tolist(), ends.tolist(), strict=True)
+        ]
 
     return score
 
 
-def _together(rows: DataFrame, by: str, parts: int) -> DataFrame:
-    return rows.repartition(min(parts, 2_000), by).sortWithinPartitions(by)
+def _table(rows: list[dict]) -> pa.Table:
+    return pa.Table.from_pylist(rows, pa.schema(_ROW))
+
+
+def _sums(words: DataFrame, buckets: int, often: bool) -> DataFrame:
+    """The sums over all buckets and ranges, as a row for every bucket."""
+    found = words.where(F.col("kind") == SUMS)
+    sums = found.agg(F.array(*[F.coalesce(F.sum(F.col("stats")[k]), F.lit(0)) for k in range(17)]).alias("stats"))
+    if often:
+        each = found.select(F.explode("often").alias("o")).groupBy(F.col("o")[0].alias("k"))
+        each = each.agg(*[F.sum(F.col("o")[k]).alias(f"s{k}") for k in range(1, 5)])
+        lists = each.agg(F.collect_list(F.array("k", *[f"s{k}" for k in range(1, 5)])).alias("often"))
+    else:
+        lists = sums.sparkSession.range(1).select(F.array().cast("array<array<bigint>>").alias("often"))
+    all_buckets = sums.sparkSession.range(buckets).select(F.col("id").cast("int").alias("at"))
+    rows = all_buckets.crossJoin(F.broadcast(sums.crossJoin(F.broadcast(lists))))
+    data = F.array().cast("array<binary>").alias("data")
+    return rows.select(F.lit(SUMS).alias("kind"), "at", F.lit("").alias("source"), data, "stats", "often")
 
 
 def with_word_bits(
@@ -375,45 +421,17 @@ def with_word_bits(
         if rows:
             yield from block()
 
-    def merge(batches):
-        def grams():
-            for batch in batches:
-                kind = batch.column(0).to_numpy()
-                blocks = batch.filter(pa.array(kind == ROWS))
-                if len(blocks):
-                    passed.append(blocks)
-                yield batch.filter(pa.array(kind == GRAMS))
-
-        passed = []
-        for out in _merge(buckets, often)(grams()):
-            yield from passed
-            passed.clear()
-            yield out
-        yield from passed
-
+    parts = min(buckets, 2_000)
     # The rows of a block travel beside its trigrams, so that both come from one run of a task.
-    sent = docs.mapInArrow(send, _SCHEMA).withColumn("at", F.when(F.col("kind") == ROWS, F.pmod(F.hash("source"), F.lit(buckets))).otherwise(F.col("at")))
-    merged = stored(_together(sent, "at", buckets).mapInArrow(merge, _SCHEMA), "word-trigrams")
-    words = _together(merged.where(F.col("kind") == WORDS), "at", buckets).mapInArrow(_count_words(often), _SCHEMA)
-    words = stored(words, "word-counts")
-    sums = [F.sum(F.col("stats")[k]) for k in range(13)]
-    high = merged.where(F.col("kind") == GRAMS).agg(*sums[:8]).first()
-    low = words.where(F.col("kind") == WORDS).agg(*sums).first()
-    high, low = [v or 0 for v in high], [v or 0 for v in low]
-    d3, d2, d1 = (
-        np.array([0.0, *discounts(*few)]) for few in (high[:4], [a + b for a, b in zip(high[4:], low[:4], strict=True)], low[4:8])
-    )
-    wide = np.zeros((max(1, len(often)), 4), np.int64)
-    if often:
-        each = words.where(F.col("kind") == WORDS).select(F.explode("often").alias("o"))
-        each = each.groupBy(F.col("o")[0].alias("k")).agg(*[F.sum(F.col("o")[k]).alias(f"s{k}") for k in range(1, 5)])
-        for r in each.collect():
-            wide[r["k"]] = [r[f"s{k}"] for k in range(1, 5)]
-    shared = docs.sparkSession.sparkContext.broadcast(wide)
-    known = merged.where(F.col("kind") == GRAMS).unionByName(words.where(F.col("kind") == ANSWER))
-    score = _score(d3, d2, d1, max(1, low[8]), np.array(low[9:13], np.int64), often, shared)
-    bits = _together(known, "at", buckets).mapInArrow(score, _SCHEMA)
-    parts = merged.where(F.col("kind") == ROWS).unionByName(bits)
+    at = F.when(F.col("kind") == ROWS, F.pmod(F.hash("source"), F.lit(buckets))).otherwise(F.col("at"))
+    # The one place where trigrams are written. Both readers take this exchange, in one plan, so Spark runs it once.
+    grams = docs.mapInArrow(send, _SCHEMA).withColumn("at", at).repartition(parts, "at")
+    merge, count, score = _ranges(buckets, often), _count_words(often), _score(discounts, often)
+    words = grams.groupBy("at").applyInArrow(lambda rows: _table(merge(rows.to_pylist())), _SCHEMA).repartition(parts, "at")
+    words = words.groupBy("at").applyInArrow(lambda rows: _table(count(rows.to_pylist())), _SCHEMA)
+    answers = words.where(F.col("kind") == ANSWER).unionByName(_sums(words, buckets, bool(often))).repartition(parts, "at")
+    rows = grams.groupBy("at").cogroup(answers.groupBy("at"))
+    rows = rows.applyInArrow(lambda own, found: _table(score(own.to_pylist(), found.to_pylist())), _SCHEMA)
 
     def add(batches):
         for rows in _by(batches, "source"):
@@ -424,4 +442,4 @@ def with_word_bits(
                     total += np.frombuffer(r["data"][0])
             yield pa.RecordBatch.from_arrays([*held.columns, pa.array(total)], [*held.schema.names, name])
 
-    return _together(parts, "source", buckets).mapInArrow(add, f"{kinds}, {name} double")
+    return rows.repartition(parts, "source").sortWithinPartitions("source").mapInArrow(add, f"{kinds}, {name} double")

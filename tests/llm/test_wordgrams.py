@@ -8,6 +8,7 @@ import pytest
 from conftest_llm import words_of
 
 from jobsluice.llm import perplexity, wordgrams
+from jobsluice.llm.shared import stored
 
 
 def _discounts(counts):
@@ -68,3 +69,22 @@ def test_word_surprise_is_that_of_whole_words_in_other_texts(spark, monkeypatch,
     assert [f[:2] for f in found] == [w[:2] for w in want]
     # Split, what a text has after a frequent word in other buckets is not taken out.
     assert [f[2] for f in found] == pytest.approx([w[2] for w in want], rel=0.05 if split else 1e-6)
+
+
+def test_trigrams_are_sent_once_and_in_no_table(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(wordgrams, "BLOCK_EVENTS", 300)
+    monkeypatch.setattr(wordgrams, "BUCKET_EVENTS", 400)
+    tables = []
+    monkeypatch.setattr(wordgrams, "stored", lambda df, label: tables.append(label) or stored(df, label))
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(_texts())], "doc_id bigint, text string")
+    log = tmp_path / "measured"
+
+    def measure(rows, texts):
+        with log.open("a") as out:
+            out.write("x" * len(texts))
+        return rows.select(["doc_id"])
+
+    bits = wordgrams.with_word_bits(docs, measure, "doc_id bigint", perplexity.discounts_of, "bits").collect()
+    assert sorted(r["doc_id"] for r in bits) == list(range(len(_texts())))
+    assert len(log.read_text()) == len(_texts())  # two steps read the trigrams, texts are read once for them
+    assert tables == ["middle-words"]
