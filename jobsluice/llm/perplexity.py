@@ -290,7 +290,8 @@ def _bits(model: Model, texts: Texts) -> np.ndarray:
 def score(docs: DataFrame, model: Model, shapes: Model) -> DataFrame:
     """``doc_id``, ``lang``, the base signals, and per word the bits of its bytes, of the classes of its words and of its words.
 
-    These are ``surprise``, ``shape_surprise`` and ``word_surprise``, each a log2 perplexity per word.
+    These are ``surprise``, ``shape_surprise`` and ``word_surprise``, each a log2 perplexity per word. ``known_surprise`` are
+    the bits of the words shared out to those that other texts know.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((model, shapes))
@@ -315,7 +316,9 @@ def score(docs: DataFrame, model: Model, shapes: Model) -> DataFrame:
     rows = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
     kinds = f"doc_id {doc_kind}, lang string, {kinds}, surprise double, shape_surprise double"
     scored = with_word_bits(rows, measure, kinds, discounts_of, "word_bits")
-    return scored.withColumn("word_surprise", F.col("word_bits") / F.greatest("n_words", F.lit(1))).drop("word_bits")
+    bits, known = F.col("word_bits"), F.greatest("word_bits_of", F.lit(1))
+    scored = scored.withColumns({"word_surprise": bits / F.greatest("n_words", F.lit(1)), "known_surprise": bits / known})
+    return scored.drop("word_bits", "word_bits_of")
 
 
 def quality_rules(docs: DataFrame, band: float = BAND, word_share: float = WORD_SHARE) -> DataFrame:
@@ -325,16 +328,17 @@ def quality_rules(docs: DataFrame, band: float = BAND, word_share: float = WORD_
     and of its words lie in the bands of its language. The band of bytes is the median minus or plus ``band`` times the
     larger of two deviations: that of the surprise itself, and that of the deviation times the square
     root of the length, scaled back to the length of the text, since short texts vary more. The band
-    of classes reaches from ``word_share`` of the median to the median over it, that of words up to the same. ``band_low`` and
+    of classes reaches from ``word_share`` of the median to the median over it, that of words up to the same, per word
+    or per word that other texts know. ``band_low`` and
     ``band_high`` are those of the bytes.
     """
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     scored = score(docs, train(docs), train(docs, of_words=True))
     rows = stored(scored.withColumn("base_failed", failed), "surprise")
     rows = rows.withColumn("_lang", F.coalesce("lang", F.lit("")))
-    passed = rows.where(~F.col("base_failed")).select("_lang", "n_words", "surprise", "shape_surprise", "word_surprise")
+    passed = rows.where(~F.col("base_failed")).select("_lang", "n_words", "surprise", "shape_surprise", "word_surprise", "known_surprise")
     middle = _quantiles(passed, "_lang", F.col("surprise"), {"_mid": 0.5})
-    for name in ("shape", "word"):
+    for name in ("shape", "word", "known"):
         middle = middle.join(_quantiles(passed, "_lang", F.col(f"{name}_surprise"), {f"_{name}_mid": 0.5}), "_lang")
     middle = stored(middle, "bands")
     away = F.abs(F.col("surprise") - F.col("_mid"))
@@ -348,7 +352,9 @@ def quality_rules(docs: DataFrame, band: float = BAND, word_share: float = WORD_
     rows = rows.withColumn("band_low", F.col("_mid") - width).withColumn("band_high", F.col("_mid") + width)
     within = F.col("surprise").between(F.col("band_low"), F.col("band_high"))
     within = within & F.col("shape_surprise").between(F.col("_shape_mid") * word_share, F.col("_shape_mid") / word_share)
-    within = within & (F.col("word_surprise") <= F.col("_word_mid") / word_share)
+    # Unknown words cost nothing, so a text that shares more words than most may cost more per word and yet be no junk.
+    costly = [F.col(f"{name}_surprise") > F.col(f"_{name}_mid") / word_share for name in ("word", "known")]
+    within = within & ~(costly[0] & costly[1])
     return rows.withColumn("kept", ~F.col("base_failed") & F.coalesce(within, F.lit(False))).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "surprise", "band_low", "band_high",

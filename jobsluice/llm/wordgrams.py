@@ -361,11 +361,16 @@ def _score(discounts: Callable, often: dict) -> Callable[[list[dict], list[dict]
         at = each.of
         log = -np.log2(_share(others, total[at], left[at], d3, pair))
         bits = np.bincount(gram.doc, np.where(unknown, 0.0, times * log), docs)
+        known = np.bincount(gram.doc, np.where(unknown, 0, times), docs).astype(np.int64)
+        # Only texts with words here: a text has few of all buckets.
+        hit = np.flatnonzero(known)
         ends = np.cumsum(sizes)
-        return out + [
-            {"kind": BITS, "source": name, "data": [bits[e - s : e].tobytes()]}
-            for name, s, e in zip(names, sizes.tolist(), ends.tolist(), strict=True)
-        ]
+        cuts = np.searchsorted(hit, ends)
+        for name, start, x, y in zip(names, (ends - sizes).tolist(), [0, *cuts[:-1].tolist()], cuts.tolist(), strict=True):
+            own = hit[x:y]
+            parts = [pack_sorted((own - start).astype(np.uint64)), bits[own].tobytes(), pack(known[own])]
+            out.append({"kind": BITS, "source": name, "data": parts})
+        return out
 
     return score
 
@@ -395,7 +400,7 @@ def with_word_bits(
 ) -> DataFrame:
     """One row per row of ``docs``: what ``measure`` gives for it (of the types ``kinds``) and ``name``, the bits of its words.
 
-    ``docs`` has a column ``text``; ``discounts`` gives three discounts from how many counts are 1, 2, 3 and 4.
+    ``<name>_of`` is how many events cost these bits, without the words that are unknown to the other texts. ``docs`` has a column ``text``; ``discounts`` gives three discounts from how many counts are 1, 2, 3 and 4.
     """
     total, often = frequent_words(docs)
     buckets = max(1, -(-total // BUCKET_EVENTS))
@@ -436,10 +441,13 @@ def with_word_bits(
     def add(batches):
         for rows in _by(batches, "source"):
             held = pa.ipc.open_stream(next(r["data"][0] for r in rows if r["kind"] == ROWS)).read_next_batch()
-            total = np.zeros(len(held))
+            bits, known = np.zeros(len(held)), np.zeros(len(held), np.int64)
             for r in rows:
                 if r["kind"] == BITS:
-                    total += np.frombuffer(r["data"][0])
-            yield pa.RecordBatch.from_arrays([*held.columns, pa.array(total)], [*held.schema.names, name])
+                    at = unpack_sorted(r["data"][0]).astype(np.int64)
+                    bits[at] += np.frombuffer(r["data"][1])
+                    known[at] += unpack(r["data"][2]).astype(np.int64)
+            columns = [*held.columns, pa.array(bits), pa.array(known)]
+            yield pa.RecordBatch.from_arrays(columns, [*held.schema.names, name, f"{name}_of"])
 
-    return rows.repartition(parts, "source").sortWithinPartitions("source").mapInArrow(add, f"{kinds}, {name} double")
+    return rows.repartition(parts, "source").sortWithinPartitions("source").mapInArrow(add, f"{kinds}, {name} double, {name}_of bigint")
